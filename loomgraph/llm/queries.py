@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import bpe, mixing
 
 QUERIES = {
+    "op5_byte_bpe": bpe.op5_byte_bpe,
     "op9_mixing": mixing.op9_mixing,
 }
 
