@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing
+from . import bpe, licenses, mixing, neighbours
 
 QUERIES = {
     "op5_byte_bpe": bpe.op5_byte_bpe,
+    "op6_licenses": licenses.op6_licenses,
     "op9_mixing": mixing.op9_mixing,
+    "op10_neighbours": neighbours.op10_neighbours,
 }
 
 ORACLES = {
     "op9_mixing": mixing.OP9_SQL,
+    "op10_neighbours": neighbours.OP10_SQL,
 }
