@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, licenses, mixing, neighbours
+from . import bpe, fingerprints, licenses, mixing, neighbours
 
 QUERIES = {
     "op5_byte_bpe": bpe.op5_byte_bpe,
     "op6_licenses": licenses.op6_licenses,
+    "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_mixing": mixing.op9_mixing,
     "op10_neighbours": neighbours.op10_neighbours,
 }
