@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, langid, licenses, mixing, neighbours
+from . import bpe, fingerprints, langid, licenses, mixing, neighbours, pages
 
 QUERIES = {
+    "op2_pages": pages.op2_pages,
     "op3_language": langid.op3_language,
     "op5_byte_bpe": bpe.op5_byte_bpe,
     "op6_licenses": licenses.op6_licenses,
