@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, langid, licenses, mixing, neighbours, pages
+from . import bpe, fingerprints, langid, licenses, mixing, neighbours, pages, quality
 
 QUERIES = {
     "op2_pages": pages.op2_pages,
     "op3_language": langid.op3_language,
+    "op4_quality": quality.op4_quality,
     "op5_byte_bpe": bpe.op5_byte_bpe,
     "op6_licenses": licenses.op6_licenses,
     "op8_fingerprints": fingerprints.op8_fingerprints,
