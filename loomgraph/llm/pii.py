@@ -1,0 +1,198 @@
+"""Surrogates for personal data, in DataFrame functions only."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from .shared import stage
+
+#: Titles and given names by gender.
+TITLES = {"m": "Mr Herr Monsieur Señor Signor Господин Κύριος".split(), "f": "Mrs Ms Miss Frau Madame Mme Señora Signora Госпожа Κυρία".split(), "n": "Dr Prof".split()}
+GIVEN = {
+    "m": "James John Robert Michael William David Thomas Charles Daniel Matthew Peter Hans Karl Jürgen Pierre Jean Luc Carlos José Juan Miguel Иван Сергей Дмитрий Γιώργος Νίκος".split(),
+    "f": "Mary Patricia Jennifer Linda Elizabeth Susan Jessica Sarah Karen Emma Anna Ursula Ingrid Marie Claire Sophie María Carmen Lucía Анна Мария Ольга Ελένη Μαρία".split(),
+}
+#: Syllables and endings of made-up names by script; endings of given names by gender.
+SYLLABLES = {
+    "latin": "ba be bo da de do fa fe ga go ha he ka ke ko la le lo ma me mo na ne no pa pe ra re ro sa se so ta te to va ve vo za".split(),
+    "cyrillic": "ба бе бо да де до ва ве га го ка ко ла ле ло ма ме мо на не но па ре ро са се та те".split(),
+    "greek": "βα βε βο γα γο δα δε κα κο λα λε μα με μο να νε νο πα πε ρα ρε σα σε τα τε".split(),
+}
+ENDINGS = {
+    "latin": {"m": ["n", "s", "rd", "k"], "f": ["lia", "na", "ra", "lle"], "n": ["r", "l"], "surname": ["nd", "rt", "ll", "ck"]},
+    "cyrillic": {"m": ["н", "р", "й"], "f": ["на", "ля", "ра"], "n": ["н"], "surname": ["нко", "рук", "лик"]},
+    "greek": {"m": ["ρης", "νος", "λης"], "f": ["νη", "ρία", "λα"], "n": ["ν"], "surname": ["δης", "κης", "πας"]},
+}
+
+_WORD = r"\p{Lu}[\p{L}'’-]*\p{Ll}[\p{L}'’-]*"
+_TITLE = "|".join(t for ts in TITLES.values() for t in ts)
+_GIVEN = "|".join(t for ts in GIVEN.values() for t in ts)
+_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+
+#: Kinds in the order in which they are tried, with the pattern that finds them.
+KINDS = {
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}",
+    "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,255}\b|\bsk-[A-Za-z0-9_-]{20,200}",
+    "secret": r"(?<=\b(?:password|passwd|pwd|secret|token|api_key|apikey|api-key|access_key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?)[^\s\"',;<>]{6,}",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "ipv6": r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])",
+    "ipv4": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.[0-9])",
+    "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
+    "card": r"(?<![\w.+-])[3-6][0-9]{3}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}(?!\w)",
+    "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?!\w)|(?<![\w+])\+[0-9]{8,14}(?!\w)",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.? {_WORD}(?: {_WORD}){{0,2}}|(?:{_GIVEN}) {_WORD})",
+}
+ENTITY = "|".join(f"(?:{p})" for p in KINDS.values())
+
+#: After so many attempts a surrogate may be longer than what it replaces.
+ATTEMPTS = 12
+
+
+def matches(text: Column) -> Column:
+    """The personal data in a text, in order. Texts without a digit, an @ and any word of a name or secret are not searched."""
+    gate = F.rlike(text, F.lit("[0-9@]"))
+    for word in (*"password passwd pwd secret token api".split(), *(t for ts in (*TITLES.values(), *GIVEN.values()) for t in ts)):
+        gate = gate | F.contains(text, F.lit(word))
+    return F.when(text.isNotNull() & gate, F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+
+
+def kind_of(match: Column) -> Column:
+    out = F.lit("secret")
+    for kind, pattern in reversed(list(KINDS.items())):
+        if kind != "secret":
+            out = F.when(F.rlike(match, F.lit(f"^(?:{pattern})$")), F.lit(kind)).otherwise(out)
+    return out
+
+
+def units(match: Column) -> Column:
+    """What of a match is replaced as one: (kind, norm). A name's words each stand alone, so that a surname stays one
+    surname wherever it occurs; of all else the norm has no case and, but for addresses and secrets, no punctuation."""
+    kind = kind_of(match)
+    words = F.filter(F.split(match, " "), lambda w: ~F.rlike(w, F.lit(rf"^(?:{_TITLE})\.?$")))
+    female = F.rlike(match, F.lit("^(?:" + "|".join((*TITLES["f"], *GIVEN["f"])) + r")\.? "))
+    male = F.rlike(match, F.lit("^(?:" + "|".join((*TITLES["m"], *GIVEN["m"])) + r")\.? "))
+    given = F.when(female, F.lit("given-f")).when(male, F.lit("given-m")).otherwise(F.lit("given-n"))
+    named = F.transform(words, lambda w, i: F.struct(F.when(i == F.size(words) - 1, F.lit("surname")).otherwise(given).alias("kind"), F.lower(w).alias("norm")))
+    bare = F.when(kind.isin("email", "secret", "key", "ipv6", "ipv4"), match).otherwise(F.regexp_replace(match, "[^0-9A-Za-z]", ""))
+    # case carries meaning in secrets and keys
+    norm = F.when(kind.isin("secret", "key"), bare).otherwise(F.lower(bare))
+    return F.when(kind == "name", named).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"))))
+
+
+def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
+    """A keyed replacement of the same kind, script, gender and format: digits for digits, letters for letters."""
+    seeded = F.concat_ws("|", F.lit(key), kind, norm, attempt.cast("string"))
+    digest = F.concat(F.sha2(seeded, 512), F.sha2(F.concat(seeded, F.lit("|2")), 512))
+    number = lambda i, width=4: F.conv(F.substring(digest, F.pmod(i * width, F.lit(248)) + 1, F.lit(width)), 16, 10).cast("int")
+    size = F.length(norm)
+    hexadecimal = F.rlike(norm, F.lit("^[0-9a-f]+$|^[0-9A-F]+$")) | (kind == "ipv6")
+    stays = (
+        F.when(kind == "email", F.length(F.substring_index(norm, ".", -1)))  # the last label, from the end
+        .otherwise(0)
+    )
+    leads = F.when(kind == "key", F.when(F.rlike(norm, F.lit("^(?:AKIA|ASIA|gh.[_])")), 4).otherwise(3)).when(kind == "iban", 2).when(kind == "card", 1).when(kind == "phone", F.greatest(size - 10, F.lit(0))).otherwise(0)
+    letters = lambda c, i, first: F.char(F.lit(ord(first)) + F.pmod(number(i), F.when(hexadecimal, 6).otherwise(26)))
+
+    def one(c: Column, i: Column) -> Column:
+        fresh = F.when(F.rlike(c, F.lit("[0-9]")), F.pmod(number(i), F.lit(10)).cast("string")).when(F.rlike(c, F.lit("[a-z]")), letters(c, i, "a")).when(F.rlike(c, F.lit("[A-Z]")), letters(c, i, "A")).otherwise(c)
+        return F.when((i < leads) | (i >= size - stays), c).otherwise(fresh)
+
+    plain = F.array_join(F.transform(F.split(norm, ""), one), "")
+    # the last digit of a card makes its checksum right
+    digits = F.slice(F.split(plain, ""), 1, F.greatest(size - 1, F.lit(0)))
+    doubled = F.transform(digits, lambda c, i: F.when(F.pmod(size - i, F.lit(2)) == 0, F.pmod(c.cast("int") * 2, F.lit(10)) + F.floor(c.cast("int") * 2 / 10).cast("int")).otherwise(c.cast("int")))
+    luhn = F.pmod(F.lit(10) - F.pmod(F.aggregate(doubled, F.lit(0), lambda a, x: a + x), F.lit(10)), F.lit(10))
+    card = F.concat(F.array_join(digits, ""), luhn.cast("string"))
+    octets = F.array_join(F.transform(F.split(norm, r"\."), lambda o, i: F.when(F.length(o) == 3, F.lit(100) + F.pmod(number(i), F.lit(124))).when(F.length(o) == 2, F.lit(10) + F.pmod(number(i), F.lit(90))).otherwise(1 + F.pmod(number(i), F.lit(9))).cast("string")), ".")
+    script = F.when(F.rlike(norm, F.lit(r"\p{IsCyrillic}")), F.lit("cyrillic")).when(F.rlike(norm, F.lit(r"\p{IsGreek}")), F.lit("greek")).otherwise(F.lit("latin"))
+    gender = F.when(kind == "surname", F.lit("surname")).otherwise(F.substring(kind, -1, 1))
+
+    def made(of: str) -> Column:
+        pick = lambda values, i: F.element_at(F.array(*map(F.lit, values)), F.pmod(number(i), F.lit(len(values))) + 1)
+        ending = F.lit("")
+        for g, values in ENDINGS[of].items():
+            ending = F.when(gender == g, pick(values, F.lit(40))).otherwise(ending)
+        # more syllables with every attempt that collided
+        return F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2) + attempt), lambda i: pick(SYLLABLES[of], i)), ""), ending)
+
+    name = F.when(script == "cyrillic", made("cyrillic")).when(script == "greek", made("greek")).otherwise(made("latin"))
+    longer = F.when(attempt >= ATTEMPTS, F.when(kind.isin("card", "phone", "ssn"), F.pmod(number(F.lit(50)), F.lit(10_000)).cast("string")).otherwise(F.substring(digest, 200, 6))).otherwise(F.lit(""))
+    free = F.when(kind == "email", F.concat(longer, plain)).otherwise(F.concat(plain, longer))
+    return F.when(kind.isin("surname", "given-f", "given-m", "given-n"), name).when((kind == "ipv4") & (attempt < ATTEMPTS), octets).when((kind == "card") & (attempt < ATTEMPTS), card).otherwise(free)
+
+
+def dictionary(found: DataFrame, key: str) -> DataFrame:
+    """(kind, norm, surrogate) from distinct (kind, norm): no two norms of a kind share a surrogate, and none is a norm.
+
+    Every norm gets its keyed surrogate; of those that meet, the smallest norm keeps it and the others try again, as
+    do those that hit a norm of the corpus or a surrogate that is taken. Rounds go on until none is left.
+    """
+    norms = stage(found, "pii-norms")
+    open_, done, attempt = norms, None, 0
+    while True:
+        tried = open_.withColumn("surrogate", surrogate(F.col("kind"), F.col("norm"), F.lit(attempt), key))
+        real = tried.join(norms.select("kind", F.col("norm").alias("surrogate")), ["kind", "surrogate"], "left_anti")
+        first = real.groupBy("kind", "surrogate").agg(F.min("norm").alias("norm"))
+        if done is not None:
+            first = first.join(done.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
+        won = stage(first.select("kind", "norm", "surrogate"), "pii-surrogates")
+        done = won if done is None else done.unionByName(won)
+        open_ = stage(open_.join(won, ["kind", "norm"], "left_anti"), "pii-open")
+        if open_.isEmpty():
+            return done
+        attempt += 1
+
+
+def lay(match: Column, kind: Column, replacement: Column) -> Column:
+    """The surrogate in the shape of the match: its punctuation, and upper case where it has some."""
+    slot = F.when(kind.isin("email", "secret", "key", "ipv6", "ipv4"), F.lit("(?s).")).otherwise(F.lit("[0-9A-Za-z]"))
+    chars = F.split(match, "")
+    shift = F.greatest(F.length(replacement) - F.regexp_count(match, slot), F.lit(0))  # only after many attempts
+    start = F.when(kind == "email", shift).otherwise(F.lit(0))
+
+    def one(c: Column, i: Column) -> Column:
+        s = F.substring(replacement, start + F.regexp_count(F.substring(match, F.lit(1), i), slot) + 1, F.lit(1))
+        return F.when(~F.rlike(c, slot), c).when(F.rlike(c, F.lit("[A-Z]")), F.upper(s)).otherwise(s)
+
+    body = F.array_join(F.transform(chars, one), "")
+    return F.when(kind == "email", F.concat(F.substring(replacement, F.lit(1), shift), body)).otherwise(F.concat(body, F.substring(replacement, F.length(replacement) - shift + 1, shift)))
+
+
+def replace(docs: DataFrame, *, text: str = "text", key: str = "surrogates", count: str | None = None) -> DataFrame:
+    """docs with every detected piece of personal data replaced in `text`; all other columns as they are.
+
+    Replacements are keyed, of the same kind, script, gender and format; equal entities get equal surrogates in all
+    documents (case and punctuation don't count), different ones different surrogates. Only documents with personal
+    data travel: their distinct entities form a dictionary, which is joined back entity by entity.
+
+    With `count`, a column of that name says how many matches were replaced. Null and empty texts stay; repeated rows
+    are all rewritten; an empty table gives an empty result.
+    """
+    names = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text).alias("text")).withColumn("found", matches(F.col("text")))
+    clean = rows.filter(F.size("found") == 0).select("row.*", *([F.lit(0).alias(count)] if count else []))
+    marked = rows.filter(F.size("found") > 0).select("row", F.monotonically_increasing_id().alias("at"), F.transform("found", lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind"), units(m).alias("units"))).alias("found"))
+    dirty = stage(marked, "pii-found")
+    used = dirty.select("at", F.explode(F.array_distinct(F.flatten(F.col("found.units")))).alias("unit")).select("at", "unit.kind", "unit.norm")
+    known = dictionary(used.select("kind", "norm").distinct(), key)
+    pairs = used.join(known, ["kind", "norm"]).groupBy("at").agg(F.map_from_entries(F.collect_list(F.struct(F.struct("kind", "norm").alias("k"), F.col("surrogate").alias("v")))).alias("map"))
+    joined = dirty.join(pairs, "at")
+    value = lambda u: F.element_at(F.col("map"), u)
+
+    def named(f: Column) -> Column:
+        words = F.split(f["match"], " ")
+        ahead = F.size(words) - F.size(f["units"])  # the title
+        cased = lambda w, s: F.when(F.rlike(w, F.lit(r"^\p{Lu}+$")) & (F.length(w) > 1), F.upper(s)).otherwise(F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, F.lit(2), F.length(s))))
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < ahead, w).otherwise(cased(w, value(F.get(f["units"], i - ahead))))), " ")
+
+    fresh = F.transform("found", lambda f: F.when(f["kind"] == "name", named(f)).otherwise(lay(f["match"], f["kind"], value(F.get(f["units"], F.lit(0))))))
+    gaps = F.split(F.col(f"row.{text}"), ENTITY, -1)
+    rewritten = F.array_join(F.zip_with(gaps, fresh, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
+    changed = joined.select("row", rewritten.alias("_text"), F.size("found").alias("_n")).select(*[F.col("_text").alias(c) if c == text else F.col("row")[c].alias(c) for c in names], *([F.col("_n").alias(count)] if count else []))
+    return clean.unionByName(changed)
+
+
+def op7_pii(spark, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return replace(docs, count="n_replaced")

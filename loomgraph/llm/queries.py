@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, langid, licenses, mixing, neighbours, pages, quality
+from . import bpe, fingerprints, langid, licenses, mixing, neighbours, pages, pii, quality
 
 QUERIES = {
     "op2_pages": pages.op2_pages,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_quality": quality.op4_quality,
     "op5_byte_bpe": bpe.op5_byte_bpe,
     "op6_licenses": licenses.op6_licenses,
+    "op7_pii": pii.op7_pii,
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_mixing": mixing.op9_mixing,
     "op10_neighbours": neighbours.op10_neighbours,
