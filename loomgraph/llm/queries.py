@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, langid, licenses, mixing, neighbours, pages, pii, quality
+from . import bpe, fingerprints, langid, licenses, mixing, near, neighbours, pages, pii, quality
 
 QUERIES = {
+    "op1_near": near.op1_near,
     "op2_pages": pages.op2_pages,
     "op3_language": langid.op3_language,
     "op4_quality": quality.op4_quality,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_near": near.OP1_SQL,
     "op9_mixing": mixing.OP9_SQL,
     "op10_neighbours": neighbours.OP10_SQL,
 }
