@@ -1,4 +1,8 @@
 """Query key to callable and oracle SQL."""
 
-QUERIES = {}
-ORACLES = {}
+from __future__ import annotations
+
+from . import graph_queries
+
+QUERIES = {**graph_queries.QUERIES}
+ORACLES = {**graph_queries.ORACLES}
