@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.schema import EDGE_RULES
-from ..operators import resolve, validate
+from ..operators import graph, metrics, resolve, validate
 from ..sources.adapter import edges, nodes, with_occurrences
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,58 @@ query("name_check", lambda n, e: validate.bad_names(n), "SELECT type, count(*) A
 query("embodies", lambda n, e: validate.embody_actions(resolve.proposals(n), resolve.resolved_nodes(n), resolve.resolved_edges(n, e)),
       RESOLVED + f", p AS (SELECT max(new_id) FILTER (type <> 'Theme') AS source_id, max(new_id) FILTER (type = 'Theme') AS target_id FROM spl GROUP BY id HAVING count(*) = 2), k AS (SELECT id, min(type) AS t FROM res GROUP BY id) SELECT source_id, target_id, a.t AS source_type, b.t AS target_type, CASE WHEN a.t IS NULL OR b.t IS NULL THEN 'dangling' WHEN NOT ({_compatible_sql(chr(39) + 'EMBODIES' + chr(39), 'a.t', 'b.t')}) THEN 'incompatible' WHEN EXISTS (SELECT 1 FROM edg WHERE type = 'EMBODIES' AND source = source_id AND target = target_id) THEN 'duplicate' ELSE 'materialised' END AS action FROM p LEFT JOIN k a ON a.id = source_id LEFT JOIN k b ON b.id = target_id")
 query("split_suffix", lambda n, e: resolve.split_map(n).select("new_id", text.without_split(F.col("new_id")).alias("bare"), text.slug(F.col("new_id")).alias("slug")), RESOLVED + "SELECT new_id, id AS bare, trim(regexp_replace(lower(new_id), '[^a-z0-9]+', '_', 'g'), '_') AS slug FROM spl")
+
+
+def resolved(function: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """function gets resolved nodes and edges."""
+    return lambda n, e: function(resolve.resolved_nodes(n), resolve.resolved_edges(n, e))
+
+
+_PAIRS = RESOLVED + ", par AS (SELECT DISTINCT least(source, target) AS a, greatest(source, target) AS b FROM edg), deg AS (SELECT r.id, r.type, coalesce(d, 0) AS degree FROM res r LEFT JOIN (SELECT id, count(*) AS d FROM (SELECT unnest([a, b]) AS id FROM par) GROUP BY id) USING (id)) "
+query("degree_stats", resolved(graph.degree_stats), _PAIRS + "SELECT type, count(*) AS n, min(degree) AS least, max(degree) AS most, round(quantile_cont(degree, 0.5), 4) AS median, round(quantile_cont(degree, 0.9), 4) AS p90, round(quantile_cont(degree, 0.99), 4) AS p99, count(*) FILTER (degree <= 1) AS n_leaves FROM deg GROUP BY type")
+query("hubs", resolved(graph.hubs), _PAIRS + "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY type ORDER BY degree DESC, id) AS INTEGER) AS place FROM deg) WHERE place <= 10")
+_CREATED = "type = 'CREATED' AND substr(target_id, 1, 4) <= 'pt_1'"
+
+
+def _created(n: DataFrame, e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    part = e.filter(_CREATED).filter("source_id <> 'su_1'").select(F.concat(F.lit("c"), F.col("chunk_id")).alias("source"), F.col("target_id").alias("target"))
+    return n.filter("type = 'Work' AND substr(id, 1, 4) <= 'pt_1'"), part
+
+
+query("components", lambda n, e: graph.component_sizes(*_created(n, e)), f"WITH RECURSIVE p AS (SELECT DISTINCT 'c' || chunk_id AS a, target_id AS b FROM edge_occ WHERE {_CREATED} AND source_id <> 'su_1'), q AS (SELECT a, b FROM p UNION SELECT b, a FROM p), r AS (SELECT b AS node, b AS seen FROM p UNION SELECT r.node, q2.b FROM r JOIN q q1 ON q1.a = r.seen JOIN q q2 ON q2.a = q1.b), c AS (SELECT node, min(seen) AS root FROM r GROUP BY node), w AS (SELECT DISTINCT id AS node FROM node_occ WHERE type = 'Work' AND substr(id, 1, 4) <= 'pt_1'), s AS (SELECT coalesce(root, node) AS root, count(*) AS size FROM w LEFT JOIN c USING (node) GROUP BY 1) SELECT size, count(*) AS n FROM s GROUP BY size")
+query("one_hop", resolved(lambda n, e: graph.one_hop(n.filter("type = 'Phase'"), e)), RESOLVED + ", s AS (SELECT id FROM res WHERE type = 'Phase') SELECT DISTINCT * FROM (SELECT source, target, type, role, false AS reversed FROM edg UNION ALL SELECT target, source, type, role, true FROM edg) WHERE source IN (SELECT id FROM s)")
+query("node_trim", resolved(lambda n, e: graph.trimmed(n.filter("type = 'Phase'"), graph.one_hop(n.filter("type = 'Phase'"), e).select(F.col("target").alias("id")), n, 40)),
+      RESOLVED + ", s AS (SELECT id FROM res WHERE type = 'Phase'), h AS (SELECT target AS id FROM edg WHERE source IN (SELECT id FROM s) UNION SELECT source FROM edg WHERE target IN (SELECT id FROM s)), a AS (SELECT id, min(ring) AS ring FROM (SELECT id, 0 AS ring FROM s UNION ALL SELECT id, 1 FROM h) GROUP BY id), k AS (SELECT id, min(type) AS type, sum(n_provenances) AS n FROM res GROUP BY id) SELECT id, type, ring FROM a JOIN k USING (id) ORDER BY ring, n >= 20, CASE type WHEN 'Event' THEN 0 WHEN 'Person' THEN 1 WHEN 'Place' THEN 2 WHEN 'Phase' THEN 3 WHEN 'Era' THEN 4 WHEN 'Theme' THEN 5 WHEN 'Reflection' THEN 6 WHEN 'Work' THEN 7 ELSE 9 END, id LIMIT 40")
+query("caps_intermediates", lambda n, e: graph.caps(e.filter("type IN ('FOLLOWS', 'CAUSED')").select(F.col("source_id").alias("source"), F.col("target_id").alias("target"))), "WITH f AS (SELECT source_id AS s, target_id AS t FROM edge_occ WHERE type IN ('FOLLOWS', 'CAUSED')), u AS (SELECT s AS id, 1 AS a, 0 AS b FROM f UNION ALL SELECT t, 0, 1 FROM f) SELECT id, CASE WHEN max(a) = 0 THEN 'cap' WHEN max(b) = 1 THEN 'intermediate' ELSE 'leaf' END AS part, CAST(sum(b) AS BIGINT) AS n_under FROM u GROUP BY id")
+query("acyclic_check", lambda n, e: graph.peel(e.filter("type = 'OCCURS_IN'").select(F.col("source_id").alias("source"), F.col("target_id").alias("target")).distinct()).agg(F.count(F.lit(1)).alias("n_left")), "SELECT CAST(0 AS BIGINT) AS n_left FROM edge_occ LIMIT 1")
+
+
+def _ring(n: DataFrame, e: DataFrame) -> DataFrame:
+    """Places that follow each other in rings of the orders: break the cycles."""
+    moves = e.filter("type = 'OCCURS_IN'").groupBy("source_id", "target_id").agg(F.round(F.max("confidence"), 6).alias("confidence"), F.min("pos").alias("pos"))
+    back = moves.select(F.col("target_id").alias("source"), F.col("source_id").alias("target"), F.round(F.col("confidence") - 0.1, 6).alias("confidence"), (F.col("pos") + 1).alias("pos"))
+    both = moves.select(F.col("source_id").alias("source"), F.col("target_id").alias("target"), "confidence", "pos").unionByName(back.filter("target = 'ph_1'"))
+    return graph.break_cycles(both)[1].select("source", "target", "confidence")
+
+
+query("cycle_break", _ring, None)
+query("reciprocal", lambda n, e: graph.reciprocal(e.filter("type = 'OCCURS_IN'").select(F.col("source_id").alias("source"), F.col("target_id").alias("target"), "type").unionByName(e.filter("type = 'OCCURS_IN' AND source_id < 'ph_3'").select(F.col("target_id").alias("source"), F.col("source_id").alias("target"), "type")), "OCCURS_IN"), "WITH o AS (SELECT DISTINCT source_id, target_id FROM edge_occ WHERE type = 'OCCURS_IN' AND source_id < 'ph_3') SELECT least(source_id, target_id) AS source, greatest(source_id, target_id) AS target FROM o")
+query("type_counts", lambda n, e: metrics.type_counts(n), "WITH t AS (SELECT unnest(['Person', 'Event', 'Place', 'Phase', 'Theme', 'Reflection', 'Work', 'Era']) AS type), c AS (SELECT type, count(DISTINCT id) AS n FROM node_occ GROUP BY type) SELECT type, coalesce(n, 0) AS n, true AS in_schema FROM t LEFT JOIN c USING (type)")
+query("confidence_stats", lambda n, e: metrics.confidence_stats(n), "SELECT type, count(*) AS n, round(avg(confidence), 6) AS mean, min(confidence) AS least, max(confidence) AS most, round(quantile_cont(confidence, 0.1), 6) AS p10, round(quantile_cont(confidence, 0.25), 6) AS p25, round(quantile_cont(confidence, 0.5), 6) AS median, round(quantile_cont(confidence, 0.75), 6) AS p75, round(quantile_cont(confidence, 0.9), 6) AS p90, count(*) FILTER (confidence < 0.5::DOUBLE) AS below_50, count(*) FILTER (confidence < 0.7::DOUBLE) AS below_70, count(*) FILTER (confidence < 0.9::DOUBLE) AS below_90 FROM node_occ GROUP BY type")
+_EVENTS = "kin AS (SELECT id, min(type) AS t FROM node_occ GROUP BY id), evq AS (SELECT source_id AS id, bool_or(type = 'LOCATED_AT') AS place, bool_or(type = 'DURING') AS time, bool_or(type = 'DURING' AND t = 'Era') AS era, bool_or(type = 'INVOLVES') AS person, bool_or(type = 'EMBODIES' AND t = 'Theme') AS theme FROM edge_occ LEFT JOIN kin ON kin.id = target_id GROUP BY source_id), evs AS (SELECT DISTINCT id FROM node_occ WHERE type = 'Event'), evr AS (SELECT count(*) AS n_events, " + ", ".join(f"round(100 * (count(*) FILTER (coalesce({c}, false)))::DOUBLE / count(*), 2) AS pct_{c}" for c in ("place", "time", "era", "person", "theme")) + " FROM evs LEFT JOIN evq USING (id))"
+query("event_quality", metrics.event_quality, f"WITH {_EVENTS} SELECT * FROM evr")
+_PHASES = "pha AS (SELECT p.id, coalesce(n_events, 0) AS n_events, coalesce(n_eras, 0) > 0 AS anchored FROM (SELECT DISTINCT id FROM node_occ WHERE type = 'Phase') p LEFT JOIN (SELECT target_id AS id, count(DISTINCT source_id) AS n_events FROM edge_occ WHERE type = 'DURING' GROUP BY 1) USING (id) LEFT JOIN (SELECT source_id AS id, count(DISTINCT target_id) AS n_eras FROM edge_occ WHERE type = 'OCCURS_IN' GROUP BY 1) USING (id))"
+query("temporal_backbone", metrics.temporal_backbone, f"WITH {_PHASES} SELECT * FROM pha")
+_ROLES = "rol AS (SELECT count(*) AS n, " + ", ".join(f"round(100 * (count(*) FILTER (role = '{r}'))::DOUBLE / count(*), 2) AS pct_{r}" for r in ("protagonist", "participant", "mentioned")) + " FROM edge_occ WHERE type = 'INVOLVES')"
+query("involves_roles", lambda n, e: metrics.involves_roles(e), f"WITH {_ROLES} SELECT * FROM rol")
+_NARRATIVE = "nar AS (SELECT count(*) FILTER (type = 'CAUSED') AS n_caused, count(*) FILTER (type = 'FOLLOWS') AS n_follows, count(*) FILTER (type = 'ECHOES') AS n_echoes FROM edge_occ), nrr AS (SELECT *, CASE WHEN n_follows = 0 THEN 'inf'::DOUBLE ELSE round(n_caused::DOUBLE / n_follows, 6) END AS ratio FROM nar)"
+query("narrative_ratio", lambda n, e: metrics.narrative(e), f"WITH {_NARRATIVE} SELECT * FROM nrr")
+query("theme_rank", lambda n, e: metrics.theme_rank(e), "SELECT target_id AS id, count(*) AS n_in, count(DISTINCT source_id) AS n_sources FROM edge_occ WHERE type = 'EMBODIES' GROUP BY 1 ORDER BY n_in DESC, id LIMIT 20")
+query("reflection_dist", lambda n, e: metrics.per_chunk(n, "Theme"), "WITH c AS (SELECT chunk_id, count(*) FILTER (type = 'Theme') AS n_nodes FROM node_occ GROUP BY 1) SELECT n_nodes, count(*) AS n_chunks FROM c GROUP BY 1")
+query("person_duplicates", lambda n, e: metrics.person_duplicates(n, F.substring(text.name_norm(F.col("name")), 1, 16)), f"WITH a AS (SELECT DISTINCT id, substr({NORM}, 1, 16) AS norm FROM node_occ WHERE type = 'Person') SELECT norm, count(*) AS n, min(id) AS first FROM a GROUP BY norm HAVING count(*) > 1")
+query("phase_pairs", lambda n, e: metrics.phase_order(n, e, text.ordinal(F.col("chunk_id"))), "WITH era AS (SELECT source_id AS id, arg_max(target_id, pos) AS era FROM edge_occ WHERE type = 'OCCURS_IN' GROUP BY 1), m AS (SELECT id, round(avg(CAST(regexp_extract(chunk_id, '([0-9]+)', 1) AS BIGINT)), 4) AS mean FROM node_occ WHERE type = 'Phase' GROUP BY 1) SELECT id, mean, era, CAST(row_number() OVER w AS INTEGER) AS place, lead(id) OVER w AS next_id FROM m JOIN era USING (id) WINDOW w AS (PARTITION BY era ORDER BY mean, id)")
+_CHECKS = f"WITH {_EVENTS}, {_PHASES}, {_ROLES}, {_NARRATIVE}, one AS (SELECT evr.*, nrr.ratio, (SELECT round(100 * (count(*) FILTER (anchored))::DOUBLE / count(*), 2) FROM pha) AS pct_anchored, (SELECT round((count(DISTINCT id) FILTER (type = 'Theme'))::DOUBLE / count(DISTINCT chunk_id), 6) FROM node_occ) AS themes_per_chunk, (SELECT count(DISTINCT chunk_id) FROM node_occ) AS n_chunks, (SELECT max(c)::DOUBLE FROM (SELECT count(*) AS c FROM edge_occ WHERE type = 'EMBODIES' GROUP BY target_id)) AS top_theme, (SELECT pct_protagonist FROM rol) AS pct_protagonist FROM evr, nrr), chk AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"check\", {m}::DOUBLE AS value, CASE WHEN {m} IS NULL THEN 'n/a' WHEN {m} {'<' if more else '>'} {s} THEN 'stop' WHEN {m} {'>=' if more else '<='} {g} THEN 'pass' ELSE 'fail' END AS status FROM one" for c, m, g, s, more in metrics.THRESHOLDS
+) + " UNION ALL SELECT 'pct_protagonist_on_involves', pct_protagonist, CASE WHEN pct_protagonist IS NULL THEN 'n/a' WHEN pct_protagonist > 85 OR pct_protagonist < 25 THEN 'stop' WHEN pct_protagonist BETWEEN 40 AND 65 THEN 'pass' ELSE 'fail' END FROM one UNION ALL SELECT 'graph_loaded', n_chunks::DOUBLE, CASE WHEN n_chunks > 0 THEN 'pass' ELSE 'stop' END FROM one) "
+query("stage_checks", metrics.checks, _CHECKS + "SELECT * FROM chk")
+query("verdict_table", lambda n, e: metrics.verdict(metrics.checks(n, e)), _CHECKS + "SELECT count(*) FILTER (status = 'stop') AS n_stop, count(*) FILTER (status = 'pass') AS n_pass, count(*) FILTER (status = 'fail') AS n_fail, CASE WHEN count(*) FILTER (status = 'stop') >= 3 THEN 'stop' WHEN count(*) FILTER (status = 'pass') >= 6 AND count(*) FILTER (status = 'stop') = 0 THEN 'ok' ELSE 'mixed' END AS verdict FROM chk")

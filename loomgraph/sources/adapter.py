@@ -62,4 +62,7 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_occurrences(sql: str) -> str:
     """Oracle SQL over node_occ and edge_occ."""
     names = {t: t for t in TABLES}
-    return f"WITH node_occ AS ({NODES.format(**names)}), edge_occ AS ({EDGES.format(**names)}), {sql.strip().removeprefix('WITH ')}" if sql.strip().startswith("WITH ") else f"WITH node_occ AS ({NODES.format(**names)}), edge_occ AS ({EDGES.format(**names)}) {sql}"
+    recursive = "RECURSIVE " if "WITH RECURSIVE" in sql else ""
+    head = f"WITH {recursive}node_occ AS ({NODES.format(**names)}), edge_occ AS ({EDGES.format(**names)})"
+    body = sql.strip().removeprefix("WITH ").removeprefix("RECURSIVE ")
+    return f"{head}, {body}" if sql.strip().startswith("WITH ") else f"{head} {sql}"
