@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import graph_queries, text_queries
+from . import graph_queries, retrieval_queries, text_queries
 
-QUERIES = {**graph_queries.QUERIES, **text_queries.QUERIES}
-ORACLES = {**graph_queries.ORACLES, **text_queries.ORACLES}
+QUERIES = {**graph_queries.QUERIES, **text_queries.QUERIES, **retrieval_queries.QUERIES}
+ORACLES = {**graph_queries.ORACLES, **text_queries.ORACLES, **retrieval_queries.ORACLES}
