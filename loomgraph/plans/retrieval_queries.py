@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from ..operators import graph, resolve, retrieve, similar
+from ..operators import cluster, graph, resolve, retrieve, similar
 from ..sources import documents
 from ..sources.adapter import edges, nodes, with_occurrences
 from .graph_queries import RESOLVED
@@ -102,3 +102,5 @@ query("upsert_latest", lambda s, d: documents.latest(nodes(s, d).select("id", "n
 query("run_totals", lambda s, d: nodes(s, d).groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("n").alias("n_nodes"), F.max("n").alias("most"), F.round(F.avg("n"), 6).alias("mean")), with_occurrences("WITH c AS (SELECT chunk_id, count(*) AS n FROM node_occ GROUP BY 1) SELECT count(*) AS n_chunks, CAST(sum(n) AS BIGINT) AS n_nodes, max(n) AS most, round(avg(n), 6) AS mean FROM c"))
 query("unique_triples", lambda s, d: edges(s, d).select("source_id", "target_id", "type").distinct().groupBy("type").agg(F.count(F.lit(1)).alias("n")), with_occurrences("SELECT type, count(DISTINCT (source_id, target_id)) AS n FROM edge_occ GROUP BY type"))
 query("review_queue", lambda s, d: resolve.resolved_nodes(nodes(s, d)).filter("n_provenances >= 20 OR n_names > 1").select("id", "type", F.when(F.col("n_names") > 1, 1).otherwise(2).alias("priority"), "n_provenances"), with_occurrences(RESOLVED + "SELECT id, type, CASE WHEN n_names > 1 THEN 1 ELSE 2 END AS priority, n_provenances FROM res WHERE n_provenances >= 20 OR n_names > 1"))
+query("average_linkage", lambda s, d: cluster.clusters(_read(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v")), 0.62), None)
+query("echo_candidates", lambda s, d: cluster.echoes(_read(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"), F.col("vec_id").alias("ord")), 0.35), None)
