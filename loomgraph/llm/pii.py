@@ -39,7 +39,7 @@ KINDS = {
     "ipv6": r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])",
     "ipv4": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.[0-9])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
-    "card": r"(?<![\w.+-])[3-6][0-9]{3}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}(?!\w)",
+    "card": r"(?<![\w.+-])(?:4[0-9]{3}|5[1-5][0-9]{2}|2[2-7][0-9]{2}|6011|65[0-9]{2}|64[4-9][0-9]|35[2-8][0-9])(?:[ -]?[0-9]{4}){3}(?!\w)|(?<![\w.+-])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?!\w)",
     "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?!\w)|(?<![\w+])\+[0-9]{8,14}(?!\w)",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.? {_WORD}(?: {_WORD}){{0,2}}|(?:{_GIVEN}) {_WORD})",
 }
@@ -62,13 +62,20 @@ def kind_of(match: Column) -> Column:
     for kind, pattern in reversed(list(KINDS.items())):
         if kind != "secret":
             out = F.when(F.rlike(match, F.lit(f"^(?:{pattern})$")), F.lit(kind)).otherwise(out)
-    return out
+    # a number in a card's shape whose checksum is wrong is just a number
+    return F.when((out == "card") & (luhn(F.regexp_replace(match, "[^0-9]", "")) != 0), F.lit("none")).otherwise(out)
 
 
-def units(match: Column) -> Column:
+def luhn(digits: Column) -> Column:
+    """The checksum of a string of digits: 0 if it is right."""
+    n = F.length(digits)
+    doubled = F.transform(F.split(digits, ""), lambda c, i: F.when(F.pmod(n - i, F.lit(2)) == 0, F.pmod(c.cast("int") * 2, F.lit(10)) + F.floor(c.cast("int") * 2 / 10).cast("int")).otherwise(c.cast("int")))
+    return F.pmod(F.aggregate(doubled, F.lit(0), lambda a, x: a + x), F.lit(10))
+
+
+def units(match: Column, kind: Column) -> Column:
     """What of a match is replaced as one: (kind, norm). A name's words each stand alone, so that a surname stays one
     surname wherever it occurs; of all else the norm has no case and, but for addresses and secrets, no punctuation."""
-    kind = kind_of(match)
     words = F.filter(F.split(match, " "), lambda w: ~F.rlike(w, F.lit(rf"^(?:{_TITLE})\.?$")))
     female = F.rlike(match, F.lit("^(?:" + "|".join((*TITLES["f"], *GIVEN["f"])) + r")\.? "))
     male = F.rlike(match, F.lit("^(?:" + "|".join((*TITLES["m"], *GIVEN["m"])) + r")\.? "))
@@ -77,7 +84,7 @@ def units(match: Column) -> Column:
     bare = F.when(kind.isin("email", "secret", "key", "ipv6", "ipv4"), match).otherwise(F.regexp_replace(match, "[^0-9A-Za-z]", ""))
     # case carries meaning in secrets and keys
     norm = F.when(kind.isin("secret", "key"), bare).otherwise(F.lower(bare))
-    return F.when(kind == "name", named).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"))))
+    return F.when(kind == "name", named).when(kind == "none", F.slice(named, 1, 0)).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"))))
 
 
 def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
@@ -100,10 +107,8 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
 
     plain = F.array_join(F.transform(F.split(norm, ""), one), "")
     # the last digit of a card makes its checksum right
-    digits = F.slice(F.split(plain, ""), 1, F.greatest(size - 1, F.lit(0)))
-    doubled = F.transform(digits, lambda c, i: F.when(F.pmod(size - i, F.lit(2)) == 0, F.pmod(c.cast("int") * 2, F.lit(10)) + F.floor(c.cast("int") * 2 / 10).cast("int")).otherwise(c.cast("int")))
-    luhn = F.pmod(F.lit(10) - F.pmod(F.aggregate(doubled, F.lit(0), lambda a, x: a + x), F.lit(10)), F.lit(10))
-    card = F.concat(F.array_join(digits, ""), luhn.cast("string"))
+    digits = F.regexp_replace(F.substring(plain, F.lit(1), size - 1), "[^0-9]", "0")
+    card = F.concat(digits, F.pmod(F.lit(10) - luhn(F.concat(digits, F.lit("0"))), F.lit(10)).cast("string"))
     octets = F.array_join(F.transform(F.split(norm, r"\."), lambda o, i: F.when(F.length(o) == 3, F.lit(100) + F.pmod(number(i), F.lit(124))).when(F.length(o) == 2, F.lit(10) + F.pmod(number(i), F.lit(90))).otherwise(1 + F.pmod(number(i), F.lit(9))).cast("string")), ".")
     script = F.when(F.rlike(norm, F.lit(r"\p{IsCyrillic}")), F.lit("cyrillic")).when(F.rlike(norm, F.lit(r"\p{IsGreek}")), F.lit("greek")).otherwise(F.lit("latin"))
     gender = F.when(kind == "surname", F.lit("surname")).otherwise(F.substring(kind, -1, 1))
@@ -170,9 +175,11 @@ def replace(docs: DataFrame, *, text: str = "text", key: str = "surrogates", cou
     are all rewritten; an empty table gives an empty result.
     """
     names = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text).alias("text")).withColumn("found", matches(F.col("text")))
-    clean = rows.filter(F.size("found") == 0).select("row.*", *([F.lit(0).alias(count)] if count else []))
-    marked = rows.filter(F.size("found") > 0).select("row", F.monotonically_increasing_id().alias("at"), F.transform("found", lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind"), units(m).alias("units"))).alias("found"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text).alias("text"))
+    rows = rows.withColumn("found", F.transform(matches(F.col("text")), lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind"))))
+    private = F.size(F.filter("found", lambda f: f["kind"] != "none"))
+    clean = rows.filter(private == 0).select("row.*", *([F.lit(0).alias(count)] if count else []))
+    marked = rows.filter(private > 0).select("row", F.monotonically_increasing_id().alias("at"), F.transform("found", lambda f: F.struct(f["match"].alias("match"), f["kind"].alias("kind"), units(f["match"], f["kind"]).alias("units"))).alias("found"))
     dirty = stage(marked, "pii-found")
     used = dirty.select("at", F.explode(F.array_distinct(F.flatten(F.col("found.units")))).alias("unit")).select("at", "unit.kind", "unit.norm")
     known = dictionary(used.select("kind", "norm").distinct(), key)
@@ -186,10 +193,10 @@ def replace(docs: DataFrame, *, text: str = "text", key: str = "surrogates", cou
         cased = lambda w, s: F.when(F.rlike(w, F.lit(r"^\p{Lu}+$")) & (F.length(w) > 1), F.upper(s)).otherwise(F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, F.lit(2), F.length(s))))
         return F.array_join(F.transform(words, lambda w, i: F.when(i < ahead, w).otherwise(cased(w, value(F.get(f["units"], i - ahead))))), " ")
 
-    fresh = F.transform("found", lambda f: F.when(f["kind"] == "name", named(f)).otherwise(lay(f["match"], f["kind"], value(F.get(f["units"], F.lit(0))))))
+    fresh = F.transform("found", lambda f: F.when(f["kind"] == "none", f["match"]).when(f["kind"] == "name", named(f)).otherwise(lay(f["match"], f["kind"], value(F.get(f["units"], F.lit(0))))))
     gaps = F.split(F.col(f"row.{text}"), ENTITY, -1)
     rewritten = F.array_join(F.zip_with(gaps, fresh, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
-    changed = joined.select("row", rewritten.alias("_text"), F.size("found").alias("_n")).select(*[F.col("_text").alias(c) if c == text else F.col("row")[c].alias(c) for c in names], *([F.col("_n").alias(count)] if count else []))
+    changed = joined.select("row", rewritten.alias("_text"), private.alias("_n")).select(*[F.col("_text").alias(c) if c == text else F.col("row")[c].alias(c) for c in names], *([F.col("_n").alias(count)] if count else []))
     return clean.unionByName(changed)
 
 
