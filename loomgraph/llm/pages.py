@@ -18,7 +18,7 @@ NOISE = frozenset("nav footer aside form script style noscript template iframe o
 NOISE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promotion promoted cookie cookies consent gdpr notice notices alert alerts "
     "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars side rail footer foot masthead topbar toolbar header comment comments commentlist respond reply replies discussion disqus "
-    "share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay widget pagination pager search complementary contentinfo hidden".split()
+    "share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay pagination pager search complementary contentinfo hidden".split()
 )
 #: Elements without an end tag, elements whose content is raw text, and elements that end a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -43,8 +43,13 @@ def _is_noise(name: str, attributes: str, inside: set[str]) -> bool:
         if AWAY.search(attributes):
             return True
         for m in NAMES.finditer(attributes):
-            if NOISE_NAMES & set(re.split(r"[^a-z]+", (m[2] or m[3] or m[4] or "").lower())):
-                return True
+            for each in (m[2] or m[3] or m[4] or "").lower().split():
+                parts = [p for p in re.split(r"[^a-z]+", each) if p]
+                if parts and parts[0] not in ("has", "no", "with", "without", "is"):
+                    marks = NOISE_NAMES & set(parts)
+                    # an article's own header holds its title
+                    if marks - {"header"} or marks and not inside & {"article", "main"}:
+                        return True
     return False
 
 

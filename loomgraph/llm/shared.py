@@ -1,43 +1,18 @@
-"""What several operators of this folder need: the shared folder, staged tables, words."""
+"""What several operators of this folder need: staged tables and words."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Where staged tables go if the session names no shared folder, as in local tests.
-LOCAL_FOLDER = "file:///tmp/checkpoints/loomgraph"
+from ..functions.staging import stage
+
+__all__ = ["WORD", "stage", "word_count"]
 
 #: White space as the contracts count it: blank, tab, line feed to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or LOCAL_FOLDER).rstrip("/")
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: lineage ends here, lost executors don't matter.
-
-    The files go when the driver's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(conf).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def word_count(text: Column) -> Column:
     """Number of runs of characters other than white space; 0 for null."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -21,6 +21,11 @@ def test_a_page():
     assert pages.main_text(cut, WEIGHTS).split("\n\n") == [*want[:2], "Second <p> é🙂 pa"]
 
 
+def test_names():
+    page = '<div class="post has-comments no-sidebar"><article class="no-comments"><div class="article-header"><h1>Title here</h1></div><p>One two three four.</p><div class="ad-slot">Buy</div><div role="alert">Careful</div></article></div><div id="respond">Write a reply to this text now</div>'
+    assert pages.main_text(page, WEIGHTS).split("\n\n") == ["Title here", "One two three four."]
+
+
 def test_region_is_the_best_of_all():
     r = random.Random(3)
     weights = {"word": 1.0, "link": 0.2, "skip": -1.0, "p": -0.5, "div": -2.0, "other": -0.7}
