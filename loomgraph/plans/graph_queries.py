@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.schema import EDGE_RULES
+from ..functions.staging import stage
 from ..operators import graph, metrics, resolve, validate
 from ..sources.adapter import edges, nodes, with_occurrences
 
@@ -16,13 +17,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, function: Callable[[DataFrame, DataFrame], DataFrame], sql: str | None) -> None:
-    """function gets lazily read node and edge occurrences."""
-    QUERIES[name] = lambda spark, sf_dir: function(nodes(spark, sf_dir), edges(spark, sf_dir))
-    if sql:
-        ORACLES[name] = with_occurrences(sql)
-
-
 NORM = "lower(trim(regexp_replace(name, '\\s+', ' ', 'g')))"
 
 #: Resolved tables as common table expressions of oracles.
@@ -47,6 +41,15 @@ res AS (SELECT a.final_id AS id, a.type, b.name, a.n_provenances, a.merged_from,
 edg AS (SELECT source, target, type, role, count(*) AS n_provenances, min(chunk_id) AS first_chunk FROM mve WHERE source <> target GROUP BY ALL)
 """
 
+
+def query(name: str, function: Callable[[DataFrame, DataFrame], DataFrame], sql: str | None) -> None:
+    """function gets node and edge occurrences; nodes are written once where it resolves them, as it then reads them often."""
+    again = sql is not None and sql.startswith(RESOLVED)
+    QUERIES[name] = lambda spark, sf_dir: function(stage(nodes(spark, sf_dir), "occurrences") if again else nodes(spark, sf_dir), edges(spark, sf_dir))
+    if sql:
+        ORACLES[name] = with_occurrences(sql)
+
+
 query("node_index", lambda n, e: resolve.node_index(n), f"WITH a AS (SELECT type, id, {NORM} AS norm, count(*) AS n FROM node_occ GROUP BY ALL), b AS (SELECT type, norm, CAST(sum(n) AS BIGINT) AS n_name FROM a GROUP BY ALL), c AS (SELECT type, id, CAST(sum(n) AS BIGINT) AS n_id, min(norm) AS norm FROM a GROUP BY ALL) SELECT type, norm, id, n_id, n_name FROM c JOIN b USING (type, norm)")
 query("type_collisions", lambda n, e: resolve.type_collisions(n), "SELECT id, string_agg(DISTINCT type, ',' ORDER BY type) AS types, count(DISTINCT type) AS n_types, count(*) AS n FROM node_occ GROUP BY id HAVING count(DISTINCT type) > 1")
 query("dup_exact", lambda n, e: resolve.exact_duplicates(n), f"SELECT type, {NORM} AS norm, string_agg(DISTINCT id, ',' ORDER BY id) AS ids, count(DISTINCT id) AS n_ids FROM node_occ GROUP BY type, norm HAVING count(DISTINCT id) > 1")
@@ -85,8 +88,8 @@ query("split_suffix", lambda n, e: resolve.split_map(n).select("new_id", text.wi
 
 
 def resolved(function: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, DataFrame], DataFrame]:
-    """function gets resolved nodes and edges."""
-    return lambda n, e: function(resolve.resolved_nodes(n), resolve.resolved_edges(n, e))
+    """function gets resolved nodes and edges, written once."""
+    return lambda n, e: function(stage(resolve.resolved_nodes(n), "nodes"), stage(resolve.resolved_edges(n, e), "edges"))
 
 
 _PAIRS = RESOLVED + ", par AS (SELECT DISTINCT least(source, target) AS a, greatest(source, target) AS b FROM edg), deg AS (SELECT r.id, r.type, coalesce(d, 0) AS degree FROM res r LEFT JOIN (SELECT id, count(*) AS d FROM (SELECT unnest([a, b]) AS id FROM par) GROUP BY id) USING (id)) "
