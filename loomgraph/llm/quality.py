@@ -19,6 +19,8 @@ ORDER, BITS, TAG = 4, 15, 60
 AGAIN, START, END = "\x07", 2, 3
 #: Documents that are scored together, texts counted at once, trusted ids that are sent to every executor (8 bytes each).
 BLOCK, SLICE, SENT = 4_096, 64, 2_000_000
+#: Languages whose thresholds are sent to every executor; with more, documents and thresholds are joined by language.
+LANGUAGES = 10_000
 #: A document goes if its perplexity is above this share of the trusted documents of its language.
 QUANTILE = 0.999
 
@@ -194,9 +196,10 @@ def score(docs: DataFrame, trusted_ids: DataFrame, *, key: str = "doc_id", text:
     # narrow: which of the scored documents are trusted
     flags = ids.select("trusted_id", F.lit(True).alias("trusted"))
     marked = scored.join(F.broadcast(flags) if known <= SENT else flags, F.col("key") == F.col("trusted_id"), "left").drop("trusted_id").withColumn("trusted", F.coalesce("trusted", F.lit(False)) & F.col("real"))
-    limits = marked.filter("trusted").groupBy("lang").agg(F.percentile_approx("surprise", QUANTILE, 100_000).alias("of_lang")).withColumnRenamed("lang", "l_lang")
+    limits = stage(marked.filter("trusted").groupBy("lang").agg(F.percentile_approx("surprise", QUANTILE, 100_000).alias("of_lang")).withColumnRenamed("lang", "l_lang"), "quality-limits")
+    few = F.broadcast(limits) if limits.count() <= LANGUAGES else limits  # documents are not dealt by language, as few languages have most
     of_all = marked.filter("trusted").agg(F.percentile_approx("surprise", QUANTILE, 100_000)).first()[0]
-    limited = marked.join(limits, F.col("lang") == F.col("l_lang"), "left").withColumn("limit", F.coalesce("of_lang", F.lit(of_all).cast("double")))
+    limited = marked.join(few, F.col("lang") == F.col("l_lang"), "left").withColumn("limit", F.coalesce("of_lang", F.lit(of_all).cast("double")))
     usable = F.col("real") & F.col("limit").isNotNull()
     return limited.select(
         F.col("key").alias(key), F.col("lang").alias(lang), "trusted", F.when(usable, F.exp("surprise")).alias("perplexity"), F.exp("limit").alias("threshold"),
