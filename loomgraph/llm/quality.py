@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
@@ -21,8 +21,13 @@ AGAIN, START, END = "\x07", 2, 3
 BLOCK, SLICE, SENT = 4_096, 64, 2_000_000
 #: Languages whose thresholds are sent to every executor; with more, documents and thresholds are joined by language.
 LANGUAGES = 10_000
-#: A document goes if its perplexity is above this share of the trusted documents of its language.
-QUANTILE = 0.999
+#: Parts of the trusted documents; each is scored by a model of the others, so that no document vouches for itself.
+FOLDS = 2
+#: A document goes if its surprise is above the median of held-out trusted ones by more than so many times the way from
+#: the median to the 0.9 quantile: a tenth of them would have to be outliers to move it.
+SPREADS = 8.0
+#: Held-out trusted documents that a language needs for a threshold of its own.
+LEAST = 100
 
 
 def symbols(text: str) -> np.ndarray:
@@ -82,15 +87,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def train(trusted: DataFrame) -> tuple[DataFrame, float]:
-    """The model from the column `text` of trusted documents: rows (gram, share, rest), and the share of an unseen symbol.
+def count(trusted: DataFrame) -> DataFrame:
+    """(gram, n): the longest n-grams of the column `text`."""
+    return trusted.select("text").mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def train(counts: DataFrame) -> tuple[DataFrame, float]:
+    """The model from staged counts of the longest n-grams: rows (gram, share, rest), and the share of an unseen symbol.
 
     Counts of the longest n-grams are summed by n-gram; of shorter ones, the distinct symbols that precede them are
     counted. Each length has three discounts, from how many n-grams occur one to four times. share is the discounted
     count over that of the context; rest, on the row of a context, is the weight of the next shorter n-gram. All
     tables are joined by n-gram, so they may grow with the corpus.
     """
-    counts = stage(trusted.select("text").mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "quality-counts")
     level, parts, seen = counts, [], 0
     for length in range(ORDER, 0, -1):
         of = level.agg(*[F.coalesce(F.count_if(F.col("n") == k), F.lit(0)).alias(f"n{k}") for k in (1, 2, 3, 4)], F.count(F.lit(1)).alias("all")).first()  # five numbers
@@ -167,16 +176,50 @@ def _scorer(unseen: float, kept: list[str]) -> Callable[[pa.Table, pa.Table], pa
     return run
 
 
-def score(docs: DataFrame, trusted_ids: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", carry: Sequence[str] = ()) -> DataFrame:
-    """Scores every whole text by a model trained on the documents whose key is in trusted_ids (one column `id`, distinct).
+def _scored(rows: DataFrame, n: int, model: DataFrame, unseen: float) -> DataFrame:
+    """n rows without their column `text`, with the surprise of each.
 
     Documents are dealt into blocks of about BLOCK. A block asks for its distinct n-grams; the questions are joined
     with the model by n-gram, and the answers come back to the block, so that neither the model nor the corpus has to
-    fit anywhere. Trusted ids go to every executor up to SENT of them, beyond that the join shuffles.
+    fit anywhere.
+    """
+    blocks = max(1, -(-n // BLOCK))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("key", "text"), F.lit(blocks))).repartition(blocks, "block")
+    asked = dealt.mapInArrow(_asked, "block long, gram long")
+    answers = asked.join(model, "gram").select("block", "gram", "share", "rest")
+    kept = [c for c in rows.columns if c != "text"]
+    result = StructType([f for f in rows.schema.fields if f.name != "text"]).add("surprise", DoubleType())
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scorer(unseen, kept), result)
+
+
+def held_out(known: DataFrame, folds: Sequence[DataFrame]) -> DataFrame:
+    """(lang, surprise) of trusted documents, each by a model of the folds that it is not in. Empty if only one fold has documents."""
+    sizes = {r["fold"]: r["count"] for r in known.groupBy("fold").count().collect()}  # FOLDS numbers
+    parts = []
+    for fold, n in sizes.items():
+        if len(sizes) > 1:
+            others = reduce(DataFrame.unionByName, [c for f, c in enumerate(folds) if f != fold])
+            model, unseen = train(stage(others.groupBy("gram").agg(F.sum("n").alias("n")), "quality-counts") if len(folds) > 2 else others)
+            parts.append(_scored(known.filter(F.col("fold") == fold), n, model, unseen).select("lang", "surprise"))
+    empty = known.select("lang", F.lit(None).cast("double").alias("surprise")).limit(0)
+    return stage(reduce(DataFrame.unionByName, parts, empty), "quality-held-out")
+
+
+def limit() -> Column:
+    """The threshold from the held-out surprises of a group."""
+    low, high = (F.percentile_approx("surprise", q, 100_000) for q in (0.5, 0.9))
+    return low + SPREADS * (high - low)
+
+
+def score(docs: DataFrame, trusted_ids: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", carry: Sequence[str] = ()) -> DataFrame:
+    """Scores every whole text by a model trained on the documents whose key is in trusted_ids (one column `id`, distinct).
+
+    Trusted ids go to every executor up to SENT of them, beyond that the join shuffles.
 
     Returns key, lang, trusted, perplexity, threshold, keep, and carry as the struct `row`. A document is kept if its
-    perplexity is at most the QUANTILE of the trusted documents of its language; a language without any, or null,
-    takes the quantile of all. Null texts and texts without anything but white space have no perplexity and are not
+    surprise is at most the limit of its language, which comes from held-out scores of trusted documents; a language
+    with fewer than LEAST of them, or null, takes the limit of all. If all trusted texts are in one fold, the limit
+    comes from their own scores. Null texts and texts without anything but white space have no perplexity and are not
     kept. Without trusted text there is no model: everything else is kept, with null perplexity and threshold.
     """
     ids = stage(trusted_ids.select(F.col("id").cast("long").alias("trusted_id")), "quality-trusted")
@@ -184,21 +227,19 @@ def score(docs: DataFrame, trusted_ids: DataFrame, *, key: str = "doc_id", text:
     side = F.broadcast(ids) if known <= SENT else ids
     real = F.length(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s ]+", " "))) > 0
     rows = docs.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"), real.alias("real"), *([F.struct(*carry).alias("row")] if carry else []))
-    model, unseen = train(rows.filter("real").select("key", "text").join(side, F.col("key") == F.col("trusted_id"), "left_semi"))
-    blocks = max(1, -(-docs.count() // BLOCK))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("key", "text"), F.lit(blocks))).repartition(blocks, "block")
-    asked = dealt.mapInArrow(_asked, "block long, gram long")
-    answers = asked.join(model, "gram").select("block", "gram", "share", "rest")
-    kept = [c for c in rows.columns if c != "text"]
-    result = StructType([f for f in rows.schema.fields if f.name != "text"]).add("surprise", DoubleType())
-    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scorer(unseen, kept), result)
-    scored = stage(scored, "quality-scored")
+    known_rows = rows.filter("real").select("key", "lang", "text").join(side, F.col("key") == F.col("trusted_id"), "left_semi").withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)))
+    folds = [stage(count(known_rows.filter(F.col("fold") == f)), f"quality-counts-{f}") for f in range(FOLDS)]
+    model, unseen = train(stage(reduce(DataFrame.unionByName, folds).groupBy("gram").agg(F.sum("n").alias("n")), "quality-counts"))
+    scored = stage(_scored(rows, docs.count(), model, unseen), "quality-scored")
     # narrow: which of the scored documents are trusted
     flags = ids.select("trusted_id", F.lit(True).alias("trusted"))
     marked = scored.join(F.broadcast(flags) if known <= SENT else flags, F.col("key") == F.col("trusted_id"), "left").drop("trusted_id").withColumn("trusted", F.coalesce("trusted", F.lit(False)) & F.col("real"))
-    limits = stage(marked.filter("trusted").groupBy("lang").agg(F.percentile_approx("surprise", QUANTILE, 100_000).alias("of_lang")).withColumnRenamed("lang", "l_lang"), "quality-limits")
+    fresh = held_out(known_rows, folds)
+    limits = stage(fresh.groupBy("lang").agg(limit().alias("of_lang"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST).select(F.col("lang").alias("l_lang"), "of_lang"), "quality-limits")
     few = F.broadcast(limits) if limits.count() <= LANGUAGES else limits  # documents are not dealt by language, as few languages have most
-    of_all = marked.filter("trusted").agg(F.percentile_approx("surprise", QUANTILE, 100_000)).first()[0]
+    of_all = fresh.agg(limit()).first()[0]
+    if of_all is None:  # one trusted text or none: nothing is held out
+        of_all = marked.filter("trusted").agg(limit()).first()[0]
     limited = marked.join(few, F.col("lang") == F.col("l_lang"), "left").withColumn("limit", F.coalesce("of_lang", F.lit(of_all).cast("double")))
     usable = F.col("real") & F.col("limit").isNotNull()
     return limited.select(

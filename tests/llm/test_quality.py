@@ -74,3 +74,19 @@ def test_shuffled_ids_and_no_trusted(spark, monkeypatch):
     none = q.score(docs, q.trusted(labels.limit(0))).collect()
     assert all(r.perplexity is None and r.threshold is None for r in none) and sum(r.keep for r in none) == len(corpus()) - 3
     assert q.score(docs.limit(0), q.trusted(labels)).count() == 0
+
+
+def test_limits_are_held_out_and_outliers_do_not_move_them(spark):
+    """One odd trusted document opens no gate, neither in a language of its own threshold nor as the only one of a rare language."""
+    r = random.Random(2)
+    words = ["thing", "other", "with", "and", "the", "house", "green", "water"]
+    page = lambda: " ".join(r.choice(words) for _ in range(60))
+    odd = lambda seed: " ".join(f"q{random.Random(seed + i).randrange(10**6)}z" for i in range(40))
+    rows = [(i, page(), "de") for i in range(150)] + [(150, odd(0), "de"), (151, odd(100), "xx"), (152, page(), "xx")]
+    rows += [(i, page(), "de" if i % 2 else "xx") for i in range(200, 300)] + [(i, odd(1000 * i), "de" if i % 2 else "xx") for i in range(300, 310)] + [(310, odd(0), "de"), (311, odd(100), "xx")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(153)], "doc_id bigint, quality int, toxic int")
+    got = q.score(docs, q.trusted(labels)).collect()
+    assert not [x.doc_id for x in got if x.keep and (x.doc_id in (150, 151) or x.doc_id >= 300)]
+    assert sum(x.keep for x in got if 200 <= x.doc_id < 300) >= 97 and sum(x.keep for x in got if x.doc_id < 150) >= 145
+    assert len({x.threshold for x in got}) == 2
