@@ -17,9 +17,13 @@ NOISE = frozenset("nav footer aside form script style noscript template iframe o
 #: Words of class, id or role that mark an element as no part of an article.
 NOISE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promotion promoted cookie cookies consent gdpr notice notices alert alerts "
-    "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars side rail footer foot masthead topbar toolbar header comment comments commentlist respond reply replies discussion disqus "
+    "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars rail footer foot masthead topbar toolbar header comment comments commentlist respond reply replies disqus "
     "share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay pagination pager search complementary contentinfo hidden".split()
 )
+#: Words that mark an element as part of a longer class name too, anywhere in it or at its end.
+STRONG = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored cookie cookies gdpr breadcrumb breadcrumbs disqus newsletter".split())
+LAST = frozenset("footer nav navbar navigation comments commentlist pagination".split())
+COMMENTS = frozenset("comment comments commentlist respond reply replies disqus".split())
 #: Elements without an end tag, elements whose content is raw text, and elements that end a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp".split())
@@ -35,22 +39,28 @@ AWAY = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*
 
 
 def _is_noise(name: str, attributes: str, inside: set[str]) -> bool:
-    if name in NOISE or name == "header" and not inside & {"article", "main"}:
-        return True
-    if name in ("html", "body", "article", "main"):
-        return False
-    if attributes:
-        if AWAY.search(attributes):
-            return True
-        for m in NAMES.finditer(attributes):
-            for each in (m[2] or m[3] or m[4] or "").lower().split():
-                parts = [p for p in re.split(r"[^a-z]+", each) if p]
-                if parts and parts[0] not in ("has", "no", "with", "without", "is"):
-                    marks = NOISE_NAMES & set(parts)
-                    # an article's own header holds its title
-                    if marks - {"header"} or marks and not inside & {"article", "main"}:
-                        return True
-    return False
+    return name in NOISE or name == "header" and not inside & {"article", "main"} or name not in ("html", "body", "article", "main") and bool(AWAY.search(attributes))
+
+
+def _marks(name: str, attributes: str, inside: set[str]) -> set[str]:
+    """The words of class, id or role that say that the element is no part of an article.
+
+    A class name counts if all its words do, or one of STRONG or the last of LAST. Inside an article an id is mostly
+    the name of a section, and a header holds the title.
+    """
+    found: set[str] = set()
+    if not attributes or name in ("html", "body", "article", "main"):
+        return found
+    within = bool(inside & {"article", "main"})
+    for m in NAMES.finditer(attributes):
+        for each in (m[2] or m[3] or m[4] or "").lower().split():
+            parts = [p for p in re.split(r"[^a-z]+", each) if p]
+            if parts and parts[0] not in ("has", "no", "with", "without", "is"):
+                of = set(parts) if NOISE_NAMES.issuperset(parts) else STRONG & set(parts) or LAST & {parts[-1]}
+                if within:
+                    of = of & (STRONG | COMMENTS) if m[1].lower() == "id" else of - {"header"}
+                found |= of
+    return found
 
 
 def features(page: str) -> list[tuple[str, int, str]]:
@@ -59,23 +69,35 @@ def features(page: str) -> list[tuple[str, int, str]]:
     Inside an article or main element the feature begins with "in ". Comments, raw elements and elements of no interest
     are left out whole. The end tag of an element ends what was opened within it; an end tag without a start is
     ignored. A page may stop anywhere.
+
+    An element that only its names mark stays for the scan if the article may lie inside it: if it holds an article or
+    main element, or, on a page without any, an h1 or most of the words. Comments hold articles of their own, so they
+    stay only with most of the words in articles, or an h1.
     """
-    found: list[tuple[str, int, str]] = []
-    open_: list[tuple[str, bool]] = []  # names, and whether the element begins a stretch of no interest
+    return [item[1:] for item in _placed(page)]
+
+
+def _placed(page: str) -> list[tuple[int, str, int, str]]:
+    """The features, each with its place in the page."""
+    found: list[tuple[int, str, int, str]] = []
+    open_: list[tuple[str, bool, int]] = []  # names, whether the element begins a stretch of no interest, and its place in marked
+    marked: list[list] = []  # elements that only names mark: first item, one past the last, the names
     noisy, at, size = 0, 0, len(page)
 
     def within() -> str:
-        return "in " if any(n in ("article", "main") for n, _ in open_) else ""
+        return "in " if any(n in ("article", "main") for n, _, _ in open_) else ""
 
     def text(stop: int) -> None:
         if stop > at and not noisy:
             value = entities.unescape(page[at:stop])
-            found.append((within() + ("link" if any(n == "a" for n, _ in open_) else "word"), len(value.split()), value))
+            found.append((at, within() + ("link" if any(n == "a" for n, _, _ in open_) else "word"), len(value.split()), value))
 
     def leave() -> str:
         nonlocal noisy
-        n, was = open_.pop()
+        n, was, mark = open_.pop()
         noisy -= was
+        if mark >= 0:
+            marked[mark][1] = len(found)
         return n
 
     while at < size:
@@ -93,11 +115,11 @@ def features(page: str) -> list[tuple[str, int, str]]:
             continue
         if m[1]:
             before = noisy
-            if any(n == name for n, _ in open_):
+            if any(n == name for n, _, _ in open_):
                 while leave() != name:
                     pass
             if not before:
-                found.append((f"{within()}/{name}", 1, ""))
+                found.append((start, f"{within()}/{name}", 1, ""))
             continue
         ends = CLOSES.get(name)
         while ends and open_ and open_[-1][0] in ends:
@@ -106,13 +128,46 @@ def features(page: str) -> list[tuple[str, int, str]]:
             stop = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*(?:>|\\Z)", re.IGNORECASE).search(page, at)
             at = stop.end() if stop else size
             continue
-        was = _is_noise(name, m[3], {n for n, _ in open_})
+        inside = {n for n, _, _ in open_}
+        was = _is_noise(name, m[3], inside)
+        names = set() if was or noisy else _marks(name, m[3], inside)
         if not noisy:
-            found.append((within() + (f"skip {name}" if was else name), 1, ""))
-        if name not in VOID and not m[3].rstrip().endswith("/"):
+            found.append((start, within() + (f"skip {name}" if was else name), 1, ""))
+        alone = name in VOID or m[3].rstrip().endswith("/")
+        if names:
+            marked.append([len(found) - 1, len(found) if alone else -1, names])
+        if not alone:
             noisy += was
-            open_.append((name, was))
-    return found
+            open_.append((name, was, len(marked) - 1 if names else -1))
+    return _without(found, [(a, len(found) if b < 0 else b, names) for a, b, names in marked]) if marked else found
+
+
+def _without(found: list[tuple[int, str, int, str]], marked: list[tuple[int, int, set[str]]]) -> list[tuple[int, str, int, str]]:
+    """found with one item in place of each element that its names mark and that can't hold the article."""
+    words, core, articles, titles = [0], [0], [0], [0]  # running sums
+    for _, feature, n, _ in found:
+        counts = feature.endswith(("word", "link")) and feature.removeprefix("in ") in ("word", "link")
+        words.append(words[-1] + n * counts)
+        core.append(core[-1] + n * (counts and feature.startswith("in ")))
+        articles.append(articles[-1] + (feature.removeprefix("in ") in ("article", "main")))
+        titles.append(titles[-1] + (feature.removeprefix("in ") == "h1"))
+    out, done = [], 0
+    for a, b, names in marked:
+        if a < done:
+            continue  # inside one that is left out
+        held = lambda sums: sums[b] - sums[a]  # noqa: B023, E731
+        if articles[-1]:
+            stays = held(articles) and (not names & COMMENTS or 2 * held(core) > core[-1])
+        else:
+            stays = held(titles) or 2 * held(words) > words[-1] and not names & COMMENTS
+        if not stays:
+            place, feature, n, text = found[a]
+            prefix = "in " if feature.startswith("in ") else ""
+            out += [*found[done:a], (place, f"{prefix}skip {feature.removeprefix('in ')}", n, text)]
+            done = b
+            if done < len(found) and found[done][1] == f"{prefix}/{feature.removeprefix('in ')}":
+                done += 1
+    return out + found[done:]
 
 
 def region(found: list[tuple[str, int, str]], weights: dict[str, float]) -> tuple[int, int]:
@@ -147,8 +202,7 @@ def labelled_pages(n: int = 240, seed: int = 7) -> list[list[tuple[str, int, boo
         r.shuffle(after)
         head, tail = "<html><head><title>t</title></head><body>" + "".join(before[: r.randrange(1, 4)]) + left, right + "".join(after[: r.randrange(1, 4)]) + "</body></html>"
         page = head + inner + tail
-        k, m = len(features(head)), len(features(head + inner))
-        pages.append([(f, c, k <= i < m) for i, (f, c, _) in enumerate(features(page))])
+        pages.append([(f, c, len(head) <= at < len(head + inner)) for at, f, c, _ in _placed(page)])
     return pages
 
 

@@ -26,6 +26,23 @@ def test_names():
     assert pages.main_text(page, WEIGHTS).split("\n\n") == ["Title here", "One two three four."]
 
 
+def test_names_around_and_inside_an_article():
+    words = "One two three four five six seven eight nine ten eleven twelve."
+    whole = f"<h1>Title here</h1><p>{words}</p>"
+    want = ["Title here", words]
+    menu = "<div class='site-footer'>About us and all</div>"
+    for around in ('<div class="overflow-hidden">', '<div class="layout right-sidebar">', '<div id="page" class="header-fixed">', '<div class="content-side">', '<div class="sidebar">', '<div class="social">'):
+        for inner in (f"<article>{whole}</article>", whole):
+            assert pages.main_text(f"<body>{around}{inner}</div>{menu}</body>", WEIGHTS).split("\n\n") == want, (around, inner)
+    part = '<section id="discussion"><p>All of this was argued at length.</p></section><div class="related-work"><p>Others did the same before us.</p></div><section id="search"><p>How we looked for it.</p></section>'
+    end = ["All of this was argued at length.", "Others did the same before us.", "How we looked for it."]
+    for left, right in (("<article>", "</article>"), ("<div>", "</div>")):
+        assert pages.main_text(f"<body>{left}{whole}{part.replace('search', 'method')}{right}{menu}</body>", WEIGHTS).split("\n\n") == want + end
+    assert pages.main_text(f"<body><article>{whole}{part}</article></body>", WEIGHTS).split("\n\n") == want + end
+    replies = f"<div id='comments'><article><p>{words}</p></article></div>"
+    assert pages.main_text(f"<body><article>{whole}<p>{words}</p></article>{replies}</body>", WEIGHTS).split("\n\n") == [*want, words]
+
+
 def test_region_is_the_best_of_all():
     r = random.Random(3)
     weights = {"word": 1.0, "link": 0.2, "skip": -1.0, "p": -0.5, "div": -2.0, "other": -0.7}
