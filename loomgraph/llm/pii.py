@@ -34,7 +34,7 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 KINDS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,255}\b|\bsk-[A-Za-z0-9_-]{20,200}",
-    "secret": r"(?<=\b(?:password|passwd|pwd|secret|token|api_key|apikey|api-key|access_key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?)[^\s\"',;<>]{6,}",
+    "secret": r"(?<=(?:\b|_|(?<=[a-z])(?=[A-Z]))(?i:password|passwd|pwd|secret|token|api_key|apikey|api-key|access_key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?)[^\s\"',;<>]{6,}",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ipv6": r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])",
     "ipv4": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.[0-9])",
@@ -51,8 +51,8 @@ ATTEMPTS = 12
 
 def matches(text: Column) -> Column:
     """The personal data in a text, in order. Texts without a digit, an @ and any word of a name or secret are not searched."""
-    gate = F.rlike(text, F.lit("[0-9@]"))
-    for word in (*"password passwd pwd secret token api".split(), *(t for ts in (*TITLES.values(), *GIVEN.values()) for t in ts)):
+    gate = F.rlike(text, F.lit("[0-9@]|(?i:password|passwd|pwd|secret|token|api|access_key)"))
+    for word in [t for ts in (*TITLES.values(), *GIVEN.values()) for t in ts]:
         gate = gate | F.contains(text, F.lit(word))
     return F.when(text.isNotNull() & gate, F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 

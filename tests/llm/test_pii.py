@@ -51,3 +51,15 @@ def test_matches_are_found(spark):
     cases = {"a@b.co": "email", "10.0.0.1": "ipv4", "256.1.1.1": None, "1234": None, "+44 20 7946 0958": "phone", "123-45-6789": "ssn", "1.2.3.4.5": None, "5500 0000 0000 0004": "card", "4041894974608796": "none"}
     df = spark.createDataFrame([(c,) for c in cases], "t string").select("t", pii.matches(F.concat(F.lit("see "), "t", F.lit(" there"))).alias("m")).select("t", F.transform("m", pii.kind_of).alias("k"))
     assert {r.t: r.k for r in df.collect()} == {c: [k] if k else [] for c, k in cases.items()}
+
+
+def test_secrets_of_any_case_and_leading_part(spark):
+    """Values after keywords in capitals or with a part before them; without digits in the text too."""
+    texts = ['TOKEN = "9233A8EC2C40E0DA5652CC7F5E939BA124FD3868"', "Password: hunterxyz", "API_KEY=QWERTYUIOP", "db_password=abcdefgh", "client_secret='zyxwvutsr'", "clientSecret: lkjhgfds", "MY_ACCESS_KEY=poiuytrew"]
+    others = ["tokens: abcdefgh", "a secretary: somebody"]
+    got = pii.replace(spark.createDataFrame(list(enumerate(texts + others)), "doc_id bigint, text string"), count="n").collect()
+    for r in got:
+        text = (texts + others)[r.doc_id]
+        value = re.findall(r"\w+", text)[-1]
+        assert (r.n, value in r.text) == ((1, False) if r.doc_id < len(texts) else (0, True)), r
+        assert r.text[: text.index(value)] == text[: text.index(value)]
