@@ -2,16 +2,46 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import stage
 
-#: Titles and given names by gender.
+#: Titles and usual English, German, French and Spanish given names by gender, without names that are also
+#: places or common words.
 TITLES = {"m": "Mr Herr Monsieur Señor Signor Господин Κύριος".split(), "f": "Mrs Ms Miss Frau Madame Mme Señora Signora Госпожа Κυρία".split(), "n": "Dr Prof".split()}
 GIVEN = {
-    "m": "James John Robert Michael William David Thomas Charles Daniel Matthew Peter Hans Karl Jürgen Pierre Jean Luc Carlos José Juan Miguel Иван Сергей Дмитрий Γιώργος Νίκος".split(),
-    "f": "Mary Patricia Jennifer Linda Elizabeth Susan Jessica Sarah Karen Emma Anna Ursula Ingrid Marie Claire Sophie María Carmen Lucía Анна Мария Ольга Ελένη Μαρία".split(),
+    "m": """
+        James John Robert Michael William David Thomas Charles Daniel Matthew Anthony Donald Steven Stephen Paul Andrew Joshua Kenneth Kevin Brian George
+        Timothy Ronald Edward Jason Jeffrey Ryan Jacob Gary Nicholas Eric Jonathan Larry Justin Scott Brandon Benjamin Samuel Gregory Alexander Patrick
+        Raymond Dennis Jerry Tyler Aaron Adam Nathan Henry Douglas Zachary Peter Kyle Ethan Jeremy Walter Keith Roger Terry Harry Sean Gerald Carl Arthur
+        Lawrence Albert Philip Simon Oliver Liam Noah Lucas Logan Oscar Alan Neil Ian Graham Martin Joseph Christopher Richard Hans Karl Jürgen Wolfgang Klaus
+        Heinz Helmut Manfred Günter Günther Gerhard Horst Dieter Werner Uwe Bernd Rainer Holger Jörg Thorsten Torsten Stefan Andreas Matthias Markus Sebastian
+        Tobias Florian Johannes Jens Sven Ulrich Heinrich Friedrich Wilhelm Otto Hermann Fritz Franz Josef Ludwig Georg Kurt Erich Ernst Rolf Rudolf Siegfried
+        Felix Lukas Jonas Leon Moritz Niklas Dirk Olaf Norbert Hartmut Lothar Pierre Jean Luc Michel Philippe Alain Bernard Jacques Christophe Nicolas Laurent
+        Patrice Julien François Frédéric Sébastien Stéphane Thierry Pascal Éric Olivier Gérard Guillaume Antoine Vincent Jérôme Bruno Claude Didier Dominique
+        Gilles Hervé Yves Xavier Mathieu Maxime Romain Benoît Marcel André René Louis Étienne Hugo Théo Gaël Jules Raphaël Fabrice Cédric Ludovic Emmanuel
+        Rémi Damien Carlos José Juan Miguel Antonio Manuel Francisco Javier Jesús Alejandro Rafael Pedro Fernando Sergio Pablo Jorge Alberto Luis Álvaro Diego
+        Adrián Raúl Enrique Ramón Vicente Iván Rubén Óscar Andrés Joaquín Eduardo Víctor Roberto Jaime Mario Ignacio Marcos Ricardo Emilio Julián Julio
+        Guillermo Tomás Agustín Felipe Gonzalo Nicolás Martín Gabriel Mateo Иван Сергей Дмитрий Γιώργος Νίκος
+    """.split(),
+    "f": """
+        Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Lisa Nancy Betty Margaret Sandra Ashley Kimberly Emily Donna Michelle Carol
+        Amanda Dorothy Melissa Deborah Stephanie Rebecca Sharon Laura Cynthia Kathleen Amy Angela Shirley Brenda Emma Anna Pamela Nicole Samantha Katherine
+        Christine Helen Debra Rachel Carolyn Janet Maria Catherine Heather Diane Olivia Julie Joyce Ruth Kelly Lauren Christina Joan Evelyn Judith Andrea
+        Hannah Megan Cheryl Jacqueline Martha Teresa Sara Janice Ann Kathryn Abigail Sophia Frances Alice Judy Isabella Julia Denise Doris Marilyn Danielle
+        Beverly Charlotte Natalie Theresa Diana Brittany Kayla Alexis Lori Marie Chloe Lucy Jane Anne Fiona Claire Ursula Ingrid Monika Petra Sabine Renate
+        Helga Karin Brigitte Erika Christa Gisela Susanne Birgit Gabriele Heike Martina Kerstin Silke Katrin Kathrin Anja Tanja Claudia Nadine Stefanie Simone
+        Daniela Melanie Sonja Angelika Elke Bärbel Jutta Hildegard Gertrud Irmgard Elfriede Ilse Johanna Lena Lea Leonie Franziska Katharina Lieselotte Ute
+        Anke Antje Marion Cornelia Heidi Elisabeth Margarete Hannelore Waltraud Nathalie Isabelle Sylvie Françoise Valérie Monique Véronique Sandrine Céline
+        Sophie Chantal Annie Stéphanie Virginie Aurélie Camille Léa Manon Chloé Inès Élodie Émilie Amélie Hélène Laurence Corinne Martine Michèle Jeanne
+        Madeleine Yvette Geneviève Odile Mathilde Margaux Juliette Lucie Pauline Agnès Delphine Élise Éléonore Thérèse María Carmen Lucía Josefa Isabel Ana
+        Cristina Marta Francisca Antonia Elena Paula Raquel Pilar Silvia Juana Beatriz Nuria Irene Montserrat Sofía Alicia Sonia Esther Ángela Marina Natalia
+        Yolanda Eva Inés Noelia Verónica Lorena Dolores Manuela Margarita Catalina Susana Valeria Carolina Adriana Luisa Анна Мария Ольга Ελένη Μαρία
+    """.split(),
 }
 #: Syllables and endings of made-up names by script; endings of given names by gender.
 SYLLABLES = {
@@ -25,9 +55,32 @@ ENDINGS = {
     "greek": {"m": ["ρης", "νος", "λης"], "f": ["νη", "ρία", "λα"], "n": ["ν"], "surname": ["δης", "κης", "πας"]},
 }
 
+
+
+def _any_of(words: Iterable[str]) -> str:
+    """A pattern for any of the words, which share their beginnings: no word is tried letter by letter on its own."""
+    heads: dict[str, set[str]] = {}
+    for w in words:
+        heads.setdefault(w[:1], set()).add(w[1:])
+    ends = "" in heads
+    heads.pop("", None)
+    parts = [re.escape(h) + _any_of(rest) for h, rest in sorted(heads.items())]
+    if not parts:
+        return ""
+    return f"(?:{'|'.join(parts)})" + ("?" if ends else "") if len(parts) > 1 or ends else parts[0]
+
+
+def _cased(words: Iterable[str]) -> list[str]:
+    return [v for w in words for v in (w, w.upper())]
+
+
 _WORD = r"\p{Lu}[\p{L}'’-]*\p{Ll}[\p{L}'’-]*"
-_TITLE = "|".join(t for ts in TITLES.values() for t in ts)
-_GIVEN = "|".join(t for ts in GIVEN.values() for t in ts)
+_CAPITALS = r"\p{Lu}[\p{Lu}'’-]+(?![\p{L}\p{N}])"
+_TITLE = _any_of(_cased(t for ts in TITLES.values() for t in ts))
+_GIVEN = _any_of(t for ts in GIVEN.values() for t in ts)
+_TITLE_CAPITALS = _any_of(t.upper() for ts in TITLES.values() for t in ts)
+_GIVEN_CAPITALS = _any_of(t.upper() for ts in GIVEN.values() for t in ts)
+_HEX = "[0-9A-Fa-f]{1,4}"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 #: Kinds in the order in which they are tried, with the pattern that finds them.
@@ -36,12 +89,14 @@ KINDS = {
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,255}\b|\bsk-[A-Za-z0-9_-]{20,200}",
     "secret": r"(?<=(?:\b|_|(?<=[a-z])(?=[A-Z]))(?i:password|passwd|pwd|secret|token|api_key|apikey|api-key|access_key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?)[^\s\"',;<>]{6,}",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "ipv6": r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])",
+    "ipv6": rf"(?<![\w:])(?=[A-Fa-f:]{{0,34}}[0-9])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,7}}:(?:{_HEX}(?::{_HEX}){{0,5}})?|::{_HEX}(?::{_HEX}){{0,6}})(?![\w:]|\.[0-9])",
     "ipv4": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.[0-9])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "card": r"(?<![\w.+-])(?:4[0-9]{3}|5[1-5][0-9]{2}|2[2-7][0-9]{2}|6011|65[0-9]{2}|64[4-9][0-9]|35[2-8][0-9])(?:[ -]?[0-9]{4}){3}(?!\w)|(?<![\w.+-])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?!\w)",
-    "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?!\w)|(?<![\w+])\+[0-9]{8,14}(?!\w)",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.? {_WORD}(?: {_WORD}){{0,2}}|(?:{_GIVEN}) {_WORD})",
+    "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?!\w)|(?<![\w+])\+[0-9]{8,14}(?!\w)"
+    r"|(?<![\w+])\+(?=(?:[ ./()-]{0,3}[0-9]){8,15}(?![0-9]))[0-9]{1,3}(?:[ ./-]{0,2}(?:\([0-9]{1,4}\)|[0-9]{1,9})){1,7}(?!\w)"
+    r"|(?<![\w+.-])(?:0[1-9](?:[ .-][0-9]{2}){4}|[679][0-9]{2}(?:[ .-][0-9]{2}){3}|9[0-9][ .-][0-9]{3}(?:[ .-][0-9]{2}){2})(?!\w|[.-][0-9])",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}})(?:(?:{_TITLE})\.? {_WORD}(?: {_WORD}){{0,2}}|(?:{_GIVEN}) {_WORD}|(?:{_TITLE_CAPITALS})\.? {_CAPITALS}(?: {_CAPITALS}){{0,2}}|(?:{_GIVEN_CAPITALS}) {_CAPITALS})",
 }
 ENTITY = "|".join(f"(?:{p})" for p in KINDS.values())
 
@@ -51,9 +106,7 @@ ATTEMPTS = 12
 
 def matches(text: Column) -> Column:
     """The personal data in a text, in order. Texts without a digit, an @ and any word of a name or secret are not searched."""
-    gate = F.rlike(text, F.lit("[0-9@]|(?i:password|passwd|pwd|secret|token|api|access_key)"))
-    for word in [t for ts in (*TITLES.values(), *GIVEN.values()) for t in ts]:
-        gate = gate | F.contains(text, F.lit(word))
+    gate = F.rlike(text, F.lit(rf"[0-9@]|(?i:password|passwd|pwd|secret|token|api|access_key)|(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}})(?:{_TITLE}|{_GIVEN}|{_GIVEN_CAPITALS})\.? "))
     return F.when(text.isNotNull() & gate, F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
@@ -77,8 +130,8 @@ def units(match: Column, kind: Column) -> Column:
     """What of a match is replaced as one: (kind, norm). A name's words each stand alone, so that a surname stays one
     surname wherever it occurs; of all else the norm has no case and, but for addresses and secrets, no punctuation."""
     words = F.filter(F.split(match, " "), lambda w: ~F.rlike(w, F.lit(rf"^(?:{_TITLE})\.?$")))
-    female = F.rlike(match, F.lit("^(?:" + "|".join((*TITLES["f"], *GIVEN["f"])) + r")\.? "))
-    male = F.rlike(match, F.lit("^(?:" + "|".join((*TITLES["m"], *GIVEN["m"])) + r")\.? "))
+    female = F.rlike(match, F.lit(rf"^(?:{_any_of(_cased((*TITLES['f'], *GIVEN['f'])))})\.? "))
+    male = F.rlike(match, F.lit(rf"^(?:{_any_of(_cased((*TITLES['m'], *GIVEN['m'])))})\.? "))
     given = F.when(female, F.lit("given-f")).when(male, F.lit("given-m")).otherwise(F.lit("given-n"))
     named = F.transform(words, lambda w, i: F.struct(F.when(i == F.size(words) - 1, F.lit("surname")).otherwise(given).alias("kind"), F.lower(w).alias("norm")))
     bare = F.when(kind.isin("email", "secret", "key", "ipv6", "ipv4"), match).otherwise(F.regexp_replace(match, "[^0-9A-Za-z]", ""))
@@ -122,7 +175,7 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
         return F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2) + attempt), lambda i: pick(SYLLABLES[of], i)), ""), ending)
 
     name = F.when(script == "cyrillic", made("cyrillic")).when(script == "greek", made("greek")).otherwise(made("latin"))
-    longer = F.when(attempt >= ATTEMPTS, F.when(kind.isin("card", "phone", "ssn"), F.pmod(number(F.lit(50)), F.lit(10_000)).cast("string")).otherwise(F.substring(digest, 200, 6))).otherwise(F.lit(""))
+    longer = F.when(attempt >= ATTEMPTS, F.when(kind.isin("card", "phone", "ssn"), F.pmod(number(F.lit(50)), F.lit(10_000)).cast("string")).when(kind == "ipv6", F.concat(F.when(F.endswith(norm, F.lit(":")), "").otherwise(":"), F.substring(digest, 200, 4))).otherwise(F.substring(digest, 200, 6))).otherwise(F.lit(""))
     free = F.when(kind == "email", F.concat(longer, plain)).otherwise(F.concat(plain, longer))
     return F.when(kind.isin("surname", "given-f", "given-m", "given-n"), name).when((kind == "ipv4") & (attempt < ATTEMPTS), octets).when((kind == "card") & (attempt < ATTEMPTS), card).otherwise(free)
 

@@ -63,3 +63,19 @@ def test_secrets_of_any_case_and_leading_part(spark):
         value = re.findall(r"\w+", text)[-1]
         assert (r.n, value in r.text) == ((1, False) if r.doc_id < len(texts) else (0, True)), r
         assert r.text[: text.index(value)] == text[: text.index(value)]
+
+
+def test_usual_forms_are_found(spark):
+    """Compressed IPv6, phones in pairs of digits, names in capitals and usual given names; each goes whole."""
+    cases = {
+        "2001:db8::1": "ipv6", "fe80::1ff:fe23:4567:890a": "ipv6", "::1": "ipv6", "2001:db8::": "ipv6", "12:30:45": None, "std::move": None, "a::b": None,
+        "+33 1 23 45 67 89": "phone", "01 23 45 67 89": "phone", "+33 (0)1 23 45 67 89": "phone", "+34 612 34 56 78": "phone", "91 123 45 67": "phone", "+49 30 12345": "phone",
+        "Laura Schmidt": "name", "MR. JOHN SMITH": "name", "LAURA SCHMIDT": "name", "Wolfgang Müller": "name", "Céline Dubois": "name", "Álvaro Ruiz": "name", "THE END": None, "Laura went": None,
+    }
+    df = spark.createDataFrame([(c,) for c in cases], "t string").select("t", pii.matches(F.concat(F.lit("see "), "t", F.lit(" there"))).alias("m")).select("t", "m", F.transform("m", pii.kind_of).alias("k"))
+    assert {r.t: (r.m, r.k) for r in df.collect()} == {c: ([c], [k]) if k else ([], []) for c, k in cases.items()}
+    got = {r.doc_id: r.text for r in pii.replace(spark.createDataFrame([(1, "MR. JOHN SMITH met John Smith."), (2, "ring +33 1 23 45 67 89."), (3, "ping 2001:db8::1.")], "doc_id bigint, text string")).collect()}
+    a, b, c, d = re.fullmatch(r"MR\. ([A-Z]+) ([A-Z]+) met ([A-Z][a-z]+) ([A-Z][a-z]+)\.", got[1]).groups()
+    assert (a, b) == (c.upper(), d.upper()) and "SMITH" not in got[1]
+    assert re.fullmatch(r"ring \+\d\d \d( \d\d){4}\.", got[2]) and "23 45 67 89" not in got[2]
+    assert re.fullmatch(r"ping [0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f]\.", got[3]) and "2001:db8" not in got[3]
