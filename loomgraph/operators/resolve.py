@@ -30,15 +30,26 @@ def exact_duplicates(nodes: DataFrame) -> DataFrame:
     return distinct.groupBy("type", "norm").agg(joined(F.col("id")).alias("ids"), F.count(F.lit(1)).alias("n_ids")).filter("n_ids > 1")
 
 
-def near_duplicates(nodes: DataFrame, shortest: int = 3) -> DataFrame:
-    """Pairs of one type whose normalised names begin with each other, the shorter having at least `shortest` characters.
+def near_duplicates(nodes: DataFrame, shortest: int = 1) -> DataFrame:
+    """Pairs of one type whose normalised names begin with each other, the shorter having at least `shortest` characters,
+    and, if nodes have the array `aliases`, pairs in which one's name is an alias of the other (a is the name, b has it).
 
-    Every name is joined with its own beginnings, so no name meets all others of its type.
+    Every name is joined with its own beginnings and aliases, so no name meets all others of its type. Empty names pair
+    with none. Two that name each other are one pair, b being the later name.
     """
     names = nodes.select("type", "id", name_norm(F.col("name")).alias("norm")).distinct()
     starts = names.filter(F.length("norm") > shortest).select("type", F.col("id").alias("id_b"), F.col("norm").alias("norm_b"), F.explode(F.sequence(F.lit(shortest), F.length("norm") - 1)).alias("n"))
     starts = starts.withColumn("norm", F.expr("substring(norm_b, 1, n)"))
-    return names.withColumnRenamed("id", "id_a").join(starts, ["type", "norm"]).filter("id_a <> id_b").select("type", "id_a", "id_b", F.col("norm").alias("norm_a"), "norm_b", F.lit("prefix").alias("reason"))
+    own = names.withColumnRenamed("id", "id_a")
+    out = own.join(starts, ["type", "norm"]).filter("id_a <> id_b").select("type", "id_a", "id_b", F.col("norm").alias("norm_a"), "norm_b", F.lit("prefix").alias("reason"))
+    if "aliases" not in nodes.columns:
+        return out
+    told = nodes.select("type", F.col("id").alias("id_b"), name_norm(F.col("name")).alias("norm_b"), F.explode("aliases").alias("alias")).select("type", "id_b", "norm_b", name_norm(F.col("alias")).alias("norm")).filter("norm <> ''").distinct()
+    hits = own.join(told, ["type", "norm"]).filter("id_a <> id_b AND norm <> norm_b AND NOT startswith(norm, norm_b) AND NOT startswith(norm_b, norm)")
+    pair = F.array_sort(F.array(F.struct(F.col("norm"), F.col("id_a").alias("id")), F.struct(F.col("norm_b").alias("norm"), F.col("id_b").alias("id"))))
+    first = F.row_number().over(Window.partitionBy("type", "pair").orderBy("norm"))
+    once = hits.withColumn("pair", pair).withColumn("place", first).filter("place = 1")
+    return out.unionByName(once.select("type", "id_a", "id_b", F.col("norm").alias("norm_a"), "norm_b", F.lit("alias").alias("reason")))
 
 
 def merge_decisions(nodes: DataFrame) -> DataFrame:

@@ -54,6 +54,7 @@ query("node_index", lambda n, e: resolve.node_index(n), f"WITH a AS (SELECT type
 query("type_collisions", lambda n, e: resolve.type_collisions(n), "SELECT id, string_agg(DISTINCT type, ',' ORDER BY type) AS types, count(DISTINCT type) AS n_types, count(*) AS n FROM node_occ GROUP BY id HAVING count(DISTINCT type) > 1")
 query("dup_exact", lambda n, e: resolve.exact_duplicates(n), f"SELECT type, {NORM} AS norm, string_agg(DISTINCT id, ',' ORDER BY id) AS ids, count(DISTINCT id) AS n_ids FROM node_occ GROUP BY type, norm HAVING count(DISTINCT id) > 1")
 query("dup_near", lambda n, e: resolve.near_duplicates(n, 5), f"WITH a AS (SELECT DISTINCT type, id, {NORM} AS norm FROM node_occ) SELECT x.type, x.id AS id_a, y.id AS id_b, x.norm AS norm_a, y.norm AS norm_b, 'prefix' AS reason FROM a x JOIN a y ON x.type = y.type AND x.id <> y.id AND starts_with(y.norm, x.norm) AND length(y.norm) > length(x.norm) AND length(x.norm) >= 5")
+query("dup_near_all", lambda n, e: resolve.near_duplicates(n), None)  # names of any length; the oracle of dup_near has a least length
 query("merge_decisions", lambda n, e: resolve.merge_decisions(n), RESOLVED + "SELECT type, norm, ids, CASE WHEN n_top = 1 AND groups = 1 THEN top END AS canonical_id, CASE WHEN n_top = 1 AND groups = 1 THEN 'auto' ELSE 'review' END AS decision, CASE WHEN groups > 1 THEN 'id in several groups' WHEN n_top > 1 THEN 'tie' END AS reason FROM dec")
 query("merge_map", lambda n, e: resolve.merge_map(n), RESOLVED + "SELECT loser, canonical_id FROM mrg")
 query("split_map", lambda n, e: resolve.split_map(n), RESOLVED + "SELECT id, type, new_id, n FROM spl")
