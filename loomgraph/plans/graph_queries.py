@@ -105,6 +105,7 @@ def _created(n: DataFrame, e: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 query("components", lambda n, e: graph.component_sizes(*_created(n, e)), f"WITH RECURSIVE p AS (SELECT DISTINCT 'c' || chunk_id AS a, target_id AS b FROM edge_occ WHERE {_CREATED} AND source_id <> 'su_1'), q AS (SELECT a, b FROM p UNION SELECT b, a FROM p), r AS (SELECT b AS node, b AS seen FROM p UNION SELECT r.node, q2.b FROM r JOIN q q1 ON q1.a = r.seen JOIN q q2 ON q2.a = q1.b), c AS (SELECT node, min(seen) AS root FROM r GROUP BY node), w AS (SELECT DISTINCT id AS node FROM node_occ WHERE type = 'Work' AND substr(id, 1, 4) <= 'pt_1'), s AS (SELECT coalesce(root, node) AS root, count(*) AS size FROM w LEFT JOIN c USING (node) GROUP BY 1) SELECT size, count(*) AS n FROM s GROUP BY size")
+query("components_all", resolved(graph.component_sizes), None)  # the whole resolved graph; the oracle of components holds a part
 query("one_hop", resolved(lambda n, e: graph.one_hop(n.filter("type = 'Phase'"), e)), RESOLVED + ", s AS (SELECT id FROM res WHERE type = 'Phase') SELECT DISTINCT * FROM (SELECT source, target, type, role, false AS reversed FROM edg UNION ALL SELECT target, source, type, role, true FROM edg) WHERE source IN (SELECT id FROM s)")
 query("node_trim", resolved(lambda n, e: graph.trimmed(n.filter("type = 'Phase'"), graph.one_hop(n.filter("type = 'Phase'"), e).select(F.col("target").alias("id")), n, 40)),
       RESOLVED + ", s AS (SELECT id FROM res WHERE type = 'Phase'), h AS (SELECT target AS id FROM edg WHERE source IN (SELECT id FROM s) UNION SELECT source FROM edg WHERE target IN (SELECT id FROM s)), a AS (SELECT id, min(ring) AS ring FROM (SELECT id, 0 AS ring FROM s UNION ALL SELECT id, 1 FROM h) GROUP BY id), k AS (SELECT id, min(type) AS type, sum(n_provenances) AS n FROM res GROUP BY id) SELECT id, type, ring FROM a JOIN k USING (id) ORDER BY ring, n >= 20, CASE type WHEN 'Event' THEN 0 WHEN 'Person' THEN 1 WHEN 'Place' THEN 2 WHEN 'Phase' THEN 3 WHEN 'Era' THEN 4 WHEN 'Theme' THEN 5 WHEN 'Reflection' THEN 6 WHEN 'Work' THEN 7 ELSE 9 END, id LIMIT 40")

@@ -23,3 +23,21 @@ def test_dup_near_all(spark):
         ends.setdefault((t, n), []).append(i)
     want = {(i, j) for t, j, n in names for k in range(1, len(n)) for i in ends.get((t, n[:k]), []) if i != j}
     assert {(r.id_a, r.id_b) for r in catalog.QUERIES["dup_near_all"](spark, SF).select("id_a", "id_b").distinct().collect()} == want
+
+
+def test_components_of_the_whole_graph(spark):
+    n, e = nodes(spark, SF), edges(spark, SF)
+    up = {r.id: r.id for r in resolve.resolved_nodes(n).select("id").collect()}
+
+    def root(x):
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for r in resolve.resolved_edges(n, e).select("source", "target").collect():
+        up[root(r.source)] = root(r.target)
+    size = {}
+    for x in list(up):
+        size[root(x)] = size.get(root(x), 0) + 1
+    want = {s: list(size.values()).count(s) for s in size.values()}
+    assert {r["size"]: r["n"] for r in catalog.QUERIES["components_all"](spark, SF).collect()} == want
