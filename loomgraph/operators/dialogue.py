@@ -46,8 +46,8 @@ def expanded(conversations: DataFrame) -> DataFrame:
     return asked.select("conv_id", "turn", follow.alias("follow_up"), F.when(follow, F.concat(F.trim("before"), F.lit(" — "), F.trim("text"))).otherwise(F.col("text")).alias("query"))
 
 
-def relabelled(words: DataFrame, windows: DataFrame, margin: float) -> DataFrame:
-    """The label of the first window (speaker, w_start, w_end, label, margin) that holds a word's middle with enough margin.
+def relabelled(words: DataFrame, windows: DataFrame, margin: float, fallback: str | None = None) -> DataFrame:
+    """The label of the first window (speaker, w_start, w_end, label, margin) that holds a word's middle with enough margin; else fallback.
 
     Windows are hopped over whole seconds, so a word meets only those of its second.
     """
@@ -55,7 +55,19 @@ def relabelled(words: DataFrame, windows: DataFrame, margin: float) -> DataFrame
     w = words.withColumn("second", F.floor(middle)).withColumn("mid", middle)
     spread = windows.filter(F.col("margin") >= margin).withColumn("second", F.explode(F.sequence(F.floor("w_start"), F.floor("w_end"))))
     joined = w.join(spread, ["conv", "second"], "left").withColumn("ok", (F.col("mid") >= F.col("w_start")) & (F.col("mid") < F.col("w_end")))
-    return joined.groupBy("conv", "word_id").agg(F.min_by(F.when(F.col("ok"), F.col("label")), F.when(F.col("ok"), F.col("w_start"))).alias("label"))
+    label = F.min_by(F.when(F.col("ok"), F.col("label")), F.when(F.col("ok"), F.col("w_start")))
+    return joined.groupBy("conv", "word_id").agg(F.coalesce(label, F.lit(fallback).cast("string")).alias("label"))
+
+
+def smoothed(words: DataFrame, shortest: float) -> DataFrame:
+    """Words (conv, word_id, start, end, label) in which a run of one label that lasts less than `shortest` takes the label before it; the first run stays."""
+    order = Window.partitionBy("conv").orderBy("start", "word_id")
+    new = F.lag("word_id").over(order).isNull() | ~F.col("label").eqNullSafe(F.lag("label").over(order))
+    runs = words.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(order))
+    whole = Window.partitionBy("conv", "run").orderBy("start", "word_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    stays = (F.last("end").over(whole) - F.first("start").over(whole) >= shortest) | (F.col("run") == 1)
+    kept = F.last(F.when(F.col("stays"), F.struct("label")), ignorenulls=True).over(order)
+    return runs.withColumn("stays", stays).withColumn("label", kept["label"]).select("conv", "word_id", "label")
 
 
 def best_label(scores: DataFrame) -> DataFrame:

@@ -85,6 +85,15 @@ def _words(e: DataFrame) -> DataFrame:
 
 
 query("window_relabel", "events", _words, "WITH w AS (SELECT user_id % 7 AS conv, event_id AS word_id, event_id % 1000 * 0.5 AS s, event_id % 1000 * 0.5 + 0.4 AS e FROM events), v AS (SELECT user_id % 7 AS conv, (event_id % 500)::DOUBLE AS ws, (event_id % 500)::DOUBLE + 2 AS we, min(event_type) AS label, max((event_id % 10)::DOUBLE / 20) AS margin FROM events WHERE event_id < 2000 GROUP BY ALL), j AS (SELECT w.conv, word_id, arg_min(label, ws) AS label FROM w JOIN v ON v.conv = w.conv AND margin >= 0.1::DOUBLE AND (s + e) / 2 >= ws AND (s + e) / 2 < we GROUP BY ALL) SELECT w.conv, word_id, label FROM w LEFT JOIN j USING (conv, word_id)")
+def _all_words(e: DataFrame) -> DataFrame:
+    """Every event is a word and a window of its user; runs under a second take the label before."""
+    words = e.select(F.col("user_id").alias("conv"), F.col("event_id").alias("word_id"), (F.col("event_id") % 1000 * 0.5).alias("start"), (F.col("event_id") % 1000 * 0.5 + 0.4).alias("end"))
+    windows = e.select(F.col("user_id").alias("conv"), (F.col("event_id") % 500 * 1.0).alias("w_start"), (F.col("event_id") % 500 + 2.0).alias("w_end"), F.col("event_type").alias("label"), (F.col("event_id") % 10 / 20).alias("margin"))
+    windows = windows.groupBy("conv", "w_start", "w_end").agg(F.min("label").alias("label"), F.max("margin").alias("margin"))
+    return dialogue.smoothed(dialogue.relabelled(words, windows, 0.1, "?").join(words, ["conv", "word_id"]), 1.0)
+
+
+query("window_relabel_all", "events", _all_words, None)
 query("label_margin", "events", lambda e: dialogue.best_label(e.groupBy((F.col("user_id") % 50).alias("segment"), F.col("event_type").alias("label")).agg(F.round(F.avg("value"), 6).alias("score"))), "WITH a AS (SELECT user_id % 50 AS segment, event_type AS label, round(avg(value), 6) AS score FROM events GROUP BY ALL), b AS (SELECT *, row_number() OVER w AS p, lead(score) OVER w AS n FROM a WINDOW w AS (PARTITION BY segment ORDER BY score DESC, label)) SELECT segment, label, score, CASE WHEN n IS NULL THEN 1.0 ELSE round(score - n, 6) END AS margin FROM b WHERE p = 1")
 
 _vectors = lambda e: e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))

@@ -41,3 +41,29 @@ def test_components_of_the_whole_graph(spark):
         size[root(x)] = size.get(root(x), 0) + 1
     want = {s: list(size.values()).count(s) for s in size.values()}
     assert {r["size"]: r["n"] for r in catalog.QUERIES["components_all"](spark, SF).collect()} == want
+
+
+def test_fallback_and_smoothing(spark):
+    """As the reference's loop, over random windows and words."""
+    import random
+
+    r = random.Random(5)
+    words = [(c, i, i * 0.5, i * 0.5 + 0.4) for c in range(3) for i in range(60)]
+    windows = [(c, float(w), w + 2.0, r.choice("ab"), r.choice([0.0, 0.3])) for c in range(3) for w in range(0, 30) if r.random() < 0.6]
+    w = spark.createDataFrame(words, "conv int, word_id int, start double, end double")
+    v = spark.createDataFrame(windows, "conv int, w_start double, w_end double, label string, margin double")
+    got = {(x.conv, x.word_id): x.label for x in dialogue.smoothed(dialogue.relabelled(w, v, 0.1, "?").join(w, ["conv", "word_id"]), 1.0).collect()}
+    for c in range(3):
+        own = [x for x in words if x[0] == c]
+        labels = [next((l for k, a, b, l, m in windows if k == c and m >= 0.1 and a <= (s + e) / 2 < b), "?") for _, _, s, e in own]
+        i = 0
+        while i < len(labels):
+            j = i
+            while j < len(labels) and labels[j] == labels[i]:
+                j += 1
+            if own[j - 1][3] - own[i][2] < 1.0 and i > 0:
+                labels[i:j] = [labels[i - 1]] * (j - i)
+            i = j
+        assert [got[c, x[1]] for x in own] == labels
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    assert catalog.QUERIES["window_relabel_all"](spark, SF).filter("label IS NOT NULL").count() == events.count()
