@@ -136,6 +136,7 @@ query("narrative_ratio", lambda n, e: metrics.narrative(e), f"WITH {_NARRATIVE}
 query("theme_rank", lambda n, e: metrics.theme_rank(e), "SELECT target_id AS id, count(*) AS n_in, count(DISTINCT source_id) AS n_sources FROM edge_occ WHERE type = 'EMBODIES' GROUP BY 1 ORDER BY n_in DESC, id LIMIT 20")
 query("reflection_dist", lambda n, e: metrics.per_chunk(n, "Theme"), "WITH c AS (SELECT chunk_id, count(*) FILTER (type = 'Theme') AS n_nodes FROM node_occ GROUP BY 1) SELECT n_nodes, count(*) AS n_chunks FROM c GROUP BY 1")
 query("person_duplicates", lambda n, e: metrics.person_duplicates(n, F.substring(text.name_norm(F.col("name")), 1, 16)), f"WITH a AS (SELECT DISTINCT id, substr({NORM}, 1, 16) AS norm FROM node_occ WHERE type = 'Person') SELECT norm, count(*) AS n, min(id) AS first FROM a GROUP BY norm HAVING count(*) > 1")
+query("person_duplicates_all", lambda n, e: metrics.person_duplicates(n, text.name_norm(F.col("name"))), None)  # whole names; the oracle of person_duplicates cuts them
 query("phase_pairs", lambda n, e: metrics.phase_order(n, e, text.ordinal(F.col("chunk_id"))), "WITH era AS (SELECT source_id AS id, arg_max(target_id, pos) AS era FROM edge_occ WHERE type = 'OCCURS_IN' GROUP BY 1), m AS (SELECT id, round(avg(CAST(regexp_extract(chunk_id, '([0-9]+)', 1) AS BIGINT)), 4) AS mean FROM node_occ WHERE type = 'Phase' GROUP BY 1) SELECT id, mean, era, CAST(row_number() OVER w AS INTEGER) AS place, lead(id) OVER w AS next_id FROM m JOIN era USING (id) WINDOW w AS (PARTITION BY era ORDER BY mean, id)")
 _CHECKS = f"WITH {_EVENTS}, {_PHASES}, {_ROLES}, {_NARRATIVE}, one AS (SELECT evr.*, nrr.ratio, (SELECT round(100 * (count(*) FILTER (anchored))::DOUBLE / count(*), 2) FROM pha) AS pct_anchored, (SELECT round((count(DISTINCT id) FILTER (type = 'Theme'))::DOUBLE / count(DISTINCT chunk_id), 6) FROM node_occ) AS themes_per_chunk, (SELECT count(DISTINCT chunk_id) FROM node_occ) AS n_chunks, (SELECT max(c)::DOUBLE FROM (SELECT count(*) AS c FROM edge_occ WHERE type = 'EMBODIES' GROUP BY target_id)) AS top_theme, (SELECT pct_protagonist FROM rol) AS pct_protagonist FROM evr, nrr), chk AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS \"check\", {m}::DOUBLE AS value, CASE WHEN {m} IS NULL THEN 'n/a' WHEN {m} {'<' if more else '>'} {s} THEN 'stop' WHEN {m} {'>=' if more else '<='} {g} THEN 'pass' ELSE 'fail' END AS status FROM one" for c, m, g, s, more in metrics.THRESHOLDS

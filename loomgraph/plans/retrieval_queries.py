@@ -85,6 +85,15 @@ def _gaps(s: SparkSession, d: str) -> DataFrame:
 
 
 query("chunk_gap", _gaps, with_occurrences("WITH p AS (SELECT DISTINCT id, CAST(regexp_extract(chunk_id, '([0-9]+)', 1) AS BIGINT) AS ord FROM node_occ WHERE type IN ('Place', 'Theme')), a AS (SELECT * FROM p WHERE id LIKE 'th_%'), b AS (SELECT * FROM p WHERE id IN ('na_1', 'na_2')) SELECT a.id AS a, b.id AS b, min(abs(a.ord - b.ord)) AS gap FROM a, b GROUP BY ALL"))
+def _all_gaps(s: SparkSession, d: str) -> DataFrame:
+    """Every theme with every place."""
+    n = nodes(s, d)
+    found = n.filter("type IN ('Place', 'Theme')").select("id", t.ordinal(F.col("chunk_id")).alias("ord")).distinct()
+    themes = n.filter("type = 'Theme' AND id LIKE 'th_%'").select(F.col("id").alias("a")).distinct()
+    return retrieve.least_gaps(themes.crossJoin(n.filter("type = 'Place'").select(F.col("id").alias("b")).distinct()), found)
+
+
+query("chunk_gap_all", _all_gaps, None)
 query("gold_compare", lambda s, d: retrieve.compared(nodes(s, d).filter("pos % 3 <> 0"), nodes(s, d).filter("confidence > 0.7")), with_occurrences("WITH g AS (SELECT DISTINCT id, type, 1 AS g FROM node_occ WHERE pos % 3 <> 0), m AS (SELECT DISTINCT id, type, 1 AS m FROM node_occ WHERE confidence > 0.7::DOUBLE) SELECT type, count(*) FILTER (g = 1 AND m = 1) AS n_both, count(*) FILTER (m IS NULL) AS n_gold, count(*) FILTER (g IS NULL) AS n_model FROM g FULL JOIN m USING (id, type) GROUP BY type"))
 
 

@@ -67,3 +67,23 @@ def test_fallback_and_smoothing(spark):
         assert [got[c, x[1]] for x in own] == labels
     events = spark.read.parquet(f"{SF}/events.parquet")
     assert catalog.QUERIES["window_relabel_all"](spark, SF).filter("label IS NOT NULL").count() == events.count()
+
+
+def test_person_duplicates_by_whole_names(spark):
+    rows = [("Person", f"c{i}", f"Customer#{i:09}") for i in range(8, 13)] + [("Person", "x", "CUSTOMER#000000010"), ("Person", "c8", "Customer#000000008"), ("Work", "y", "Customer#000000009")]
+    n = spark.createDataFrame(rows, "type string, id string, name string")
+    from loomgraph.functions.text import name_norm
+
+    assert [(r.norm, r.n, r["first"]) for r in metrics.person_duplicates(n, name_norm(F.col("name"))).collect()] == [("customer#000000010", 2, "c10")]
+    people = {(r.id, " ".join(r.name.split()).lower()) for r in nodes(spark, SF).filter("type = 'Person'").collect()}
+    want = {k for k in {x[1] for x in people} if sum(x[1] == k for x in people) > 1}
+    assert {r.norm for r in catalog.QUERIES["person_duplicates_all"](spark, SF).collect()} == want
+
+
+def test_gaps_of_all_places(spark):
+    at = {}
+    for r in nodes(spark, SF).filter("type IN ('Place', 'Theme')").select("id", "type", "chunk_id").distinct().collect():
+        at.setdefault((r.type, r.id), []).append(int("".join(c for c in r.chunk_id if c.isdigit())))
+    want = {(a, b): min(abs(x - y) for x in at["Theme", a] for y in at["Place", b]) for k, a in at if k == "Theme" and a.startswith("th_") for m, b in at if m == "Place"}
+    got = catalog.QUERIES["chunk_gap_all"](spark, SF).collect()
+    assert {(r.a, r.b): r.gap for r in got} == want and len({b for _, b in want}) > 2
