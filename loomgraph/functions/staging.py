@@ -3,17 +3,71 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+#: Only for a local master, whose executors are the driver's own threads.
 LOCAL_FOLDER = "file:///tmp/checkpoints/loomgraph"
 
+_owner: ContextVar[str] = ContextVar("owner", default="")
+_owned: dict[str, list[str]] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; without one a folder of this machine, but only for a local master."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return LOCAL_FOLDER
+
+
+def _file(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet and read again, so that loops don't grow the plan and lost executors don't matter."""
     spark = df.sparkSession
-    path = f"{(spark.conf.get('spark.checkpoint.dir', None) or LOCAL_FOLDER).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    target, files = _file(spark, path)
+    files.deleteOnExit(target)
+    if _owner.get():
+        _owned.setdefault(_owner.get(), []).append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def drop(*staged: DataFrame) -> None:
+    """Deletes what stage() returned, once nothing reads it any more."""
+    for df in staged:
+        target, files = _file(df.sparkSession, df._staged_path)
+        files.delete(target, True)
+
+
+@contextmanager
+def owned(owner: str) -> Iterator[None]:
+    """What is staged inside belongs to owner, whose tables release() deletes together."""
+    token = _owner.set(owner)
+    try:
+        yield
+    finally:
+        _owner.reset(token)
+
+
+def release(spark: SparkSession, owner: str, still_read: DataFrame) -> None:
+    """Deletes the tables of owner, but for those that still_read reads."""
+    paths = _owned.pop(owner, [])
+    kept = " ".join(still_read.inputFiles()) if paths else ""
+    for path in paths:
+        if path.rsplit("/", 1)[1] in kept:
+            _owned.setdefault(owner, []).append(path)
+        else:
+            target, files = _file(spark, path)
+            files.delete(target, True)
