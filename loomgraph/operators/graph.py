@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.schema import TYPE_RANK
-from ..functions.staging import stage
+from ..functions.staging import drop, stage
 
 
 def simple_pairs(edges: DataFrame) -> DataFrame:
@@ -35,21 +35,31 @@ def hubs(nodes: DataFrame, edges: DataFrame, k: int = 10) -> DataFrame:
 
 
 def components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root) of every node in a pair; the root is the smallest node that paths reach.
+    """(node, root) for every node of a pair of two nodes; the root is the smallest node that paths reach.
 
-    In each round every node takes the smallest root of its neighbours, then that root's own root, so rounds grow with
-    the logarithm of the longest path in the usual case. Roots live in a table; only a count comes to the driver.
+    Alternating stars: each round links the larger neighbours of every node to its smallest one, then the smaller ones;
+    the rounds grow with the logarithm of the nodes, not with the longest path. Pairs of a node with itself and pairs
+    with a null count for nothing. The smallest neighbours are written before they are joined, so that the rows of a
+    star's centre come to the join in an exchange that Spark may split. Only two sums come to the driver.
     """
-    both = stage(pairs.select(F.col(a).alias("u"), F.col(b).alias("v")).unionByName(pairs.select(F.col(b).alias("u"), F.col(a).alias("v"))).distinct(), "pairs")
-    roots = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("r")).withColumnRenamed("u", "node").withColumnRenamed("r", "root"), "roots")
-    while True:
-        near = both.join(roots.select(F.col("node").alias("v"), "root"), "v").groupBy(F.col("u").alias("node")).agg(F.min("root").alias("near"))
-        moved = roots.join(near, "node").select("node", F.least("root", "near").alias("root"), F.col("root").alias("old"))
-        own = moved.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        moved = stage(moved.join(own, "root", "left").select("node", F.least(F.col("root"), F.coalesce("up", "root")).alias("root"), "old"), "roots")
-        if moved.filter("root <> old").isEmpty():
-            return moved.select("node", "root")
-        roots = moved.select("node", "root")
+    low, high = F.least(F.col(a), F.col(b)), F.greatest(F.col(a), F.col(b))
+    held = stage(pairs.filter(F.col(a) != F.col(b)).select(high.alias("u"), low.alias("v")).distinct(), "components")
+    sums = F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31))), F.lit(0)).alias("s")
+    before = held.agg(*sums).first()
+    while before["n"]:
+        both = held.unionByName(held.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        best = stage(large.groupBy("u").agg(F.min("v").alias("m")), "best")
+        links = F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
+        small = large.join(best, "u").select(links.alias("x")).select("x.u", "x.v")
+        last, held = held, stage(small.filter("u > v").distinct(), "components")
+        drop(last, least, best)
+        after = held.agg(*sums).first()
+        if after == before:
+            break
+        before = after
+    return held.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(held.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
 def component_sizes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -89,7 +99,8 @@ def peel(edges: DataFrame) -> DataFrame:
     left = stage(edges.filter("source <> target"), "peel")
     n = left.count()
     while n:
-        left = stage(left.join(left.select(F.col("target").alias("source")).distinct(), "source", "left_semi"), "peel")
+        last, left = left, stage(left.join(left.select(F.col("target").alias("source")).distinct(), "source", "left_semi"), "peel")
+        drop(last)
         m = left.count()
         if m == n:
             break
