@@ -47,3 +47,18 @@ def unjudged(pairs: DataFrame, cache: DataFrame) -> DataFrame:
     """Pairs that the cache doesn't have, whichever way round."""
     key = lambda df: df.withColumn("key", F.sha1(F.concat_ws("|", F.least("a", "b").cast("string"), F.greatest("a", "b").cast("string"))))
     return key(pairs).join(key(cache).select("key"), "key", "left_anti")
+
+
+def ordered_judgments(judged: DataFrame, k: int) -> DataFrame:
+    """The k most certain judgments (a, b, verdict, confidence) of each verdict, with the verdict's count."""
+    counts = judged.groupBy("verdict").agg(F.count(F.lit(1)).alias("n_verdict"))
+    best = Window.partitionBy("verdict").orderBy(F.desc("confidence"), "a", "b")
+    top = judged.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
+    return top.join(counts, "verdict").select("a", "b", "verdict", "confidence", "n_verdict", "place")
+
+
+def record(edges: DataFrame, themes: DataFrame) -> DataFrame:
+    """One row on a hierarchy: its edges, those of both origins, heads that are themes already and heads that are made."""
+    counts = edges.agg(F.count(F.lit(1)).alias("n_edges"), F.count_if(F.contains("origins", F.lit("+"))).alias("n_both"))
+    heads = built(edges, themes).agg(F.count_if(F.col("action") == "promoted").alias("n_promoted"), F.count_if(F.col("action") == "made").alias("n_made"))
+    return counts.crossJoin(F.broadcast(heads))  # one row each

@@ -51,6 +51,13 @@ def band(cosine: Column, jaccard: Column, auto: float = 0.92, judge: float = 0.8
     return F.when(cosine >= auto, "auto").when((cosine >= judge) | (jaccard >= strong), "judge").otherwise("drop")
 
 
+def band_report(pairs: DataFrame, touches_hub: Column) -> DataFrame:
+    """Pairs by band: how many, in percent of all, and how many touch a hub."""
+    counts = pairs.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count_if(touches_hub).alias("n_hub"))
+    whole = counts.agg(F.sum("n").alias("whole"))
+    return counts.crossJoin(F.broadcast(whole)).select("band", "n", F.round(100 * F.col("n") / F.col("whole"), 2).alias("pct"), "n_hub")  # one row
+
+
 def histogram(values: DataFrame, column: str, start: float, width: float, bins: int) -> DataFrame:
     """Counts per bin; the last bin takes what is above."""
     at = F.least(F.floor((F.col(column) - start) / width).cast("int"), F.lit(bins - 1))

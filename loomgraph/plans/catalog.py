@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import graph_queries, retrieval_queries, text_queries
+from . import graph_queries, health_queries, retrieval_queries, text_queries, theme_queries
 
-QUERIES = {**graph_queries.QUERIES, **text_queries.QUERIES, **retrieval_queries.QUERIES}
-ORACLES = {**graph_queries.ORACLES, **text_queries.ORACLES, **retrieval_queries.ORACLES}
+_PARTS = (graph_queries, text_queries, retrieval_queries, theme_queries, health_queries)
+QUERIES = {name: run for part in _PARTS for name, run in part.QUERIES.items()}
+ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
