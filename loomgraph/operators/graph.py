@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.schema import TYPE_RANK
 from ..functions.staging import drop, stage
+from .order import quantiles
 
 
 def simple_pairs(edges: DataFrame) -> DataFrame:
@@ -22,10 +25,10 @@ def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def degree_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Degrees by type; quantiles are interpolated."""
-    q = lambda p: F.round(F.percentile("degree", F.lit(p)), 4)
-    return degrees(nodes, edges).groupBy("type").agg(
-        F.count(F.lit(1)).alias("n"), F.min("degree").alias("least"), F.max("degree").alias("most"), q(0.5).alias("median"), q(0.9).alias("p90"), q(0.99).alias("p99"), F.count_if(F.col("degree") <= 1).alias("n_leaves")
-    )
+    found = stage(degrees(nodes, edges), "degrees")
+    q = quantiles(found, "type", "degree", {"median": 0.5, "p90": 0.9, "p99": 0.99}).select("type", *[F.round(c, 4).alias(c) for c in ("median", "p90", "p99")])
+    rest = found.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.min("degree").alias("least"), F.max("degree").alias("most"), F.count_if(F.col("degree") <= 1).alias("n_leaves"))
+    return rest.join(q, "type").select("type", "n", "least", "most", "median", "p90", "p99", "n_leaves")
 
 
 def hubs(nodes: DataFrame, edges: DataFrame, k: int = 10) -> DataFrame:
@@ -110,16 +113,20 @@ def peel(edges: DataFrame) -> DataFrame:
 
 def break_cycles(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept, removed) of edges (source, target, confidence, pos): of what peel() leaves, the least certain goes, the
-    first read of equals, until nothing is left."""
-    kept, gone = edges, None
-    while True:
-        worst = peel(kept).orderBy("confidence", "pos").limit(1)
-        row = worst.first()
-        if row is None:
-            return kept, gone if gone is not None else edges.limit(0)
-        one = edges.filter((F.col("source") == row["source"]) & (F.col("target") == row["target"]) & (F.col("pos") == row["pos"]))
-        gone = one if gone is None else gone.unionByName(one)
-        kept = stage(kept.exceptAll(one), "acyclic")
+    first read of equals, until nothing is left.
+
+    Parts of the rest that no edge joins don't touch each other, so each round takes the least certain edge of every
+    such part, and peels only what was left. Only whether edges are left comes to the driver.
+    """
+    columns, gone = edges.columns, []
+    left = peel(edges)
+    while not left.isEmpty():
+        parts = components(left, "source", "target").select(F.col("node").alias("source"), "root")
+        worst = left.join(parts, "source").groupBy("root").agg(F.min_by(F.struct(*columns), F.struct("confidence", "pos", "source", "target")).alias("x")).select("x.*")
+        gone.append(stage(worst, "cycle-edges"))
+        left = peel(left.exceptAll(gone[-1]))
+    removed = reduce(DataFrame.unionByName, gone) if gone else edges.limit(0)
+    return edges.exceptAll(removed), removed
 
 
 def caps(edges: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.schema import NODE_TYPES
 from ..functions.text import percent
+from .order import quantiles
 
 
 def type_counts(nodes: DataFrame) -> DataFrame:
@@ -18,12 +19,14 @@ def type_counts(nodes: DataFrame) -> DataFrame:
 
 def confidence_stats(nodes: DataFrame) -> DataFrame:
     """Confidences of all occurrences by type."""
-    q = lambda p: F.round(F.percentile("confidence", F.lit(p)), 6)
     under = lambda x: F.count_if(F.col("confidence") < x)
-    return nodes.groupBy("type").agg(
+    shares = {"p10": 0.1, "p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9}
+    q = quantiles(nodes, "type", "confidence", shares).select("type", *[F.round(c, 6).alias(c) for c in shares])
+    rest = nodes.groupBy("type").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("confidence"), 6).alias("mean"), F.min("confidence").alias("least"), F.max("confidence").alias("most"),
-        q(0.1).alias("p10"), q(0.25).alias("p25"), q(0.5).alias("median"), q(0.75).alias("p75"), q(0.9).alias("p90"), under(0.5).alias("below_50"), under(0.7).alias("below_70"), under(0.9).alias("below_90"),
+        under(0.5).alias("below_50"), under(0.7).alias("below_70"), under(0.9).alias("below_90"),
     )
+    return rest.join(q, "type", "left")
 
 
 def event_quality(nodes: DataFrame, edges: DataFrame) -> DataFrame:

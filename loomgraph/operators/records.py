@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import one_line
+from .order import numbered
 
 #: The keys of a run's metadata.
 RUN_KEYS = "source created_at stage_version schema_version prompt_version model params mode started_at finished_at n_chunks_requested total_chunks_processed".split()
@@ -131,23 +132,10 @@ def placed_on_points(nodes: DataFrame, points: DataFrame, fixed: DataFrame, skip
     Places come from one range partitioning of either side, so that no task holds all rows.
     """
     eligible = nodes.filter(~F.col("id").isin(skip) & (F.col("type") != "Era")).join(fixed.select("id"), "id", "left_anti")
-    rank = lambda df, *by: numbered(df, *by)
-    pairs = rank(eligible, "pos", "id").join(rank(points, "i").select("place", "x", "y"), "place")
+    pairs = numbered(eligible, "pos", "id").join(numbered(points, "i").select("place", "x", "y"), "place")
     return pairs.select("id", "x", "y", F.lit(True).alias("fixed")).unionByName(fixed.select("id", "x", "y", F.lit(True).alias("fixed")))
 
 
-def numbered(rows: DataFrame, *by: str) -> DataFrame:
-    """rows with `place` from 1 in the order of the columns, by the sizes of the range partitions before."""
-    from ..functions.staging import stage
-
-    dealt = stage(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()), "numbered")
-    dealt = dealt.withColumn("_part", F.shiftright("_at", 33))
-    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_skipped"))  # a row for each partition
-    return dealt.join(F.broadcast(starts), "_part").withColumn("place", F.col("_skipped") + F.col("_at") - F.col("_first") + 1).drop("_part", "_at", "_first", "_skipped")
-
-
 def on_maps(nodes: DataFrame, maps: DataFrame) -> DataFrame:
     """(map, topic, id): the maps (map, topic, ids) that list each node."""
     return maps.select("map", "topic", F.explode("ids").alias("id")).distinct().join(nodes.select("id").distinct(), "id", "left_semi").select("map", "topic", "id")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import edge_key, name_norm, split_id
+from .order import running
 
 
 def joined(values: Column) -> Column:
@@ -128,8 +129,9 @@ def order_statistics(values: DataFrame, column: str, picks: dict[str, Column]) -
     Works on the counts of distinct values, whose running sum says which value stands at a place.
     """
     counts = values.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    running = counts.withColumn("upto", F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))).withColumn("n", F.sum("c").over(Window.partitionBy()))
-    return running.agg(*[F.min(F.when(F.col("upto") > at, F.col("v"))).alias(name) for name, at in picks.items()], F.max("v").alias("max"), F.max("n").alias("n"))
+    told = running(counts, ["v"], "c")
+    whole = told.agg(F.sum("c").alias("n"))
+    return told.join(F.broadcast(whole)).agg(*[F.min(F.when(F.col("upto") > at, F.col("v"))).alias(name) for name, at in picks.items()], F.max("v").alias("max"), F.max("n").alias("n"))  # one row
 
 
 def resolver_stats(resolved: DataFrame) -> DataFrame:

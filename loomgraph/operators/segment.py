@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse
+from .order import running
 from .resolve import order_statistics
 
 
@@ -66,7 +67,7 @@ def chunks(found: DataFrame) -> DataFrame:
 def chunk_ids(found: DataFrame) -> DataFrame:
     """Chunks with the name ch_0001 and on, numbered over all pages: the chunks of earlier pages plus the place in the page."""
     per_page = found.groupBy("page").agg(F.max("chunk").alias("k"))
-    before = per_page.withColumn("before", F.coalesce(F.sum("k").over(Window.orderBy("page").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("page", "before")
+    before = running(per_page, ["page"], "k").select("page", (F.col("upto") - F.col("k")).alias("before"))
     return found.join(before, "page").select(F.concat(F.lit("ch_"), F.lpad((F.col("before") + F.col("chunk")).cast("string"), 6, "0")).alias("chunk_id"), "page", "chunk", "tokens", "merged")
 
 

@@ -2,44 +2,134 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.staging import stage
+from .order import numbered
+
+#: Vectors of a block, and blocks of vectors that one copy of a block of questions meets.
+BLOCK, RUN = 2_048, 8
+
 
 def dot(a: Column, b: Column) -> Column:
     """Inner product in double precision, in the order of the components."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-def top_k(questions: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """The k vectors (id, v) with the largest inner product for each question (q_id, q); questions are few and travel whole."""
-    scored = vectors.join(F.broadcast(questions)).select("q_id", "id", dot(F.col("q"), F.col("v")).alias("score"))
-    best = Window.partitionBy("q_id").orderBy(F.desc("score"), "id")
-    return scored.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
+def _packed(rows: DataFrame, most: int) -> DataFrame:
+    """Blocks (block, dim, ids, vectors) of rows (id, v), of one number of components each; rows without an id, a vector
+    or a component take no part."""
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[pa.RecordBatch]] = {}
+
+        def block(dim: int) -> pa.RecordBatch:
+            whole = pa.Table.from_batches(held.pop(dim))
+            vectors = pc.list_flatten(whole["v"].combine_chunks()).to_numpy(zero_copy_only=False).astype(np.float64)
+            return pa.RecordBatch.from_pydict({"dim": pa.array([dim], pa.int32()), "ids": pa.array([whole["id"].to_pylist()], pa.list_(whole.schema.field("id").type)), "vectors": pa.array([vectors.tobytes()], pa.binary())})
+
+        for b in batches:
+            dims = pc.list_value_length(b["v"]).to_numpy(zero_copy_only=False)
+            for dim in np.unique(dims).tolist():
+                own = b.filter(pa.array(dims == dim))
+                for at in range(0, own.num_rows, most):
+                    held.setdefault(dim, []).append(own.slice(at, most))
+                    if sum(x.num_rows for x in held[dim]) >= most:
+                        yield block(dim)
+        for dim in list(held):
+            yield block(dim)
+
+    whole = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull())).select("id", F.col("v").cast("array<double>").alias("v"))
+    return whole.mapInArrow(run, f"dim int, ids array<{kind}>, vectors binary").withColumn("block", F.monotonically_increasing_id())
+
 
+def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of the rows of a and b in double precision, summed in the order of the components, as dot() does."""
+    total = np.zeros(len(a))
+    for d in range(a.shape[1]):
+        total += a[:, d] * b[:, d]
+    return total
 
-def cosine_pairs(vectors: DataFrame, k: int, gate: float, blocks: int = 8) -> DataFrame:
-    """Unordered pairs in the top k of either side, with a cosine of at least the gate.
 
-    All against all, block by block: a vector meets each block of the others in its own task.
+def nearest(questions: DataFrame, vectors: DataFrame, k: int | None, gate: float | None = None, others_only: bool = False) -> DataFrame:
+    """(q_id, id, score): for each question (id, v) the k vectors (id, v) with the largest inner product, all for no k, of
+    at least the gate; ties go to the smaller id. Vectors of other lengths never meet; with others_only no equal ids.
+
+    Both sides are packed into blocks; the blocks of questions go to every run of blocks of vectors, as many runs as
+    there are RUN blocks, and a product of two blocks gives its k best of each question. What passes is computed again
+    component by component, so that scores are those of dot().
     """
-    side = vectors.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
-    left = side.select(F.col("id").alias("a"), F.col("v").alias("va"), F.col("block").alias("one"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("two"))
-    right = side.select(F.col("id").alias("b"), F.col("v").alias("vb"), F.col("block").alias("two"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("one"))
-    scored = left.join(right, ["one", "two"]).filter("a <> b").select("a", "b", dot(F.col("va"), F.col("vb")).alias("cosine")).filter(F.col("cosine") >= gate)
-    best = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
-    top = scored.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
-    return top.groupBy(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).agg(F.max("cosine").alias("cosine"))
+    kinds = questions.schema["id"].dataType.simpleString(), vectors.schema["id"].dataType.simpleString()
+    asked, told = stage(_packed(questions, BLOCK), "similar-questions"), stage(_packed(vectors, BLOCK), "similar-vectors")
+    runs = max(1, -(-told.count() // RUN))
+    spread = asked.select("dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
+    tiles = spread.join(told.withColumn("run", F.pmod(F.xxhash64("block"), F.lit(runs)).cast("int")).drop("block"), ["run", "dim"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                x = {n: b[n][i].as_py() for n in ("dim", "q_ids", "q_vectors", "ids", "vectors")}
+                q, v = (np.frombuffer(x[c]).reshape(-1, x["dim"]) for c in ("q_vectors", "vectors"))
+                q_ids, ids = np.array(x["q_ids"]), np.array(x["ids"])
+                near = q @ v.T
+                off = 1e-9 * (1 + np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(v, axis=1)[None, :])
+                if others_only:
+                    near[q_ids[:, None] == ids[None, :]] = -np.inf
+                passes = np.isfinite(near) if gate is None else near >= gate - off
+                if k is not None and k < len(ids):
+                    passes &= near + 2 * off >= np.partition(near, len(ids) - k, axis=1)[:, len(ids) - k][:, None]
+                qi, vi = np.nonzero(passes)
+                score = exact_products(q[qi], v[vi])
+                keep = np.ones(len(score), bool) if gate is None else score >= gate
+                order = np.lexsort((ids[vi][keep], -score[keep], qi[keep]))
+                qi, vi, score = qi[keep][order], vi[keep][order], score[keep][order]
+                if k is not None:
+                    first = np.arange(len(qi)) - np.searchsorted(qi, qi) < k
+                    qi, vi, score = qi[first], vi[first], score[first]
+                yield pa.RecordBatch.from_pydict({"q_id": pa.array(q_ids[qi].tolist(), b["q_ids"].type.value_type), "id": pa.array(ids[vi].tolist(), b["ids"].type.value_type), "score": score})
+
+    found = tiles.select("dim", "q_ids", "q_vectors", "ids", "vectors").mapInArrow(run, f"q_id {kinds[0]}, id {kinds[1]}, score double")
+    if k is None:
+        return found
+    best = Window.partitionBy("q_id").orderBy(F.desc("score"), "id")
+    return found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
+
+
+def top_k(questions: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """The k vectors (id, v) with the largest inner product for each question (q_id, q), with their place from 1."""
+    return nearest(questions.select(F.col("q_id").alias("id"), F.col("q").alias("v")), vectors.select("id", "v"), k).select("q_id", "id", "score", "place")
+
+
+def cosine_pairs(vectors: DataFrame, k: int | None, gate: float) -> DataFrame:
+    """Unordered pairs of unit vectors (id, v) in the top k of either side, with a cosine of at least the gate; all such pairs for no k."""
+    top = nearest(vectors.select("id", "v"), vectors.select("id", "v"), k, gate, others_only=True)
+    return top.groupBy(F.least("q_id", "id").alias("id_a"), F.greatest("q_id", "id").alias("id_b")).agg(F.max("score").alias("cosine"))
 
 
 def jaccard_pairs(sets: DataFrame, gate: float) -> DataFrame:
-    """Pairs of sets (id, tokens) with a Jaccard similarity of at least the gate, by way of their common tokens."""
-    sized = sets.select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("t"))
-    left, right = sized.select(F.col("id").alias("id_a"), F.col("n").alias("na"), "t"), sized.select(F.col("id").alias("id_b"), F.col("n").alias("nb"), "t")
+    """Pairs of sets (id, tokens), ids being distinct, with a Jaccard similarity (to six places) of at least the gate.
+
+    Two such sets share one of their rarest tokens: of n tokens the first n - ceil(gate * n) + 1 in order of frequency.
+    Only those are joined, so a token that most sets have joins nothing but sets of such tokens alone.
+    """
+    tokens = sets.select("id", F.size(F.array_distinct("tokens")).alias("n"), F.explode(F.array_distinct("tokens")).alias("t"))
+    often = tokens.groupBy("t").agg(F.count(F.lit(1)).alias("often"))
+    order = Window.partitionBy("id").orderBy("often", "t")
+    rare = tokens.join(often, "t").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= F.col("n") - F.ceil(F.lit(gate - 1e-6) * F.col("n")) + 1)
+    left, right = rare.select(F.col("id").alias("id_a"), F.col("n").alias("na"), "t"), rare.select(F.col("id").alias("id_b"), F.col("n").alias("nb"), "t")
     # a set can only be like one whose size is within the gate
-    near = (F.col("id_a") < F.col("id_b")) & (F.col("na") >= F.col("nb") * gate) & (F.col("nb") >= F.col("na") * gate)
-    common = left.join(right, "t").filter(near).groupBy("id_a", "id_b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
-    return common.select("id_a", "id_b", F.round(F.col("c") / (F.col("na") + F.col("nb") - F.col("c")), 6).alias("jaccard")).filter(F.col("jaccard") >= gate)
+    near = (F.col("id_a") < F.col("id_b")) & (F.col("na") >= F.col("nb") * (gate - 1e-6)) & (F.col("nb") >= F.col("na") * (gate - 1e-6))
+    pairs = left.join(right, "t").filter(near).select("id_a", "id_b").distinct()
+    side = lambda c: sets.select(F.col("id").alias(f"id_{c}"), F.array_distinct("tokens").alias(f"t{c}"))
+    both = pairs.join(side("a"), "id_a").join(side("b"), "id_b").withColumn("c", F.size(F.array_intersect("ta", "tb")))
+    return both.select("id_a", "id_b", F.round(F.col("c") / (F.size("ta") + F.size("tb") - F.col("c")), 6).alias("jaccard")).filter(F.col("jaccard") >= gate)
 
 
 def channels(dense: DataFrame, lexical: DataFrame) -> DataFrame:
@@ -84,7 +174,7 @@ def centroids(members: DataFrame) -> DataFrame:
 def renumbered(members: DataFrame) -> DataFrame:
     """Clusters numbered from 1 by size, largest first, then by label."""
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.withColumn("number", F.row_number().over(Window.orderBy(F.desc("n"), "cluster")))
+    return numbered(sizes.withColumn("_less", -F.col("n")), "_less", "cluster").withColumn("number", F.col("place").cast("int")).drop("_less", "place")
 
 
 def ranked_nodes(found: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -23,22 +23,22 @@ NORM = "lower(trim(regexp_replace(name, '\\s+', ' ', 'g')))"
 RESOLVED = f"""WITH per_name AS (SELECT type, {NORM} AS norm, id, count(*) AS n FROM node_occ GROUP BY ALL),
 grp AS (SELECT *, count(*) OVER (PARTITION BY type, norm) AS n_ids FROM per_name),
 mem AS (SELECT *, rank() OVER (PARTITION BY type, norm ORDER BY n DESC) AS place, count(*) OVER (PARTITION BY id) AS groups FROM grp WHERE n_ids > 1),
-dec AS (SELECT type, norm, string_agg(id, ',' ORDER BY id) AS ids, count(*) FILTER (place = 1) AS n_top, min(id) FILTER (place = 1) AS top, max(groups) AS groups FROM mem GROUP BY type, norm),
-mrg AS (SELECT m.id AS loser, d.top AS canonical_id FROM mem m JOIN dec d USING (type, norm) WHERE d.n_top = 1 AND d.groups = 1 AND m.id <> d.top),
+dec AS MATERIALIZED (SELECT type, norm, string_agg(id, ',' ORDER BY id) AS ids, count(*) FILTER (place = 1) AS n_top, min(id) FILTER (place = 1) AS top, max(groups) AS groups FROM mem GROUP BY type, norm),
+mrg AS MATERIALIZED (SELECT m.id AS loser, d.top AS canonical_id FROM mem m JOIN dec d USING (type, norm) WHERE d.n_top = 1 AND d.groups = 1 AND m.id <> d.top),
 col AS (SELECT id FROM node_occ GROUP BY id HAVING count(DISTINCT type) > 1),
-spl AS (SELECT id, type, id || '__' || lower(type) AS new_id, count(*) AS n FROM node_occ JOIN col USING (id) GROUP BY id, type),
+spl AS MATERIALIZED (SELECT id, type, id || '__' || lower(type) AS new_id, count(*) AS n FROM node_occ JOIN col USING (id) GROUP BY id, type),
 mov AS (SELECT o.*, coalesce(m.canonical_id, s.new_id, o.id) AS final_id FROM node_occ o LEFT JOIN spl s USING (id, type) LEFT JOIN mrg m ON m.loser = coalesce(s.new_id, o.id)),
-loc AS (SELECT chunk_id, id, arg_min(type, (pos, type)) AS t FROM node_occ GROUP BY chunk_id, id),
-typ AS (SELECT e.*, a.t AS source_type, b.t AS target_type FROM edge_occ e LEFT JOIN loc a ON a.chunk_id = e.chunk_id AND a.id = e.source_id LEFT JOIN loc b ON b.chunk_id = e.chunk_id AND b.id = e.target_id),
+loc AS MATERIALIZED (SELECT chunk_id, id, arg_min(type, (pos, type)) AS t FROM node_occ GROUP BY chunk_id, id),
+typ AS MATERIALIZED (SELECT e.*, a.t AS source_type, b.t AS target_type FROM edge_occ e LEFT JOIN loc a ON a.chunk_id = e.chunk_id AND a.id = e.source_id LEFT JOIN loc b ON b.chunk_id = e.chunk_id AND b.id = e.target_id),
 mve AS (SELECT t.*, coalesce(m1.canonical_id, s1.new_id, t.source_id) AS source, coalesce(m2.canonical_id, s2.new_id, t.target_id) AS target FROM typ t
   LEFT JOIN spl s1 ON s1.id = t.source_id AND s1.type = t.source_type LEFT JOIN mrg m1 ON m1.loser = coalesce(s1.new_id, t.source_id)
   LEFT JOIN spl s2 ON s2.id = t.target_id AND s2.type = t.target_type LEFT JOIN mrg m2 ON m2.loser = coalesce(s2.new_id, t.target_id)
   WHERE t.source_type IS NOT NULL AND t.target_type IS NOT NULL),
 nam AS (SELECT final_id, type, name, count(*) AS n, min(pos) AS first FROM mov GROUP BY ALL),
-res AS (SELECT a.final_id AS id, a.type, b.name, a.n_provenances, a.merged_from, b.n_names, a.confidence, a.n_chunks FROM
+res AS MATERIALIZED (SELECT a.final_id AS id, a.type, b.name, a.n_provenances, a.merged_from, b.n_names, a.confidence, a.n_chunks FROM
   (SELECT final_id, type, count(*) AS n_provenances, string_agg(DISTINCT id, ',' ORDER BY id) AS merged_from, round(max(confidence), 6) AS confidence, count(DISTINCT chunk_id) AS n_chunks FROM mov GROUP BY ALL) a
   JOIN (SELECT final_id, type, arg_max(name, (n, -first)) AS name, count(*) AS n_names FROM nam GROUP BY ALL) b USING (final_id, type)),
-edg AS (SELECT source, target, type, role, count(*) AS n_provenances, min(chunk_id) AS first_chunk FROM mve WHERE source <> target GROUP BY ALL)
+edg AS MATERIALIZED (SELECT source, target, type, role, count(*) AS n_provenances, min(chunk_id) AS first_chunk FROM mve WHERE source <> target GROUP BY ALL)
 """
 
 
@@ -53,8 +53,8 @@ def query(name: str, function: Callable[[DataFrame, DataFrame], DataFrame], sql:
 query("node_index", lambda n, e: resolve.node_index(n), f"WITH a AS (SELECT type, id, {NORM} AS norm, count(*) AS n FROM node_occ GROUP BY ALL), b AS (SELECT type, norm, CAST(sum(n) AS BIGINT) AS n_name FROM a GROUP BY ALL), c AS (SELECT type, id, CAST(sum(n) AS BIGINT) AS n_id, min(norm) AS norm FROM a GROUP BY ALL) SELECT type, norm, id, n_id, n_name FROM c JOIN b USING (type, norm)")
 query("type_collisions", lambda n, e: resolve.type_collisions(n), "SELECT id, string_agg(DISTINCT type, ',' ORDER BY type) AS types, count(DISTINCT type) AS n_types, count(*) AS n FROM node_occ GROUP BY id HAVING count(DISTINCT type) > 1")
 query("dup_exact", lambda n, e: resolve.exact_duplicates(n), f"SELECT type, {NORM} AS norm, string_agg(DISTINCT id, ',' ORDER BY id) AS ids, count(DISTINCT id) AS n_ids FROM node_occ GROUP BY type, norm HAVING count(DISTINCT id) > 1")
-query("dup_near", lambda n, e: resolve.near_duplicates(n, 5), f"WITH a AS (SELECT DISTINCT type, id, {NORM} AS norm FROM node_occ) SELECT x.type, x.id AS id_a, y.id AS id_b, x.norm AS norm_a, y.norm AS norm_b, 'prefix' AS reason FROM a x JOIN a y ON x.type = y.type AND x.id <> y.id AND starts_with(y.norm, x.norm) AND length(y.norm) > length(x.norm) AND length(x.norm) >= 5")
-query("dup_near_all", lambda n, e: resolve.near_duplicates(n), None)  # names of any length; the oracle of dup_near has a least length
+query("dup_near", lambda n, e: resolve.near_duplicates(n), f"""WITH a AS MATERIALIZED (SELECT DISTINCT type, id, {NORM} AS norm FROM node_occ), s AS (SELECT type, id, norm, substr(norm, 1, k) AS start FROM a, range(1, 200) r(k) WHERE k < length(norm))
+SELECT x.type, x.id AS id_a, s.id AS id_b, x.norm AS norm_a, s.norm AS norm_b, 'prefix' AS reason FROM a x JOIN s ON s.type = x.type AND s.start = x.norm AND s.id <> x.id""")
 query("merge_decisions", lambda n, e: resolve.merge_decisions(n), RESOLVED + "SELECT type, norm, ids, CASE WHEN n_top = 1 AND groups = 1 THEN top END AS canonical_id, CASE WHEN n_top = 1 AND groups = 1 THEN 'auto' ELSE 'review' END AS decision, CASE WHEN groups > 1 THEN 'id in several groups' WHEN n_top > 1 THEN 'tie' END AS reason FROM dec")
 query("merge_map", lambda n, e: resolve.merge_map(n), RESOLVED + "SELECT loser, canonical_id FROM mrg")
 query("split_map", lambda n, e: resolve.split_map(n), RESOLVED + "SELECT id, type, new_id, n FROM spl")
@@ -62,7 +62,9 @@ query("resolved_nodes", lambda n, e: resolve.resolved_nodes(n), RESOLVED + "SELE
 query("resolved_node_counts", lambda n, e: resolve.resolved_nodes(n).groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum("n_provenances").alias("n_provenances")), RESOLVED + "SELECT type, count(*) AS n, CAST(sum(n_provenances) AS BIGINT) AS n_provenances FROM res GROUP BY type")
 query("resolved_edges", resolve.resolved_edges, RESOLVED + "SELECT concat_ws('|', source, type, target, role) AS edge_key, * FROM edg")
 query("resolver_stats", lambda n, e: resolve.resolver_stats(resolve.resolved_nodes(n)), RESOLVED + ", s AS (SELECT list_sort(list(n_provenances)) AS v, count(*) AS n FROM res) SELECT v[CAST(floor(n / 2) AS BIGINT) + 1] AS median, v[CAST(least(floor(n * 95 / 100), n - 1) AS BIGINT) + 1] AS p95, v[n] AS max, n FROM s")
-query("orphan_edges", resolve.orphan_edges, RESOLVED + "SELECT chunk_id, source_id, target_id, type, CASE WHEN source_type IS NULL THEN 'source' ELSE 'target' END AS missing FROM typ WHERE source_type IS NULL OR target_type IS NULL")
+_TYPED = """WITH loc AS MATERIALIZED (SELECT chunk_id, id, arg_min(type, (pos, type)) AS t FROM node_occ GROUP BY chunk_id, id),
+typ AS MATERIALIZED (SELECT e.*, a.t AS source_type, b.t AS target_type FROM edge_occ e LEFT JOIN loc a ON a.chunk_id = e.chunk_id AND a.id = e.source_id LEFT JOIN loc b ON b.chunk_id = e.chunk_id AND b.id = e.target_id) """
+query("orphan_edges", resolve.orphan_edges, _TYPED + "SELECT chunk_id, source_id, target_id, type, CASE WHEN source_type IS NULL THEN 'source' ELSE 'target' END AS missing FROM typ WHERE source_type IS NULL OR target_type IS NULL")
 query("proposals", lambda n, e: resolve.proposals(n), RESOLVED + "SELECT 'embodies' AS kind, max(new_id) FILTER (type <> 'Theme') AS source_id, max(new_id) FILTER (type = 'Theme') AS target_id, 0.5::DOUBLE AS confidence FROM spl GROUP BY id HAVING count(*) FILTER (type = 'Theme') > 0 AND count(*) FILTER (type <> 'Theme') > 0")
 query("evidence_sample", lambda n, e: resolve.evidence(n), "WITH a AS (SELECT id, chunk_id, max(confidence) AS c FROM node_occ WHERE type = 'Theme' GROUP BY ALL), b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY c DESC, chunk_id) AS place FROM a) SELECT id, chunk_id, round(c, 6) AS confidence, CAST(place AS INTEGER) AS place FROM b WHERE place <= 3")
 query("provenance_dedup", lambda n, e: resolve.distinct_provenances(n), "SELECT id, type, count(*) AS n_all, count(DISTINCT (chunk_id, confidence)) AS n_distinct FROM node_occ GROUP BY id, type")
@@ -77,11 +79,11 @@ def _compatible_sql(kind: str, source: str, target: str) -> str:
 _ROLE = "CASE WHEN type = 'INVOLVES' THEN coalesce(role IN ('protagonist', 'participant', 'mentioned'), false) ELSE role IS NULL END"
 _REASON = f"CASE WHEN source_type IS NULL OR target_type IS NULL THEN 'endpoint not local' WHEN NOT ({_compatible_sql('type', 'source_type', 'target_type')}) THEN 'incompatible types' WHEN NOT ({_ROLE}) THEN 'invalid role' END"
 
-query("edge_compat", validate.checked_edges, RESOLVED + f"SELECT type, {_REASON} AS reason, count(*) AS n FROM typ GROUP BY ALL")
-query("invalid_edges", validate.invalid_edges, RESOLVED + f"SELECT chunk_id, source_id, target_id, type, role, {_REASON} AS reason FROM typ WHERE ({_REASON}) IS NOT NULL")
+query("edge_compat", validate.checked_edges, _TYPED + f"SELECT type, {_REASON} AS reason, count(*) AS n FROM typ GROUP BY ALL")
+query("invalid_edges", validate.invalid_edges, _TYPED + f"SELECT chunk_id, source_id, target_id, type, role, {_REASON} AS reason FROM typ WHERE ({_REASON}) IS NOT NULL")
 query("role_valid", lambda n, e: e.groupBy("type", "role", validate.role_valid(F.col("type"), F.col("role")).alias("valid")).agg(F.count(F.lit(1)).alias("n")), f"SELECT type, role, {_ROLE} AS valid, count(*) AS n FROM edge_occ GROUP BY ALL")
 query("referential_integrity", lambda n, e: validate.dangling(resolve.resolved_nodes(n), resolve.resolved_edges(n, e).unionByName(e.select(F.concat(F.lit("x_"), "source_id").alias("source"), F.col("target_id").alias("target"), "type").filter("type = 'OCCURS_IN'"), allowMissingColumns=True)),
-      RESOLVED + ", a AS (SELECT source, target, type FROM edg UNION ALL SELECT 'x_' || source_id, target_id, type FROM edge_occ WHERE type = 'OCCURS_IN'), b AS (SELECT *, unnest([source, target]) AS missing FROM a) SELECT * FROM b WHERE missing NOT IN (SELECT id FROM res)")
+      RESOLVED + ", a AS (SELECT source, target, type FROM edg UNION ALL SELECT 'x_' || source_id, target_id, type FROM edge_occ WHERE type = 'OCCURS_IN'), b AS (SELECT *, unnest([source, target]) AS missing FROM a) SELECT b.* FROM b LEFT JOIN (SELECT DISTINCT id FROM res) k ON k.id = b.missing WHERE k.id IS NULL")
 query("name_check", lambda n, e: validate.bad_names(n), "SELECT type, count(*) AS n, count(*) FILTER (coalesce(trim(name), '') = '') AS n_bad FROM node_occ GROUP BY type")
 query("embodies", lambda n, e: validate.embody_actions(resolve.proposals(n), resolve.resolved_nodes(n), resolve.resolved_edges(n, e)),
       RESOLVED + f", p AS (SELECT max(new_id) FILTER (type <> 'Theme') AS source_id, max(new_id) FILTER (type = 'Theme') AS target_id FROM spl GROUP BY id HAVING count(*) = 2), k AS (SELECT id, min(type) AS t FROM res GROUP BY id) SELECT source_id, target_id, a.t AS source_type, b.t AS target_type, CASE WHEN a.t IS NULL OR b.t IS NULL THEN 'dangling' WHEN NOT ({_compatible_sql(chr(39) + 'EMBODIES' + chr(39), 'a.t', 'b.t')}) THEN 'incompatible' WHEN EXISTS (SELECT 1 FROM edg WHERE type = 'EMBODIES' AND source = source_id AND target = target_id) THEN 'duplicate' ELSE 'materialised' END AS action FROM p LEFT JOIN k a ON a.id = source_id LEFT JOIN k b ON b.id = target_id")
@@ -96,16 +98,12 @@ def resolved(function: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[
 _PAIRS = RESOLVED + ", par AS (SELECT DISTINCT least(source, target) AS a, greatest(source, target) AS b FROM edg), deg AS (SELECT r.id, r.type, coalesce(d, 0) AS degree FROM res r LEFT JOIN (SELECT id, count(*) AS d FROM (SELECT unnest([a, b]) AS id FROM par) GROUP BY id) USING (id)) "
 query("degree_stats", resolved(graph.degree_stats), _PAIRS + "SELECT type, count(*) AS n, min(degree) AS least, max(degree) AS most, round(quantile_cont(degree, 0.5), 4) AS median, round(quantile_cont(degree, 0.9), 4) AS p90, round(quantile_cont(degree, 0.99), 4) AS p99, count(*) FILTER (degree <= 1) AS n_leaves FROM deg GROUP BY type")
 query("hubs", resolved(graph.hubs), _PAIRS + "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY type ORDER BY degree DESC, id) AS INTEGER) AS place FROM deg) WHERE place <= 10")
-_CREATED = "type = 'CREATED' AND substr(target_id, 1, 4) <= 'pt_1'"
-
-
-def _created(n: DataFrame, e: DataFrame) -> tuple[DataFrame, DataFrame]:
-    part = e.filter(_CREATED).filter("source_id <> 'su_1'").select(F.concat(F.lit("c"), F.col("chunk_id")).alias("source"), F.col("target_id").alias("target"))
-    return n.filter("type = 'Work' AND substr(id, 1, 4) <= 'pt_1'"), part
-
-
-query("components", lambda n, e: graph.component_sizes(*_created(n, e)), f"WITH RECURSIVE p AS (SELECT DISTINCT 'c' || chunk_id AS a, target_id AS b FROM edge_occ WHERE {_CREATED} AND source_id <> 'su_1'), q AS (SELECT a, b FROM p UNION SELECT b, a FROM p), r AS (SELECT b AS node, b AS seen FROM p UNION SELECT r.node, q2.b FROM r JOIN q q1 ON q1.a = r.seen JOIN q q2 ON q2.a = q1.b), c AS (SELECT node, min(seen) AS root FROM r GROUP BY node), w AS (SELECT DISTINCT id AS node FROM node_occ WHERE type = 'Work' AND substr(id, 1, 4) <= 'pt_1'), s AS (SELECT coalesce(root, node) AS root, count(*) AS size FROM w LEFT JOIN c USING (node) GROUP BY 1) SELECT size, count(*) AS n FROM s GROUP BY size")
-query("components_all", resolved(graph.component_sizes), None)  # the whole resolved graph; the oracle of components holds a part
+# one part of the graph is reached from its node of the highest degree, the small parts that are left pair by pair
+query("components", resolved(graph.component_sizes), _PAIRS.replace("WITH per_name", "WITH RECURSIVE per_name", 1) + """, sym AS MATERIALIZED (SELECT a AS x, b AS y FROM par WHERE a <> b UNION SELECT b, a FROM par WHERE a <> b),
+big AS (SELECT x AS node FROM (SELECT x FROM sym GROUP BY x ORDER BY count(*) DESC, x LIMIT 1) UNION SELECT y FROM big JOIN sym ON x = node),
+rst AS MATERIALIZED (SELECT * FROM sym WHERE x NOT IN (SELECT node FROM big)), rch AS (SELECT x AS node, x AS seen FROM rst UNION SELECT node, y FROM rch JOIN rst ON x = seen),
+cmp AS (SELECT node, min(seen) AS root FROM rch GROUP BY node UNION ALL SELECT node, (SELECT min(node) FROM big) FROM big), siz AS (SELECT coalesce(root, id) AS root, count(*) AS size FROM (SELECT DISTINCT id FROM res) LEFT JOIN cmp ON node = id GROUP BY 1)
+SELECT size, count(*) AS n FROM siz GROUP BY size""")
 query("one_hop", resolved(lambda n, e: graph.one_hop(n.filter("type = 'Phase'"), e)), RESOLVED + ", s AS (SELECT id FROM res WHERE type = 'Phase') SELECT DISTINCT * FROM (SELECT source, target, type, role, false AS reversed FROM edg UNION ALL SELECT target, source, type, role, true FROM edg) WHERE source IN (SELECT id FROM s)")
 query("node_trim", resolved(lambda n, e: graph.trimmed(n.filter("type = 'Phase'"), graph.one_hop(n.filter("type = 'Phase'"), e).select(F.col("target").alias("id")), n, 40)),
       RESOLVED + ", s AS (SELECT id FROM res WHERE type = 'Phase'), h AS (SELECT target AS id FROM edg WHERE source IN (SELECT id FROM s) UNION SELECT source FROM edg WHERE target IN (SELECT id FROM s)), a AS (SELECT id, min(ring) AS ring FROM (SELECT id, 0 AS ring FROM s UNION ALL SELECT id, 1 FROM h) GROUP BY id), k AS (SELECT id, min(type) AS type, sum(n_provenances) AS n FROM res GROUP BY id) SELECT id, type, ring FROM a JOIN k USING (id) ORDER BY ring, n >= 20, CASE type WHEN 'Event' THEN 0 WHEN 'Person' THEN 1 WHEN 'Place' THEN 2 WHEN 'Phase' THEN 3 WHEN 'Era' THEN 4 WHEN 'Theme' THEN 5 WHEN 'Reflection' THEN 6 WHEN 'Work' THEN 7 ELSE 9 END, id LIMIT 40")
@@ -135,8 +133,7 @@ _NARRATIVE = "nar AS (SELECT count(*) FILTER (type = 'CAUSED') AS n_caused, coun
 query("narrative_ratio", lambda n, e: metrics.narrative(e), f"WITH {_NARRATIVE} SELECT * FROM nrr")
 query("theme_rank", lambda n, e: metrics.theme_rank(e), "SELECT target_id AS id, count(*) AS n_in, count(DISTINCT source_id) AS n_sources FROM edge_occ WHERE type = 'EMBODIES' GROUP BY 1 ORDER BY n_in DESC, id LIMIT 20")
 query("reflection_dist", lambda n, e: metrics.per_chunk(n, "Theme"), "WITH c AS (SELECT chunk_id, count(*) FILTER (type = 'Theme') AS n_nodes FROM node_occ GROUP BY 1) SELECT n_nodes, count(*) AS n_chunks FROM c GROUP BY 1")
-query("person_duplicates", lambda n, e: metrics.person_duplicates(n, F.substring(text.name_norm(F.col("name")), 1, 16)), f"WITH a AS (SELECT DISTINCT id, substr({NORM}, 1, 16) AS norm FROM node_occ WHERE type = 'Person') SELECT norm, count(*) AS n, min(id) AS first FROM a GROUP BY norm HAVING count(*) > 1")
-query("person_duplicates_all", lambda n, e: metrics.person_duplicates(n, text.name_norm(F.col("name"))), None)  # whole names; the oracle of person_duplicates cuts them
+query("person_duplicates", lambda n, e: metrics.person_duplicates(n, text.name_norm(F.col("name"))), f"WITH a AS (SELECT DISTINCT id, {NORM} AS norm FROM node_occ WHERE type = 'Person') SELECT norm, count(*) AS n, min(id) AS first FROM a GROUP BY norm HAVING count(*) > 1")
 query("phase_pairs", lambda n, e: metrics.phase_order(n, e, text.ordinal(F.col("chunk_id"))), "WITH era AS (SELECT source_id AS id, arg_max(target_id, pos) AS era FROM edge_occ WHERE type = 'OCCURS_IN' GROUP BY 1), m AS (SELECT id, round(avg(CAST(regexp_extract(chunk_id, '([0-9]+)', 1) AS BIGINT)), 4) AS mean FROM node_occ WHERE type = 'Phase' GROUP BY 1) SELECT id, mean, era, CAST(row_number() OVER w AS INTEGER) AS place, lead(id) OVER w AS next_id FROM m JOIN era USING (id) WINDOW w AS (PARTITION BY era ORDER BY mean, id)")
 _CHECKS = f"WITH {_EVENTS}, {_PHASES}, {_ROLES}, {_NARRATIVE}, one AS (SELECT evr.*, nrr.ratio, (SELECT round(100 * (count(*) FILTER (anchored))::DOUBLE / count(*), 2) FROM pha) AS pct_anchored, (SELECT round((count(DISTINCT id) FILTER (type = 'Theme'))::DOUBLE / count(DISTINCT chunk_id), 6) FROM node_occ) AS themes_per_chunk, (SELECT count(DISTINCT chunk_id) FROM node_occ) AS n_chunks, (SELECT max(c)::DOUBLE FROM (SELECT count(*) AS c FROM edge_occ WHERE type = 'EMBODIES' GROUP BY target_id)) AS top_theme, (SELECT pct_protagonist FROM rol) AS pct_protagonist FROM evr, nrr), chk AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS \"check\", {m}::DOUBLE AS value, CASE WHEN {m} IS NULL THEN 'n/a' WHEN {m} {'<' if more else '>'} {s} THEN 'stop' WHEN {m} {'>=' if more else '<='} {g} THEN 'pass' ELSE 'fail' END AS status FROM one" for c, m, g, s, more in metrics.THRESHOLDS

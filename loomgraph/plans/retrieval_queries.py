@@ -72,28 +72,23 @@ query("primary_node", lambda s, d: retrieve.primary_nodes(nodes(s, d)), with_occ
 query("context_text", lambda s, d: retrieve.contexts(_found(s, d), _read(s, d, "documents").select(F.col("doc_id").alias("id"), "text")), with_occurrences(f"WITH {_FOUND} SELECT q_id, string_agg('[' || CAST(id AS VARCHAR) || '] ' || substr(regexp_replace(text, '\\s+', ' ', 'g'), 1, 200), chr(10) ORDER BY place) AS context FROM top JOIN documents ON doc_id = id GROUP BY q_id"))
 query("node_coverage", lambda s, d: retrieve.coverage(_read(s, d, "embeddings").select(F.concat(F.lit("ch_"), F.lpad((F.col("vec_id") * 3 - 30).cast("string"), 12, "0")).alias("chunk_id")), nodes(s, d)),
       with_occurrences("WITH idx AS (SELECT DISTINCT 'ch_' || lpad(CAST(vec_id * 3 - 30 AS VARCHAR), 12, '0') AS chunk_id FROM embeddings), c AS (SELECT DISTINCT chunk_id FROM node_occ), a AS (SELECT (SELECT count(*) FROM c WHERE chunk_id NOT IN (SELECT chunk_id FROM idx)) AS n_missing, (SELECT count(*) FROM idx WHERE chunk_id NOT IN (SELECT chunk_id FROM c)) AS n_extra, (SELECT count(*) FROM idx WHERE chunk_id IN (SELECT chunk_id FROM c)) AS n_both, (SELECT count(DISTINCT id) FROM node_occ) AS n_nodes, (SELECT count(DISTINCT id) FROM node_occ WHERE chunk_id IN (SELECT chunk_id FROM idx)) AS n_covered) SELECT *, round(100 * n_covered::DOUBLE / n_nodes, 2) AS pct_covered FROM a"))
-query("grounding_chunk", lambda s, d: retrieve.grounding(edges(s, d).filter("type IN ('OCCURS_IN', 'FOLLOWS')").select(F.col("source_id").alias("source"), F.col("target_id").alias("target")), nodes(s, d)),
-      with_occurrences("WITH w AS (SELECT DISTINCT source_id AS source, target_id AS target FROM edge_occ WHERE type IN ('OCCURS_IN', 'FOLLOWS')), o AS (SELECT DISTINCT id, chunk_id FROM node_occ), s AS (SELECT source, target, min(a.chunk_id) AS shared FROM w JOIN o a ON a.id = source JOIN o b ON b.id = target AND b.chunk_id = a.chunk_id GROUP BY ALL), l AS (SELECT id, min(chunk_id) AS c FROM o GROUP BY id) SELECT source, target, coalesce(shared, x.c, y.c, 'UNKNOWN') AS chunk_id, shared IS NOT NULL AS together FROM w LEFT JOIN s USING (source, target) LEFT JOIN l x ON x.id = source LEFT JOIN l y ON y.id = target"))
+query("grounding_chunk", lambda s, d: retrieve.grounding(edges(s, d).select(F.col("source_id").alias("source"), F.col("target_id").alias("target")), nodes(s, d)), with_occurrences("""
+WITH w AS MATERIALIZED (SELECT DISTINCT source_id AS source, target_id AS target FROM edge_occ), o AS MATERIALIZED (SELECT DISTINCT id, chunk_id FROM node_occ), s AS (SELECT source, target, min(a.chunk_id) AS shared FROM w JOIN o a ON a.id = source JOIN o b ON b.id = target AND b.chunk_id = a.chunk_id GROUP BY ALL),
+l AS (SELECT id, min(chunk_id) AS c FROM o GROUP BY id) SELECT source, target, coalesce(shared, x.c, y.c, 'UNKNOWN') AS chunk_id, shared IS NOT NULL AS together FROM w LEFT JOIN s USING (source, target) LEFT JOIN l x ON x.id = source LEFT JOIN l y ON y.id = target"""))
 
 
 def _gaps(s: SparkSession, d: str) -> DataFrame:
-    n = nodes(s, d)
-    places = n.filter("type IN ('Place', 'Theme')").select("id", t.ordinal(F.col("chunk_id")).alias("ord")).distinct()
-    themes = n.filter("type = 'Theme' AND id LIKE 'th_%'").select(F.col("id").alias("a")).distinct()
-    where = n.filter("type = 'Place' AND id IN ('na_1', 'na_2')").select(F.col("id").alias("b")).distinct()
-    return retrieve.least_gaps(themes.join(F.broadcast(where)), places)
-
-
-query("chunk_gap", _gaps, with_occurrences("WITH p AS (SELECT DISTINCT id, CAST(regexp_extract(chunk_id, '([0-9]+)', 1) AS BIGINT) AS ord FROM node_occ WHERE type IN ('Place', 'Theme')), a AS (SELECT * FROM p WHERE id LIKE 'th_%'), b AS (SELECT * FROM p WHERE id IN ('na_1', 'na_2')) SELECT a.id AS a, b.id AS b, min(abs(a.ord - b.ord)) AS gap FROM a, b GROUP BY ALL"))
-def _all_gaps(s: SparkSession, d: str) -> DataFrame:
     """Every theme with every place."""
     n = nodes(s, d)
-    found = n.filter("type IN ('Place', 'Theme')").select("id", t.ordinal(F.col("chunk_id")).alias("ord")).distinct()
+    places = n.filter("type IN ('Place', 'Theme')").select("id", t.ordinal(F.col("chunk_id")).alias("ord")).distinct()
     themes = n.filter("type = 'Theme' AND id LIKE 'th_%'").select(F.col("id").alias("a")).distinct()
-    return retrieve.least_gaps(themes.crossJoin(n.filter("type = 'Place'").select(F.col("id").alias("b")).distinct()), found)
+    return retrieve.least_gaps(themes.crossJoin(n.filter("type = 'Place'").select(F.col("id").alias("b")).distinct()), places)
 
 
-query("chunk_gap_all", _all_gaps, None)
+query("chunk_gap", _gaps, with_occurrences("""
+WITH p AS MATERIALIZED (SELECT DISTINCT id, type, CAST(regexp_extract(chunk_id, '([0-9]+)', 1) AS BIGINT) AS ord FROM node_occ WHERE type IN ('Place', 'Theme')), b AS (SELECT id, ord FROM p WHERE type = 'Place'),
+x AS MATERIALIZED (SELECT a.id AS a, k.id AS b, a.ord FROM p a, (SELECT DISTINCT id FROM b) k WHERE a.type = 'Theme' AND a.id LIKE 'th_%'), g AS (SELECT x.a, x.b, x.ord - b.ord AS gap FROM x ASOF JOIN b ON x.b = b.id AND x.ord >= b.ord UNION ALL SELECT x.a, x.b, b.ord - x.ord FROM x ASOF JOIN b ON x.b = b.id AND x.ord <= b.ord)
+SELECT a, b, min(gap) AS gap FROM g GROUP BY ALL"""))
 query("gold_compare", lambda s, d: retrieve.compared(nodes(s, d).filter("pos % 3 <> 0"), nodes(s, d).filter("confidence > 0.7")), with_occurrences("WITH g AS (SELECT DISTINCT id, type, 1 AS g FROM node_occ WHERE pos % 3 <> 0), m AS (SELECT DISTINCT id, type, 1 AS m FROM node_occ WHERE confidence > 0.7::DOUBLE) SELECT type, count(*) FILTER (g = 1 AND m = 1) AS n_both, count(*) FILTER (m IS NULL) AS n_gold, count(*) FILTER (g IS NULL) AS n_model FROM g FULL JOIN m USING (id, type) GROUP BY type"))
 
 

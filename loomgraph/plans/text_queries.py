@@ -77,23 +77,28 @@ _HINTS = " OR ".join(f"contains(p, '{h}')" for h in dialogue.FOLLOW_UP)
 query("followup_query", "conversations", dialogue.expanded, rf"WITH a AS (SELECT *, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM conversations WHERE role = 'user'), f AS (SELECT *, ' ' || lower(text) || ' ' AS p FROM a), g AS (SELECT *, b IS NOT NULL AND ({_HINTS} OR len(list_filter(string_split_regex(trim(text), '\s+'), lambda w: w <> '')) <= 5) AS follow_up FROM f) SELECT conv_id, turn, follow_up, CASE WHEN follow_up THEN trim(b) || ' — ' || trim(text) ELSE text END AS query FROM g")
 
 
-def _words(e: DataFrame) -> DataFrame:
-    words = e.select((F.col("user_id") % 7).alias("conv"), F.col("event_id").alias("word_id"), (F.col("event_id") % 1000 * 0.5).alias("start"), (F.col("event_id") % 1000 * 0.5 + 0.4).alias("end"))
-    windows = e.filter("event_id < 2000").select((F.col("user_id") % 7).alias("conv"), (F.col("event_id") % 500 * 1.0).alias("w_start"), (F.col("event_id") % 500 + 2.0).alias("w_end"), F.col("event_type").alias("label"), (F.col("event_id") % 10 / 20).alias("margin"))
-    windows = windows.groupBy("conv", "w_start", "w_end").agg(F.min("label").alias("label"), F.max("margin").alias("margin"))
-    return dialogue.relabelled(words, windows, 0.1)
-
-
-query("window_relabel", "events", _words, "WITH w AS (SELECT user_id % 7 AS conv, event_id AS word_id, event_id % 1000 * 0.5 AS s, event_id % 1000 * 0.5 + 0.4 AS e FROM events), v AS (SELECT user_id % 7 AS conv, (event_id % 500)::DOUBLE AS ws, (event_id % 500)::DOUBLE + 2 AS we, min(event_type) AS label, max((event_id % 10)::DOUBLE / 20) AS margin FROM events WHERE event_id < 2000 GROUP BY ALL), j AS (SELECT w.conv, word_id, arg_min(label, ws) AS label FROM w JOIN v ON v.conv = w.conv AND margin >= 0.1::DOUBLE AND (s + e) / 2 >= ws AND (s + e) / 2 < we GROUP BY ALL) SELECT w.conv, word_id, label FROM w LEFT JOIN j USING (conv, word_id)")
-def _all_words(e: DataFrame) -> DataFrame:
-    """Every event is a word and a window of its user; runs under a second take the label before."""
+def _words(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every event is a word and a window of its user."""
     words = e.select(F.col("user_id").alias("conv"), F.col("event_id").alias("word_id"), (F.col("event_id") % 1000 * 0.5).alias("start"), (F.col("event_id") % 1000 * 0.5 + 0.4).alias("end"))
     windows = e.select(F.col("user_id").alias("conv"), (F.col("event_id") % 500 * 1.0).alias("w_start"), (F.col("event_id") % 500 + 2.0).alias("w_end"), F.col("event_type").alias("label"), (F.col("event_id") % 10 / 20).alias("margin"))
-    windows = windows.groupBy("conv", "w_start", "w_end").agg(F.min("label").alias("label"), F.max("margin").alias("margin"))
+    return words, windows.groupBy("conv", "w_start", "w_end").agg(F.min("label").alias("label"), F.max("margin").alias("margin"))
+
+
+def _smooth(e: DataFrame) -> DataFrame:
+    """Runs of one label that last less than a second take the label before."""
+    words, windows = _words(e)
     return dialogue.smoothed(dialogue.relabelled(words, windows, 0.1, "?").join(words, ["conv", "word_id"]), 1.0)
 
 
-query("window_relabel_all", "events", _all_words, None)
+_RELABELLED = """wrd AS MATERIALIZED (SELECT user_id AS conv, event_id AS word_id, event_id % 1000 * 0.5::DOUBLE AS s, event_id % 1000 * 0.5::DOUBLE + 0.4::DOUBLE AS e FROM events),
+win AS MATERIALIZED (SELECT user_id AS conv, (event_id % 500)::DOUBLE AS ws, (event_id % 500)::DOUBLE + 2 AS we, min(event_type) AS label, max((event_id % 10)::DOUBLE / 20) AS margin FROM events GROUP BY ALL),
+hit AS (SELECT wrd.conv, word_id, arg_min(label, ws) AS label FROM wrd JOIN win ON win.conv = wrd.conv AND margin >= 0.1::DOUBLE AND (s + e) / 2 >= ws AND (s + e) / 2 < we GROUP BY ALL),
+lab AS MATERIALIZED (SELECT wrd.*, coalesce(label, '?') AS label FROM wrd LEFT JOIN hit USING (conv, word_id))"""
+query("window_relabel", "events", lambda e: dialogue.relabelled(*_words(e), 0.1, "?"), f"WITH {_RELABELLED} SELECT conv, word_id, label FROM lab")
+query("window_smooth", "events", _smooth, f"""WITH {_RELABELLED}, new AS (SELECT *, CASE WHEN label IS DISTINCT FROM lag(label) OVER w OR lag(word_id) OVER w IS NULL THEN 1 ELSE 0 END AS n FROM lab WINDOW w AS (PARTITION BY conv ORDER BY s, word_id)),
+run AS (SELECT *, sum(n) OVER (PARTITION BY conv ORDER BY s, word_id) AS run FROM new), per AS (SELECT conv, run, arg_max(e, (s, word_id)) - min(s) >= 1 OR run = 1 AS stays, any_value(label) AS label FROM run GROUP BY conv, run),
+kep AS (SELECT r.conv, r.run, (SELECT arg_max(p.label, p.run) FROM per p WHERE p.conv = r.conv AND p.run <= r.run AND p.stays) AS label FROM per r)
+SELECT run.conv, word_id, kep.label FROM run JOIN kep USING (conv, run)""")
 query("label_margin", "events", lambda e: dialogue.best_label(e.groupBy((F.col("user_id") % 50).alias("segment"), F.col("event_type").alias("label")).agg(F.round(F.avg("value"), 6).alias("score"))), "WITH a AS (SELECT user_id % 50 AS segment, event_type AS label, round(avg(value), 6) AS score FROM events GROUP BY ALL), b AS (SELECT *, row_number() OVER w AS p, lead(score) OVER w AS n FROM a WINDOW w AS (PARTITION BY segment ORDER BY score DESC, label)) SELECT segment, label, score, CASE WHEN n IS NULL THEN 1.0 ELSE round(score - n, 6) END AS margin FROM b WHERE p = 1")
 
 _vectors = lambda e: e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))

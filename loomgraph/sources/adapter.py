@@ -63,6 +63,6 @@ def with_occurrences(sql: str) -> str:
     """Oracle SQL over node_occ and edge_occ."""
     names = {t: t for t in TABLES}
     recursive = "RECURSIVE " if "WITH RECURSIVE" in sql else ""
-    head = f"WITH {recursive}node_occ AS ({NODES.format(**names)}), edge_occ AS ({EDGES.format(**names)})"
+    head = f"WITH {recursive}node_occ AS MATERIALIZED ({NODES.format(**names)}), edge_occ AS MATERIALIZED ({EDGES.format(**names)})"
     body = sql.strip().removeprefix("WITH ").removeprefix("RECURSIVE ")
     return f"{head}, {body}" if sql.strip().startswith("WITH ") else f"{head} {sql}"

@@ -1,4 +1,4 @@
-"""Whole jobs against brute force; the queries of the same names without _all keep the cuts of their oracles."""
+"""Whole jobs against brute force."""
 
 from loomgraph.operators import dialogue, graph, metrics, resolve
 from loomgraph.plans import catalog
@@ -16,13 +16,13 @@ def test_near_names_of_any_length_and_aliases(spark):
     assert len(resolve.near_duplicates(df.drop("aliases")).collect()) == 2
 
 
-def test_dup_near_all(spark):
+def test_dup_near(spark):
     names = {(r.type, r.id, " ".join(r.name.split()).lower()) for r in nodes(spark, SF).select("type", "id", "name").distinct().collect()}
     ends = {}
     for t, i, n in names:
         ends.setdefault((t, n), []).append(i)
     want = {(i, j) for t, j, n in names for k in range(1, len(n)) for i in ends.get((t, n[:k]), []) if i != j}
-    assert {(r.id_a, r.id_b) for r in catalog.QUERIES["dup_near_all"](spark, SF).select("id_a", "id_b").distinct().collect()} == want
+    assert {(r.id_a, r.id_b) for r in catalog.QUERIES["dup_near"](spark, SF).select("id_a", "id_b").distinct().collect()} == want
 
 
 def test_components_of_the_whole_graph(spark):
@@ -40,7 +40,7 @@ def test_components_of_the_whole_graph(spark):
     for x in list(up):
         size[root(x)] = size.get(root(x), 0) + 1
     want = {s: list(size.values()).count(s) for s in size.values()}
-    assert {r["size"]: r["n"] for r in catalog.QUERIES["components_all"](spark, SF).collect()} == want
+    assert {r["size"]: r["n"] for r in catalog.QUERIES["components"](spark, SF).collect()} == want
 
 
 def test_fallback_and_smoothing(spark):
@@ -66,7 +66,7 @@ def test_fallback_and_smoothing(spark):
             i = j
         assert [got[c, x[1]] for x in own] == labels
     events = spark.read.parquet(f"{SF}/events.parquet")
-    assert catalog.QUERIES["window_relabel_all"](spark, SF).filter("label IS NOT NULL").count() == events.count()
+    assert catalog.QUERIES["window_smooth"](spark, SF).filter("label IS NOT NULL").count() == events.count()
 
 
 def test_person_duplicates_by_whole_names(spark):
@@ -77,7 +77,7 @@ def test_person_duplicates_by_whole_names(spark):
     assert [(r.norm, r.n, r["first"]) for r in metrics.person_duplicates(n, name_norm(F.col("name"))).collect()] == [("customer#000000010", 2, "c10")]
     people = {(r.id, " ".join(r.name.split()).lower()) for r in nodes(spark, SF).filter("type = 'Person'").collect()}
     want = {k for k in {x[1] for x in people} if sum(x[1] == k for x in people) > 1}
-    assert {r.norm for r in catalog.QUERIES["person_duplicates_all"](spark, SF).collect()} == want
+    assert {r.norm for r in catalog.QUERIES["person_duplicates"](spark, SF).collect()} == want
 
 
 def test_gaps_of_all_places(spark):
@@ -85,5 +85,5 @@ def test_gaps_of_all_places(spark):
     for r in nodes(spark, SF).filter("type IN ('Place', 'Theme')").select("id", "type", "chunk_id").distinct().collect():
         at.setdefault((r.type, r.id), []).append(int("".join(c for c in r.chunk_id if c.isdigit())))
     want = {(a, b): min(abs(x - y) for x in at["Theme", a] for y in at["Place", b]) for k, a in at if k == "Theme" and a.startswith("th_") for m, b in at if m == "Place"}
-    got = catalog.QUERIES["chunk_gap_all"](spark, SF).collect()
+    got = catalog.QUERIES["chunk_gap"](spark, SF).collect()
     assert {(r.a, r.b): r.gap for r in got} == want and len({b for _, b in want}) > 2
