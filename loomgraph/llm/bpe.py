@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 CHUNK, OVERLAP = 32_768, 1_024
 #: A match this close to the end of a chunk could change if more text followed.
 MARGIN = 4
-#: Pieces whose ids a worker remembers; it forgets all when full.
-CACHE_PIECES = 100_000
+#: Pieces whose ids a worker remembers; it forgets all when full. Texts that are worked on at once.
+CACHE_PIECES, SLICE = 100_000, 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -53,33 +53,42 @@ class Codec:
         return b"".join(map(self.token.__getitem__, ids))
 
 
-def stitch(chunks: list[tuple[int, str]], pieces: Callable[[str], list[str]]) -> list[str]:
-    """The pieces of a text from (start, text) of its overlapping chunks, in order.
+def lengths_of(pieces: list[str]) -> list[int]:
+    return [len(p) for p in pieces]
+
+
+def stitch(chunks: list[tuple[int, str, list[int]]], pieces: Callable[[str], list[str]]) -> list[str]:
+    """The pieces of a text from (start, text, lengths of its pieces) of its overlapping chunks, in order.
 
     A chunk that begins inside a piece may start with wrong pieces, but the pattern looks only forward: from the first
     boundary that it shares with the chunk before, its pieces are right. Where two chunks share none (a piece longer
     than the overlap), the earlier one is continued over the later one's text.
     """
     done: list[str] = []
-    start, text = chunks[0]
-    found = pieces(text)
-    for later_start, later in chunks[1:]:
-        ends = start + np.cumsum([len(p) for p in found], dtype=np.int64) if found else np.zeros(0, np.int64)
+    start, text, lengths = chunks[0]
+
+    def take(n: int) -> None:
+        at = 0
+        for length in lengths[:n]:
+            done.append(text[at : at + length])
+            at += length
+
+    for later_start, later, following in chunks[1:]:
+        ends = start + np.cumsum(lengths, dtype=np.int64)
         sure = ends[ends <= start + len(text) - MARGIN]
-        following = pieces(later)
-        begins = later_start + np.concatenate([[0], np.cumsum([len(p) for p in following], dtype=np.int64)])[:-1]
+        begins = later_start + np.cumsum([0, *following], dtype=np.int64)[:-1]
         shared = np.intersect1d(sure, begins)
         if shared.size:
             at = int(shared[0])
-            done += found[: int(np.searchsorted(ends, at)) + 1]
-            start, text = at, later[at - later_start :]
-            found = following[int(np.searchsorted(begins, at)) :]
+            take(int(np.searchsorted(ends, at)) + 1)
+            text, lengths, start = later[at - later_start :], following[int(np.searchsorted(begins, at)) :], at
         else:
             at = int(sure[-1]) if sure.size else start
-            done += found[: sure.size]
+            take(sure.size)
             start, text = at, text[at - start :] + later[start + len(text) - later_start :]
-            found = pieces(text)
-    return done + found
+            lengths = lengths_of(pieces(text))
+    take(len(lengths))
+    return done
 
 
 def _digests(codec: Codec, pieces: list[str]) -> tuple[bytes, bytes]:
@@ -90,21 +99,21 @@ def _digests(codec: Codec, pieces: list[str]) -> tuple[bytes, bytes]:
 def encode(docs: DataFrame, *, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP, keep_ids: bool = True, keep_bytes: bool = True) -> DataFrame:
     """Encodes every whole text and decodes the ids again.
 
-    Texts are cut into chunks that overlap, one row each. A text of one chunk is encoded where it is read; the chunks
-    of a longer text are pre-tokenised there, and only their texts travel, to be stitched and encoded.
+    A text of one chunk is encoded where it is read, and nothing of it is shuffled. A longer text is cut into chunks
+    that overlap, one row each: they are pre-tokenised by one task each, and the boundaries of their pieces travel
+    with them to the task that stitches and encodes the text. Ids never travel. docs is read once for either kind.
 
     Returns key, n_tokens, ids_sha256, decoded_sha256, and on request ids (array of int) and decoded (binary). Null
-    text counts as empty: no ids. Repeated rows stay separate rows; an empty table gives an empty result. The rank
-    file is read on the driver and travels as a broadcast of fixed size (the vocabulary's).
+    text counts as empty: no ids. A text may be as long as a row can be. Repeated rows stay separate rows, whatever
+    their keys; columns of other names don't matter; an empty table gives an empty result. The rank file is read on
+    the driver and travels as a broadcast of fixed size (the vocabulary's).
     """
     if overlap <= MARGIN or chunk < 1:
         raise ValueError("chunks need a positive length and an overlap above the margin")
     shared = docs.sparkSession.sparkContext.broadcast((read_ranks(ranks_path), pattern))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     last = F.greatest(F.lit(0), F.ceil((F.length("text") - overlap) / F.lit(chunk)) - 1).cast("int")
-    cut = rows.select("row", "key", "text", last.alias("last")).select("row", "key", "last", F.explode(F.sequence(F.lit(0), "last")).alias("no"), "text")
-    cut = cut.withColumn("text", F.when(F.col("last") == 0, F.col("text")).otherwise(F.substring("text", F.col("no") * chunk + 1, F.lit(chunk + overlap))))
-    result = [("ids", pa.list_(pa.int32()))] * keep_ids + [("decoded", pa.binary())] * keep_bytes
+    result = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + [("ids", pa.list_(pa.int32()))] * keep_ids + [("decoded", pa.binary())] * keep_bytes
     types = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids + ", decoded binary" * keep_bytes
     state: dict = {}
 
@@ -113,57 +122,45 @@ def encode(docs: DataFrame, *, ranks_path: str, pattern: str, key: str = "doc_id
             state["codec"] = Codec(*shared.value)
         return state["codec"]
 
-    def columns(found: list[tuple[bytes, bytes] | None]) -> dict:
-        out = {
-            "n_tokens": pa.array([None if f is None else len(f[0]) // 4 for f in found], pa.int64()),
-            "ids_sha256": pa.array([None if f is None else hashlib.sha256(f[0]).hexdigest() for f in found], pa.string()),
-            "decoded_sha256": pa.array([None if f is None else hashlib.sha256(f[1]).hexdigest() for f in found], pa.string()),
-        }
+    def told(keys: pa.Array, found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        columns = {"n_tokens": [len(i) // 4 for i, _ in found], "ids_sha256": [hashlib.sha256(i).hexdigest() for i, _ in found], "decoded_sha256": [hashlib.sha256(d).hexdigest() for _, d in found]}
         if keep_ids:
-            out["ids"] = pa.array([None if f is None else np.frombuffer(f[0], "<u4").astype(np.int32) for f in found], result[0][1])
+            columns["ids"] = [np.frombuffer(i, "<u4").astype(np.int32) for i, _ in found]
         if keep_bytes:
-            out["decoded"] = pa.array([None if f is None else f[1] for f in found], pa.binary())
-        return out
+            columns["decoded"] = [d for _, d in found]
+        return pa.RecordBatch.from_pydict({"key": keys} | {n: pa.array(columns[n], t) for n, t in result})
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec()
         for b in batches:
-            alone = [n == 0 for n in b["last"].to_pylist()]
-            texts = b["text"].to_pylist()
-            out = columns([_digests(c, c.pieces(t)) if one else None for t, one in zip(texts, alone, strict=True)])
-            yield pa.RecordBatch.from_pydict({"row": b["row"], "key": b["key"], "no": b["no"], "piece": pa.array([None if one else t for t, one in zip(texts, alone, strict=True)], pa.string()), **out})
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
+                yield told(part["key"], [_digests(c, c.pieces(t)) for t in part["text"].to_pylist()])
 
-    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec()
         for b in batches:
-            found = [_digests(c, stitch([(x["no"] * chunk, x["piece"]) for x in chunks], c.pieces)) for chunks in b["chunks"].to_pylist()]
-            yield pa.RecordBatch.from_pydict({"key": b["key"], **columns(found)})
-
-    kind = docs.schema[key].dataType.simpleString()
-    seen = cut.mapInArrow(first, f"row bigint, key {kind}, no int, piece string, {types}")
-    names = [t.split()[0] for t in types.split(", ")]
-    packed = seen.groupBy("row").agg(
-        F.first("key").alias("key"), F.count(F.lit(1)).alias("n"),
-        F.array_sort(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("no", "piece")))).alias("chunks"),
-        *[F.first(c, ignorenulls=True).alias(c) for c in names],
-    )
-    packed = packed.mapInArrow(_either(second, names), f"key {kind}, {types}")
-    return packed.select(F.col("key").alias(key), *names)
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
+                lengths = pa.array([lengths_of(c.pieces(t)) for t in part["piece"].to_pylist()], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, lengths], names=[*part.schema.names, "lengths"])
 
-
-def _either(second: Callable, names: list[str]) -> Callable:
-    """Rows with chunks go through second; the others are done."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec()
         for b in batches:
-            cut = pa.compute.greater(pa.compute.list_value_length(b["chunks"]), 0)
-            done = b.filter(pa.compute.invert(cut))
-            if done.num_rows:
-                yield done.select(["key", *names])
-            if (open_ := b.filter(cut)).num_rows:
-                yield from second(iter([open_]))
-
-    return run
+            for at in range(b.num_rows):
+                chunks = b["chunks"][at].as_py()
+                pieces = stitch([(x["no"] * chunk, x["piece"], x["lengths"]) for x in chunks], c.pieces)
+                yield told(b["key"].slice(at, 1), [_digests(c, pieces)])
+
+    kind = docs.schema[key].dataType.simpleString()
+    short = rows.filter(last == 0).mapInArrow(whole, f"key {kind}, {types}")
+    long_ = rows.filter(last > 0).withColumn("row", F.monotonically_increasing_id())
+    long_ = long_.select("row", "key", F.explode(F.sequence(F.lit(0), last)).alias("no"), "text").select("row", "key", "no", F.substring("text", F.col("no") * chunk + 1, F.lit(chunk + overlap)).alias("piece"))
+    seen = long_.repartition("row", "no").mapInArrow(cut, f"row bigint, key {kind}, no int, piece string, lengths array<int>")
+    packed = seen.groupBy("row").agg(F.first("key").alias("key"), F.array_sort(F.collect_list(F.struct("no", "piece", "lengths"))).alias("chunks"))
+    out = short.unionByName(packed.select("key", "chunks").mapInArrow(joined, f"key {kind}, {types}"))
+    return out.select(F.col("key").alias(key), *[n for n, _ in result])
 
 
 def op5_byte_bpe(spark, sf_dir: str) -> DataFrame:
