@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import stage, word_count
+from .shared import column, stage, unpacked, whole_row, word_count
 
 #: Expected copies are counted in units of 2**-24, so that positions are whole numbers.
 UNIT_BITS = 24
@@ -67,7 +67,7 @@ def sampling_plan(
     """
     order = [F.col("source").asc_nulls_last(), F.col("size").asc(), F.col("key").asc_nulls_last()]
     rows = docs.select(
-        F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), *([F.struct(*carry).alias("row")] if carry else [])
+        column(key).alias("key"), column(source).alias("source"), word_count(column(text)).alias("size"), *whole_row(carry)
     )
     placed = stage(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "mixing")
     placed = placed.withColumn("part", F.shiftright("at", ROW_BITS))
@@ -91,7 +91,7 @@ def sampling_plan(
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: the rows of docs, each as often as sampling_plan() takes it; same columns, same options."""
     plan = sampling_plan(docs, carry=docs.columns, **options)
-    return plan.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    return plan.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*unpacked(docs.columns))
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.staging import stage
+from ..functions.staging import drop, stage
 
-__all__ = ["WORD", "stage", "word_count"]
+__all__ = ["WORD", "column", "drop", "stage", "unpacked", "whole_row", "word_count"]
 
 #: White space as the contracts count it: blank, tab, line feed to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,3 +18,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 def word_count(text: Column) -> Column:
     """Number of runs of characters other than white space; 0 for null."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
+
+
+def column(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(names: Sequence[str]) -> list[Column]:
+    """The columns as one struct `row`, out of reach of names that an operator uses; nothing for no names."""
+    return [F.struct(*map(column, names)).alias("row")] if names else []
+
+
+def unpacked(names: Sequence[str]) -> list[Column]:
+    """The columns that whole_row() packed."""
+    return [F.col("row").getField(n).alias(n) for n in names]
