@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructType
 
-from .components import components
-from .shared import stage
+from ..operators.graph import components
+from .shared import column, drop, stage, unpacked, whole_row
 
 #: Words of a shingle, and the similarity from which two documents are linked, as a fraction.
 WORDS, SIMILAR = 5, (4, 5)
@@ -40,6 +40,22 @@ def runs(recall: float = RECALL, depth: int = DEPTH) -> int:
     return math.ceil(math.log(1 - recall) / math.log(lost))
 
 
+def lost_when_split(of_round: float = 0.0) -> float:
+    """The chance that a pair at the least similarity meets in no small bucket if all its common buckets are large.
+
+    A pair is lost in a bucket if each of BOOST samples loses it, at once or in the rounds to come; the chance grows
+    to a fixed point. Its common buckets number one a run in the mean and are lost one by one.
+    """
+    for _ in range(ROUNDS):
+        one = of_round
+        for _ in range(DEEPER):
+            one = math.exp(one - 1)
+        of_round = one**BOOST
+    for _ in range(DEPTH):
+        of_round = math.exp(of_round - 1)
+    return of_round**RUNS
+
+
 RUNS = runs()
 
 
@@ -96,12 +112,14 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch], text: str | None) -> Iterator[pa.RecordBatch]:
+    """What the join needs of each document; its text is the column `text`, or the field of that name in `row`."""
     for b in batches:
         for at in range(0, b.num_rows, 512):
             part = b.slice(at, 512)
             signs, sizes, paths, sketches = [], [], [], []
-            for t in part["text"].to_pylist():
+            texts = part["text"] if text is None else part["row"].field(text)
+            for t in texts.to_pylist():
                 s = shingles(t or "")
                 sizes.append(len(s))
                 signs.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
@@ -250,19 +268,27 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(links, pa.int64())], names=["a", "b", "links"])
 
 
-def _buckets(sets: DataFrame) -> DataFrame:
-    """(bucket, rep, sketch) of the buckets with more than one set, large ones split further."""
+def _buckets(sets: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(bucket, rep, sketch) of the buckets with more than one set, large ones split further; and what was staged for it.
+
+    A large bucket loses a pair at the least similarity with a chance of at most (e^(e^-1 - 1))^BOOST a round, and such
+    a pair meets in RUNS buckets in the mean; lost_when_split() gives what that leaves. What no token parts after
+    ROUNDS (near copies of each other) is compared block by block: every two blocks of BUCKET sets are a bucket.
+    """
     size = F.count(F.lit(1)).over(Window.partitionBy("bucket"))
     rows = sets.select("rep", F.explode("paths").alias("bucket")).withColumn("n", size).filter("n > 1")
     rows = stage(rows.join(sets.select("rep", "sketch"), "rep").select("bucket", "rep", "sketch", "n"), "near-buckets")
-    out = rows.filter(F.col("n") <= BUCKET)
-    large = rows.filter(F.col("n") > BUCKET)
+    out, large, staged = rows.filter(F.col("n") <= BUCKET), rows.filter(F.col("n") > BUCKET), [rows]
     for _ in range(ROUNDS):
         if large.isEmpty():
-            return out.drop("n")
+            return out.drop("n"), staged
         split = stage(large.select("bucket", "rep", "sketch").mapInArrow(_deeper, "bucket long, rep long, sketch binary").withColumn("n", size).filter("n > 1"), "near-split")
+        staged.append(split)
         out, large = out.unionByName(split.filter(F.col("n") <= BUCKET)), split.filter(F.col("n") > BUCKET)
-    return out.unionByName(large).drop("n")  # near copies of each other, which no shared token parts
+    blocks = F.ceil(F.col("n") / BUCKET).cast("int")
+    dealt = large.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    paired = dealt.select(F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("bucket"), "rep", "sketch")
+    return out.drop("n").unionByName(paired), staged
 
 
 def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
@@ -280,19 +306,22 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: Seq
     fewer words are linked if all their words are equal; null texts and texts without words have no links. Repeated
     rows are copies of each other. An empty table gives an empty result.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("at"), F.col(key).alias("key"), F.col(text).alias("text"), *([F.struct(*carry).alias("row")] if carry else []))
+    inside = text if text in carry else None  # a text is written once
+    rows = docs.select(F.monotonically_increasing_id().alias("at"), column(key).alias("key"), *([] if inside else [column(text).alias("text")]), *whole_row(carry))
     schema = StructType(list(rows.schema.fields)).add("sign", StringType()).add("size", IntegerType()).add("paths", ArrayType(LongType())).add("sketch", BinaryType())
-    read = stage(rows.mapInArrow(_read, schema), "near-read")
+    read = stage(rows.mapInArrow(lambda batches: _read(batches, inside), schema), "near-read")
+    whole_text = (F.col("row").getField(inside) if inside else F.col("text")).alias("text")
     copies = read.filter("sign IS NOT NULL").groupBy("sign").agg(F.min("at").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("key").alias("least"))
     copies = stage(copies, "near-copies")
     sets = read.select(F.col("at").alias("rep"), "paths", "sketch").join(copies.select("rep"), "rep")
-    forest = _buckets(sets).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_alike, "a long, b long")
-    groups = components(forest)
+    buckets, staged = _buckets(sets)
+    groups = components(buckets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_alike, "a long, b long"))
+    drop(*staged)
     # exact: members of a group, in blocks
     sized = groups.join(groups.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "root")
     blocks = F.ceil(F.col("members") / GROUP).cast("int")
     placed = sized.select("root", F.col("node").alias("rep"), blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
-    placed = placed.join(copies.select("rep", "copies"), "rep").join(read.select(F.col("at").alias("rep"), "text"), "rep")
+    placed = placed.join(copies.select("rep", "copies"), "rep").join(read.select(F.col("at").alias("rep"), whole_text), "rep")
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
     dealt = paired.repartition("root", "one", "two").sortWithinPartitions("root", "one", "two", "rep").select("root", "one", "two", "block", "rep", "copies", "text")
     found = stage(dealt.mapInArrow(_verify, "a long, b long, links long"), "near-links")
@@ -318,7 +347,7 @@ def op1_near(spark, sf_dir: str) -> DataFrame:
 
 def keep_firsts(docs: DataFrame) -> DataFrame:
     """One document of each class; same columns."""
-    return join(docs, carry=docs.columns).filter("first").select("row.*")
+    return join(docs, carry=docs.columns).filter("first").select(*unpacked(docs.columns))
 
 
 OP1_SQL = r"""

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 from loomgraph.llm import near
-from loomgraph.llm.components import components
+from loomgraph.operators.graph import components
 
 
 def brute(rows):
