@@ -11,14 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from .shared import stage
+from .shared import column, drop, stage, unpacked, whole_row
 
 #: Letters of an n-gram, and bits of a letter in its code. The n-gram's length stands above the letters.
 ORDER, BITS, TAG = 4, 15, 60
 #: Fixed symbols: a word that repeats the one before, the start and the end of a text.
 AGAIN, START, END = "\x07", 2, 3
-#: Documents that are scored together, texts counted at once, trusted ids that are sent to every executor (8 bytes each).
-BLOCK, SLICE, SENT = 4_096, 64, 2_000_000
+#: Code points that are scored together, texts counted at once, trusted ids that are sent to every executor (8 bytes each).
+BLOCK, SLICE, SENT = 8_000_000, 64, 2_000_000
 #: Languages whose thresholds are sent to every executor; with more, documents and thresholds are joined by language.
 LANGUAGES = 10_000
 #: Parts of the trusted documents; each is scored by a model of the others, so that no document vouches for itself.
@@ -117,7 +117,12 @@ def train(counts: DataFrame) -> tuple[DataFrame, float]:
     return stage(model, "quality-model"), 1 / (seen + 1)
 
 
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts(part: pa.RecordBatch, inside: str | None) -> pa.Array:
+    """The texts of a batch: the column `text`, or a field of the struct `row`, where null counts as empty."""
+    return part["text"] if inside is None else part["row"].field(inside).fill_null("")
+
+
+def _asked(batches: Iterator[pa.RecordBatch], inside: str | None) -> Iterator[pa.RecordBatch]:
     """The n-grams of every length that each block of documents asks for; a block's come together."""
     held: dict[int, list[np.ndarray]] = {}
 
@@ -129,7 +134,7 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         blocks = b["block"].to_numpy()
         for block in np.unique(blocks).tolist():
-            own = b["text"].filter(pa.array(blocks == block))
+            own = _texts(b, inside).filter(pa.array(blocks == block))
             for at in range(0, len(own), SLICE):
                 held.setdefault(block, []).append(np.unique(np.concatenate([codes(t) for t in own.slice(at, SLICE).to_pylist()])))
                 if len(held[block]) > 16:
@@ -162,47 +167,53 @@ def surprises(texts: Sequence[str], grams: np.ndarray, share: np.ndarray, rest:
     return out
 
 
-def _scorer(unseen: float, kept: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _scorer(unseen: float, kept: list[str], inside: str | None) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         grams = answers["gram"].to_numpy()
         order = np.argsort(grams)
         share, rest = (answers[c].to_numpy(zero_copy_only=False).astype(np.float64)[order] for c in ("share", "rest"))
-        texts = docs["text"]
-        found: list[float] = []
-        for at in range(0, len(texts), 1_024):
-            found += surprises(texts.slice(at, 1_024).to_pylist(), grams[order], share, rest, unseen)
+        grams, found = grams[order], []
+        for b in docs.to_batches():
+            for at in range(0, b.num_rows, 1_024):
+                found += surprises(_texts(b.slice(at, 1_024), inside).to_pylist(), grams, share, rest, unseen)
         return docs.select(kept).append_column("surprise", pa.array(found, pa.float64()))
 
     return run
 
 
-def _scored(rows: DataFrame, n: int, model: DataFrame, unseen: float) -> DataFrame:
-    """n rows without their column `text`, with the surprise of each.
+def _scored(rows: DataFrame, model: DataFrame, unseen: float, inside: str | None = None) -> DataFrame:
+    """Rows without their column `text`, with the surprise of each; the text may be a field of the struct `row`.
 
-    Documents are dealt into blocks of about BLOCK. A block asks for its distinct n-grams; the questions are joined
-    with the model by n-gram, and the answers come back to the block, so that neither the model nor the corpus has to
-    fit anywhere.
+    Documents are dealt at random into blocks of about BLOCK code points, so that rows that repeat fill no block. A
+    block asks for its distinct n-grams; the questions are joined with the model by n-gram, and the answers come back
+    to the block, so that neither the model nor the corpus has to fit anywhere. Texts are shuffled once for both.
     """
-    blocks = max(1, -(-n // BLOCK))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("key", "text"), F.lit(blocks))).repartition(blocks, "block")
-    asked = dealt.mapInArrow(_asked, "block long, gram long")
+    text = F.coalesce(F.col("row").getField(inside) if inside else F.col("text"), F.lit(""))
+    size = rows.agg(F.sum(F.length(text) + 1).alias("n")).first()["n"] or 0
+    blocks = max(1, -(-size // BLOCK))
+    spread = F.xxhash64(F.monotonically_increasing_id(), "key")
+    dealt = rows.withColumn("block", F.pmod(spread, F.lit(blocks))).repartition(blocks, "block")
+    asked = dealt.mapInArrow(lambda batches: _asked(batches, inside), "block long, gram long")
     answers = asked.join(model, "gram").select("block", "gram", "share", "rest")
     kept = [c for c in rows.columns if c != "text"]
     result = StructType([f for f in rows.schema.fields if f.name != "text"]).add("surprise", DoubleType())
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scorer(unseen, kept), result)
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scorer(unseen, kept, inside), result)
 
 
 def held_out(known: DataFrame, folds: Sequence[DataFrame]) -> DataFrame:
     """(lang, surprise) of trusted documents, each by a model of the folds that it is not in. Empty if only one fold has documents."""
-    sizes = {r["fold"]: r["count"] for r in known.groupBy("fold").count().collect()}  # FOLDS numbers
-    parts = []
-    for fold, n in sizes.items():
+    sizes = [r["fold"] for r in known.select("fold").distinct().collect()]  # FOLDS numbers
+    parts, models = [], []
+    for fold in sizes:
         if len(sizes) > 1:
             others = reduce(DataFrame.unionByName, [c for f, c in enumerate(folds) if f != fold])
             model, unseen = train(stage(others.groupBy("gram").agg(F.sum("n").alias("n")), "quality-counts") if len(folds) > 2 else others)
-            parts.append(_scored(known.filter(F.col("fold") == fold), n, model, unseen).select("lang", "surprise"))
+            models.append(model)
+            parts.append(_scored(known.filter(F.col("fold") == fold), model, unseen).select("lang", "surprise"))
     empty = known.select("lang", F.lit(None).cast("double").alias("surprise")).limit(0)
-    return stage(reduce(DataFrame.unionByName, parts, empty), "quality-held-out")
+    found = stage(reduce(DataFrame.unionByName, parts, empty), "quality-held-out")
+    drop(*models)
+    return found
 
 
 def limit() -> Column:
@@ -225,12 +236,15 @@ def score(docs: DataFrame, trusted_ids: DataFrame, *, key: str = "doc_id", text:
     ids = stage(trusted_ids.select(F.col("id").cast("long").alias("trusted_id")), "quality-trusted")
     known = ids.count()
     side = F.broadcast(ids) if known <= SENT else ids
-    real = F.length(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s ]+", " "))) > 0
-    rows = docs.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"), real.alias("real"), *([F.struct(*carry).alias("row")] if carry else []))
-    known_rows = rows.filter("real").select("key", "lang", "text").join(side, F.col("key") == F.col("trusted_id"), "left_semi").withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)))
+    inside = text if text in carry else None  # a text travels once
+    real = F.coalesce(F.rlike(column(text), F.lit(r"[^\s\u00a0]")), F.lit(False))
+    whole = F.coalesce(column(text), F.lit("")).alias("text")
+    rows = docs.select(column(key).alias("key"), column(lang).alias("lang"), *([] if inside else [whole]), real.alias("real"), *whole_row(carry))
+    candidates = docs.filter(real).select(column(key).alias("key"), column(lang).alias("lang"), whole)
+    known_rows = stage(candidates.join(side, F.col("key") == F.col("trusted_id"), "left_semi").withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS))), "quality-trusted-texts")
     folds = [stage(count(known_rows.filter(F.col("fold") == f)), f"quality-counts-{f}") for f in range(FOLDS)]
     model, unseen = train(stage(reduce(DataFrame.unionByName, folds).groupBy("gram").agg(F.sum("n").alias("n")), "quality-counts"))
-    scored = stage(_scored(rows, docs.count(), model, unseen), "quality-scored")
+    scored = _scored(rows, model, unseen, inside)
     # narrow: which of the scored documents are trusted
     flags = ids.select("trusted_id", F.lit(True).alias("trusted"))
     marked = scored.join(F.broadcast(flags) if known <= SENT else flags, F.col("key") == F.col("trusted_id"), "left").drop("trusted_id").withColumn("trusted", F.coalesce("trusted", F.lit(False)) & F.col("real"))
@@ -239,7 +253,8 @@ def score(docs: DataFrame, trusted_ids: DataFrame, *, key: str = "doc_id", text:
     few = F.broadcast(limits) if limits.count() <= LANGUAGES else limits  # documents are not dealt by language, as few languages have most
     of_all = fresh.agg(limit()).first()[0]
     if of_all is None:  # one trusted text or none: nothing is held out
-        of_all = marked.filter("trusted").agg(limit()).first()[0]
+        of_all = _scored(known_rows.select("key", "lang", "text"), model, unseen).agg(limit()).first()[0]
+    drop(known_rows, fresh, *folds)
     limited = marked.join(few, F.col("lang") == F.col("l_lang"), "left").withColumn("limit", F.coalesce("of_lang", F.lit(of_all).cast("double")))
     usable = F.col("real") & F.col("limit").isNotNull()
     return limited.select(
@@ -260,4 +275,4 @@ def op4_quality(spark, sf_dir: str) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier keeps; same columns."""
-    return score(docs, trusted(labels), carry=docs.columns).filter("keep").select("row.*")
+    return score(docs, trusted(labels), carry=docs.columns).filter("keep").select(*unpacked(docs.columns))

@@ -46,7 +46,7 @@ def corpus():
 
 
 def test_scores_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(q, "BLOCK", 20)
+    monkeypatch.setattr(q, "BLOCK", 30_000)  # code points: some twenty blocks
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").selectExpr("*", "1 as block", "2 as gram", "3 as key", "4 as trusted").repartition(3)
     labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 2)] + [(100, 0, 0), (4, 0, 0), (200, 1, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
