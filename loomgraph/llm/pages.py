@@ -33,16 +33,28 @@ BLOCKS = frozenset(
 #: What an opening tag ends if it is still open.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.DOTALL)
-NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-AWAY = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+#: An attribute; a quote only opens a value after an equals sign, and only if it is closed.
+_ATTRIBUTE = r"=?[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+"
+TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_ATTRIBUTE}|=)*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.DOTALL)
+ATTRIBUTE = re.compile(r"(=?[^\s/>=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?+")
 
 
-def _is_noise(name: str, attributes: str, inside: set[str]) -> bool:
-    return name in NOISE or name == "header" and not inside & {"article", "main"} or name not in ("html", "body", "article", "main") and bool(AWAY.search(attributes))
+def _values(attributes: str) -> dict[str, str]:
+    """Attributes by lower-case name; the first of equals counts."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(attributes):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
+
+
+def _is_noise(name: str, attributes: dict[str, str], inside: set[str]) -> bool:
+    if name in NOISE or name == "header" and not inside & {"article", "main"}:
+        return True
+    away = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in re.sub(r"\s", "", attributes.get("style", "").lower())
+    return away and name not in ("html", "body", "article", "main")
 
 
-def _marks(name: str, attributes: str, inside: set[str]) -> set[str]:
+def _marks(name: str, attributes: dict[str, str], inside: set[str]) -> set[str]:
     """The words of class, id or role that say that the element is no part of an article.
 
     A class name counts if all its words do, or one of STRONG or the last of LAST. Inside an article an id is mostly
@@ -52,13 +64,13 @@ def _marks(name: str, attributes: str, inside: set[str]) -> set[str]:
     if not attributes or name in ("html", "body", "article", "main"):
         return found
     within = bool(inside & {"article", "main"})
-    for m in NAMES.finditer(attributes):
-        for each in (m[2] or m[3] or m[4] or "").lower().split():
+    for attribute in ("class", "id", "role"):
+        for each in attributes.get(attribute, "").lower().split():
             parts = [p for p in re.split(r"[^a-z]+", each) if p]
             if parts and parts[0] not in ("has", "no", "with", "without", "is"):
                 of = set(parts) if NOISE_NAMES.issuperset(parts) else STRONG & set(parts) or LAST & {parts[-1]}
                 if within:
-                    of = of & (STRONG | COMMENTS) if m[1].lower() == "id" else of - {"header"}
+                    of = of & (STRONG | COMMENTS) if attribute == "id" else of - {"header"}
                 found |= of
     return found
 
@@ -129,8 +141,9 @@ def _placed(page: str) -> list[tuple[int, str, int, str]]:
             at = stop.end() if stop else size
             continue
         inside = {n for n, _, _ in open_}
-        was = _is_noise(name, m[3], inside)
-        names = set() if was or noisy else _marks(name, m[3], inside)
+        attributes = _values(m[3]) if m[3] else {}
+        was = _is_noise(name, attributes, inside)
+        names = set() if was or noisy else _marks(name, attributes, inside)
         if not noisy:
             found.append((start, within() + (f"skip {name}" if was else name), 1, ""))
         alone = name in VOID or m[3].rstrip().endswith("/")

@@ -43,6 +43,31 @@ def test_names_around_and_inside_an_article():
     assert pages.main_text(f"<body><article>{whole}<p>{words}</p></article>{replies}</body>", WEIGHTS).split("\n\n") == [*want, words]
 
 
+def test_attributes_are_read_as_html_does():
+    words = "One two three four five six seven eight."
+    for tag in ("<p title=it's>", '<p title="a > b">', "<p title='the hidden valley'>", "<p data-x=\"class='ad'\">", '<p title="never closed>', "<p class=a/b x=''y>", "<p = =x>", "<p title=\"the class = ad thing\">"):
+        page = f"<body><nav>Menu here</nav><article><h1>Title</h1>{tag}{words}</p><p>It's the next one.</p><p>Don't lose this one either.</p></article></body>"
+        assert pages.main_text(page, WEIGHTS).split("\n\n") == ["Title", words, "It's the next one.", "Don't lose this one either."], tag
+    for around in ('<div class="page sidebar-left">', '<div class="layout-right-rail">'):
+        page = f'<body>{around}<article><h1>Title</h1><p>{words}</p><div class="share-price">The price fell by a tenth.</div><div hidden>Not seen at all</div><div style="display : none">Nor this one here</div></article></div></body>'
+        assert pages.main_text(page, WEIGHTS).split("\n\n") == ["Title", words, "The price fell by a tenth."], around
+
+
+def test_whole_pages_made_from_known_blocks():
+    """Pages of random blocks and furniture: the text must be exactly the article's blocks."""
+    r = random.Random(11)
+    words = lambda a, b: " ".join(r.choice(["river", "it's", "über", "漢字", "a&amp;b", "so,", "then"]) for _ in range(r.randrange(a, b)))
+    shapes = ["<p>{}</p>", "<p class=lead>{}</p>", "<h2>{}</h2>", "<blockquote>{}</blockquote>", "<p><b>{}</b></p>", "<div><p>{}</p></div>", "<ul><li>{}</li></ul>"]
+    furniture = [lambda: f"<nav><ul><li><a href=x>{words(1, 4)}</a></li></ul></nav>", lambda: f"<aside><p>{words(3, 20)}</p></aside>", lambda: f"<footer>{words(3, 20)}</footer>", lambda: f"<div class='cookie-banner'>{words(3, 20)}</div>", lambda: f"<script>var a = '<p>{words(2, 9)}</p>';</script>", lambda: f"<form><input>{words(2, 9)}</form>", lambda: f"<section id='comments'><p>{words(4, 30)}</p></section>"]
+    for _ in range(150):
+        blocks = [words(6, 40) for _ in range(r.randrange(2, 12))]
+        inside = "".join(r.choice(shapes).format(b) + ("<div class=ad>Buy this now</div>" if r.random() < 0.1 else "") for b in blocks)
+        around = [f() for f in r.choices(furniture, k=r.randrange(0, 6))]
+        cut = r.randrange(len(around) + 1)
+        page = "<html><head><title>x</title></head><body>" + "".join(around[:cut]) + f"<article><h1>A title</h1>{inside}</article>" + "".join(around[cut:]) + "</body></html>"
+        assert pages.main_text(page, WEIGHTS).split("\n\n") == ["A title", *(b.replace("&amp;", "&") for b in blocks)], page
+
+
 def test_region_is_the_best_of_all():
     r = random.Random(3)
     weights = {"word": 1.0, "link": 0.2, "skip": -1.0, "p": -0.5, "div": -2.0, "other": -0.7}
@@ -67,6 +92,7 @@ def test_labelled_pages_not_learnt_from():
 def test_operator(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "v", ""), (None, "w", "<p>only words"), (5, "x", "<nav>menu"), (6, "y", "<" * 50 + " a < b"), (7, "z", "<p>" + "long words " * 50_000)]
     got = pages.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "1 as text", "2 as key")).collect()
+    assert pages.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
     assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
     by = {r.page_id: r.text for r in got}
     assert by[2] == by[3] == by[5] == "" and by[None] == "only words" and by[1] == pages.main_text(PAGE, WEIGHTS) and len(by[7]) == 549_999
