@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import stage
+from .shared import drop, stage, unpacked, whole_row
 
 #: Titles and usual English, German, French and Spanish given names by gender, without names that are also
 #: places or common words.
@@ -74,8 +74,10 @@ def _cased(words: Iterable[str]) -> list[str]:
     return [v for w in words for v in (w, w.upper())]
 
 
-_WORD = r"\p{Lu}[\p{L}'’-]*\p{Ll}[\p{L}'’-]*"
-_CAPITALS = r"\p{Lu}[\p{Lu}'’-]+(?![\p{L}\p{N}])"
+#: A word of a name: hyphens and apostrophes join parts, a possessive s is none of it. An initial stands as it is.
+_WORD = r"(?=\p{Lu}[\p{L}'’-]*\p{Ll})\p{Lu}\p{L}*(?:['’-]\p{L}{2,})*"
+_CAPITALS = r"\p{Lu}{2,}(?:['’-]\p{Lu}{2,})*(?![\p{L}\p{N}])"
+_INITIAL = r"\p{Lu}\."
 _TITLE = _any_of(_cased(t for ts in TITLES.values() for t in ts))
 _GIVEN = _any_of(t for ts in GIVEN.values() for t in ts)
 _TITLE_CAPITALS = _any_of(t.upper() for ts in TITLES.values() for t in ts)
@@ -83,9 +85,14 @@ _GIVEN_CAPITALS = _any_of(t.upper() for ts in GIVEN.values() for t in ts)
 _HEX = "[0-9A-Fa-f]{1,4}"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
+_YEAR = "(?:1[89]|20)[0-9]{2}"
+_NO_TITLE = rf"(?!(?:{_TITLE})(?![\p{{L}}]))"
+_TITLED = rf"(?:(?:{_TITLE})\.? ){{1,4}}(?:{_INITIAL} ?){{0,2}}{_NO_TITLE}{_WORD}(?: {_NO_TITLE}{_WORD}){{0,2}}"
+_TITLED_CAPITALS = rf"(?:(?:{_TITLE_CAPITALS})\.? ){{1,4}}(?:{_INITIAL} ?){{0,2}}{_NO_TITLE}{_CAPITALS}(?: {_NO_TITLE}{_CAPITALS}){{0,2}}"
+
 #: Kinds in the order in which they are tried, with the pattern that finds them.
 KINDS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|(?<=(?<![A-Za-z0-9._%+-])[._%+-]{1,8}))[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,255}\b|\bsk-[A-Za-z0-9_-]{20,200}",
     "secret": r"(?<=(?:\b|_|(?<=[a-z])(?=[A-Z]))(?i:password|passwd|pwd|secret|token|api_key|apikey|api-key|access_key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?)[^\s\"',;<>]{6,}",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
@@ -93,10 +100,13 @@ KINDS = {
     "ipv4": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.[0-9])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "card": r"(?<![\w.+-])(?:4[0-9]{3}|5[1-5][0-9]{2}|2[2-7][0-9]{2}|6011|65[0-9]{2}|64[4-9][0-9]|35[2-8][0-9])(?:[ -]?[0-9]{4}){3}(?!\w)|(?<![\w.+-])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?!\w)",
-    "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?!\w)|(?<![\w+])\+[0-9]{8,14}(?!\w)"
-    r"|(?<![\w+])\+(?=(?:[ ./()-]{0,3}[0-9]){8,15}(?![0-9]))[0-9]{1,3}(?:[ ./-]{0,2}(?:\([0-9]{1,4}\)|[0-9]{1,9})){1,7}(?!\w)"
-    r"|(?<![\w+.-])(?:0[1-9](?:[ .-][0-9]{2}){4}|[679][0-9]{2}(?:[ .-][0-9]{2}){3}|9[0-9][ .-][0-9]{3}(?:[ .-][0-9]{2}){2})(?!\w|[.-][0-9])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}})(?:(?:{_TITLE})\.? {_WORD}(?: {_WORD}){{0,2}}|(?:{_GIVEN}) {_WORD}|(?:{_TITLE_CAPITALS})\.? {_CAPITALS}(?: {_CAPITALS}){{0,2}}|(?:{_GIVEN_CAPITALS}) {_CAPITALS})",
+    # with a country code, but no decimal number; an area in brackets; three, three and four digits; a leading 0; Spanish and French groups
+    "phone": rf"(?<![\w+])\+(?![0-9]+\.[0-9]+(?![0-9.]))(?:[0-9]{{8,14}}(?!\w)|[0-9]{{1,3}}[ .-]?(?:\([0-9]{{2,4}}\) ?|[0-9]{{2,4}}[ .-])[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}(?!\w)|(?=(?:[ ./()-]{{0,3}}[0-9]){{8,15}}(?![0-9]))[0-9]{{1,3}}(?:[ ./-]{{0,2}}(?:\([0-9]{{1,4}}\)|[0-9]{{1,9}})){{1,7}}(?!\w))"
+    rf"|(?<![\w+])(?!\({_YEAR}\) ?{_YEAR})\([0-9]{{2,4}}\) ?[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}(?!\w)"
+    r"|(?<![\w+.-])(?:1[ .-])?[2-9][0-9]{2}[ .-][0-9]{3}[ .-][0-9]{4}(?!\w|[.-][0-9])"
+    r"|(?<![\w+.-])0[0-9]{1,4}(?<gap>[ -])[0-9]{3,4}\k<gap>?[0-9]{3,4}(?!\w|[.-][0-9])"
+    r"|(?<![\w+.-])(?:0[1-9](?:[ .-][0-9]{2}){4}|[679][0-9]{2}(?:[ .-][0-9]{2}){3}|[679][0-9]{2}(?:[ -][0-9]{3}){2}|9[0-9][ .-][0-9]{3}(?:[ .-][0-9]{2}){2})(?!\w|[ .-][0-9])",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}})(?:{_TITLED}|(?:{_GIVEN}) (?:{_INITIAL} )?{_WORD}|{_TITLED_CAPITALS}|(?:{_GIVEN_CAPITALS}) (?:{_INITIAL} )?{_CAPITALS})",
 }
 ENTITY = "|".join(f"(?:{p})" for p in KINDS.values())
 
@@ -111,12 +121,14 @@ def matches(text: Column) -> Column:
 
 
 def kind_of(match: Column) -> Column:
-    out = F.lit("secret")
+    """The kind of a match; `none` for a number in the shape of a card or an IBAN whose checksum is wrong."""
+    shape = F.lit("secret")
     for kind, pattern in reversed(list(KINDS.items())):
         if kind != "secret":
-            out = F.when(F.rlike(match, F.lit(f"^(?:{pattern})$")), F.lit(kind)).otherwise(out)
-    # a number in a card's shape whose checksum is wrong is just a number
-    return F.when((out == "card") & (luhn(F.regexp_replace(match, "[^0-9]", "")) != 0), F.lit("none")).otherwise(out)
+            shape = F.when(F.rlike(match, F.lit(f"^(?:{pattern})$")), F.lit(kind)).otherwise(shape)
+    wrong = lambda k: F.when(k == "card", luhn(F.regexp_replace(match, "[^0-9]", "")) != 0).when(k == "iban", mod_97(F.regexp_replace(match, " ", "")) != 1).otherwise(F.lit(False))
+    # a lambda's variable keeps the plan from holding the patterns once for every use
+    return F.get(F.transform(F.array(shape), lambda k: F.when(wrong(k), F.lit("none")).otherwise(k)), F.lit(0))
 
 
 def luhn(digits: Column) -> Column:
@@ -126,70 +138,110 @@ def luhn(digits: Column) -> Column:
     return F.pmod(F.aggregate(doubled, F.lit(0), lambda a, x: a + x), F.lit(10))
 
 
+def mod_97(iban: Column) -> Column:
+    """The checksum of an IBAN without blanks, in capitals: 1 if it is right. Letters count 10 to 35, the first four signs last."""
+    turned = F.concat(F.substring(iban, F.lit(5), F.length(iban)), F.substring(iban, 1, 4))
+    value = lambda c: F.ascii(c) - F.when(F.rlike(c, F.lit("[A-Z]")), ord("A") - 10).otherwise(ord("0"))
+    return F.aggregate(F.split(turned, ""), F.lit(0), lambda a, c: F.pmod(a * F.when(F.rlike(c, F.lit("[A-Z]")), 100).otherwise(10) + value(c), F.lit(97)))
+
+
+def _no_unit(word: Column) -> Column:
+    """Titles and initials stay as they are."""
+    return F.rlike(word, F.lit(rf"^(?:(?:{_TITLE})\.?|{_INITIAL})$"))
+
+
 def units(match: Column, kind: Column) -> Column:
-    """What of a match is replaced as one: (kind, norm). A name's words each stand alone, so that a surname stays one
-    surname wherever it occurs; of all else the norm has no case and, but for addresses and secrets, no punctuation."""
-    words = F.filter(F.split(match, " "), lambda w: ~F.rlike(w, F.lit(rf"^(?:{_TITLE})\.?$")))
-    female = F.rlike(match, F.lit(rf"^(?:{_any_of(_cased((*TITLES['f'], *GIVEN['f'])))})\.? "))
-    male = F.rlike(match, F.lit(rf"^(?:{_any_of(_cased((*TITLES['m'], *GIVEN['m'])))})\.? "))
-    given = F.when(female, F.lit("given-f")).when(male, F.lit("given-m")).otherwise(F.lit("given-n"))
-    named = F.transform(words, lambda w, i: F.struct(F.when(i == F.size(words) - 1, F.lit("surname")).otherwise(given).alias("kind"), F.lower(w).alias("norm")))
-    bare = F.when(kind.isin("email", "secret", "key", "ipv6", "ipv4"), match).otherwise(F.regexp_replace(match, "[^0-9A-Za-z]", ""))
+    """What of a match is replaced as one: (kind, norm, style).
+
+    A name's words each stand alone, so that a word stays one word wherever it occurs; its style says how it stands
+    here: m, f or n for a given name (by the list, else by the title), surname for the last. Of all else the norm has
+    no case and, but for addresses and secrets, no punctuation; of a phone it is the last ten digits, so that a country
+    code makes no other number.
+    """
+    words = F.flatten(F.transform(F.split(match, " "), lambda w: F.split(F.regexp_replace(w, rf"^({_INITIAL})(?=\p{{L}})", "$1 "), " ")))
+    words = F.filter(words, lambda w: ~_no_unit(w))
+    titled = lambda g: F.rlike(match, F.lit(rf"^(?:(?:{_TITLE})\.? ){{0,3}}(?:{_any_of(_cased(TITLES[g]))})\.? "))
+    title = F.when(titled("f"), "f").when(titled("m"), "m").otherwise("n")
+    listed = lambda w, g: F.rlike(w, F.lit(rf"^(?:{_any_of(_cased(GIVEN[g]))})$"))
+    style = lambda w, i: F.when(listed(w, "f"), "f").when(listed(w, "m"), "m").when(i == F.size(words) - 1, "surname").otherwise(title)
+    named = F.transform(words, lambda w, i: F.struct(F.lit("name").alias("kind"), F.lower(w).alias("norm"), style(w, i).alias("style")))
+    bare = F.when(kind.isin("email", "secret", "key", "ipv6", "ipv4"), match).when(kind == "phone", F.substring(F.regexp_replace(match, "[^0-9]", ""), -10, 10)).otherwise(F.regexp_replace(match, "[^0-9A-Za-z]", ""))
     # case carries meaning in secrets and keys
     norm = F.when(kind.isin("secret", "key"), bare).otherwise(F.lower(bare))
-    return F.when(kind == "name", named).when(kind == "none", F.slice(named, 1, 0)).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"))))
+    return F.when(kind == "name", named).when(kind == "none", F.slice(named, 1, 0)).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"), F.lit("").alias("style"))))
+
 
+def _number(digest: Column, i: Column) -> Column:
+    return F.conv(F.substring(digest, F.pmod(i * 4, F.lit(248)) + 1, F.lit(4)), 16, 10).cast("int")
 
-def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
-    """A keyed replacement of the same kind, script, gender and format: digits for digits, letters for letters."""
-    seeded = F.concat_ws("|", F.lit(key), kind, norm, attempt.cast("string"))
-    digest = F.concat(F.sha2(seeded, 512), F.sha2(F.concat(seeded, F.lit("|2")), 512))
-    number = lambda i, width=4: F.conv(F.substring(digest, F.pmod(i * width, F.lit(248)) + 1, F.lit(width)), 16, 10).cast("int")
-    size = F.length(norm)
+
+def _of(digest: Column, i: Column, values: Sequence[str]) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), F.pmod(_number(digest, i), F.lit(len(values))) + 1)
+
+
+def _scrambled(kind: Column, norm: Column, digest: Column) -> Column:
+    """norm with another digit for each digit and another letter of its script and case for each letter."""
+    size, number = F.length(norm), lambda i: _number(digest, i)
     hexadecimal = F.rlike(norm, F.lit("^[0-9a-f]+$|^[0-9A-F]+$")) | (kind == "ipv6")
-    stays = (
-        F.when(kind == "email", F.length(F.substring_index(norm, ".", -1)))  # the last label, from the end
-        .otherwise(0)
-    )
-    leads = F.when(kind == "key", F.when(F.rlike(norm, F.lit("^(?:AKIA|ASIA|gh.[_])")), 4).otherwise(3)).when(kind == "iban", 2).when(kind == "card", 1).when(kind == "phone", F.greatest(size - 10, F.lit(0))).otherwise(0)
-    letters = lambda c, i, first: F.char(F.lit(ord(first)) + F.pmod(number(i), F.when(hexadecimal, 6).otherwise(26)))
+    stays = F.when(kind == "email", F.length(F.substring_index(norm, ".", -1))).otherwise(0)  # the last label, from the end
+    leads = F.when(kind == "key", F.when(F.rlike(norm, F.lit("^(?:AKIA|ASIA|gh.[_])")), 4).otherwise(3)).when(kind == "iban", 2).when(kind == "card", 1).otherwise(0)
+    letters = lambda i, first: F.char(F.lit(ord(first)) + F.pmod(number(i), F.when(hexadecimal, 6).otherwise(26)))
 
     def one(c: Column, i: Column) -> Column:
-        fresh = F.when(F.rlike(c, F.lit("[0-9]")), F.pmod(number(i), F.lit(10)).cast("string")).when(F.rlike(c, F.lit("[a-z]")), letters(c, i, "a")).when(F.rlike(c, F.lit("[A-Z]")), letters(c, i, "A")).otherwise(c)
+        fresh = (
+            F.when(F.rlike(c, F.lit("[0-9]")), F.pmod(number(i), F.lit(10)).cast("string")).when(F.rlike(c, F.lit("[a-z]")), letters(i, "a")).when(F.rlike(c, F.lit("[A-Z]")), letters(i, "A")).when(F.rlike(c, F.lit("[\\x00-\\x7F]")), c)
+            .when(F.rlike(c, F.lit(r"(?=\p{IsCyrillic})\p{Lu}")), _of(digest, i, "БВГДЖЗИКЛМНПРСТУ")).when(F.rlike(c, F.lit(r"\p{IsCyrillic}")), _of(digest, i, "бвгджзиклмнпрсту"))
+            .when(F.rlike(c, F.lit(r"(?=\p{IsGreek})\p{Lu}")), _of(digest, i, "ΑΒΓΔΕΖΗΘΚΛΜΝΞΠΡΣ")).when(F.rlike(c, F.lit(r"\p{IsGreek}")), _of(digest, i, "αβγδεζηθκλμνξπρσ"))
+            .when(F.rlike(c, F.lit(r"\p{Lu}")), letters(i, "A")).when(F.rlike(c, F.lit(r"\p{L}")), letters(i, "a")).when(F.rlike(c, F.lit(r"\p{N}")), F.pmod(number(i), F.lit(10)).cast("string")).otherwise(c)
+        )
         return F.when((i < leads) | (i >= size - stays), c).otherwise(fresh)
 
-    plain = F.array_join(F.transform(F.split(norm, ""), one), "")
-    # the last digit of a card makes its checksum right
-    digits = F.regexp_replace(F.substring(plain, F.lit(1), size - 1), "[^0-9]", "0")
+    return F.array_join(F.transform(F.split(norm, ""), one), "")
+
+
+def surrogates(open_: DataFrame, attempt: int, key: str) -> DataFrame:
+    """(kind, norm, style, seed) with a keyed `surrogate` of the same kind, script, gender and format: digits for digits,
+    letters for letters. seed is a digest of kind and norm. Every step is a column of its own, used by the next."""
+    kind, norm, style, digest, plain = (F.col(c) for c in ("kind", "norm", "style", "digest", "plain"))
+    seeded = F.concat_ws("|", F.lit(key), "seed", F.lit(str(attempt)))
+    rows = open_.withColumn("digest", F.concat(F.sha2(seeded, 512), F.sha2(F.concat(seeded, F.lit("|2")), 512)))
+    rows = rows.withColumn("plain", F.when(kind.isin("name", "ipv4"), F.lit("")).otherwise(_scrambled(kind, norm, digest)))
+    number = lambda i: _number(digest, i)
+    # the last digit of a card and the check digits of an IBAN make the checksum right
+    digits = F.regexp_replace(F.substring(plain, F.lit(1), F.length(norm) - 1), "[^0-9]", "0")
     card = F.concat(digits, F.pmod(F.lit(10) - luhn(F.concat(digits, F.lit("0"))), F.lit(10)).cast("string"))
+    country, account = F.substring(norm, 1, 2), F.substring(plain, F.lit(5), F.length(norm))
+    check = F.lpad((F.lit(98) - mod_97(F.upper(F.concat(country, F.lit("00"), account)))).cast("string"), 2, "0")
     octets = F.array_join(F.transform(F.split(norm, r"\."), lambda o, i: F.when(F.length(o) == 3, F.lit(100) + F.pmod(number(i), F.lit(124))).when(F.length(o) == 2, F.lit(10) + F.pmod(number(i), F.lit(90))).otherwise(1 + F.pmod(number(i), F.lit(9))).cast("string")), ".")
     script = F.when(F.rlike(norm, F.lit(r"\p{IsCyrillic}")), F.lit("cyrillic")).when(F.rlike(norm, F.lit(r"\p{IsGreek}")), F.lit("greek")).otherwise(F.lit("latin"))
-    gender = F.when(kind == "surname", F.lit("surname")).otherwise(F.substring(kind, -1, 1))
 
-    def made(of: str) -> Column:
-        pick = lambda values, i: F.element_at(F.array(*map(F.lit, values)), F.pmod(number(i), F.lit(len(values))) + 1)
+    def made(of_script: str) -> Column:
         ending = F.lit("")
-        for g, values in ENDINGS[of].items():
-            ending = F.when(gender == g, pick(values, F.lit(40))).otherwise(ending)
+        for g, values in ENDINGS[of_script].items():
+            ending = F.when(style == g, _of(digest, F.lit(40), values)).otherwise(ending)
         # more syllables with every attempt that collided
-        return F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2) + attempt), lambda i: pick(SYLLABLES[of], i)), ""), ending)
+        return F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2 + attempt)), lambda i: _of(digest, i, SYLLABLES[of_script])), ""), ending)
 
     name = F.when(script == "cyrillic", made("cyrillic")).when(script == "greek", made("greek")).otherwise(made("latin"))
-    longer = F.when(attempt >= ATTEMPTS, F.when(kind.isin("card", "phone", "ssn"), F.pmod(number(F.lit(50)), F.lit(10_000)).cast("string")).when(kind == "ipv6", F.concat(F.when(F.endswith(norm, F.lit(":")), "").otherwise(":"), F.substring(digest, 200, 4))).otherwise(F.substring(digest, 200, 6))).otherwise(F.lit(""))
-    free = F.when(kind == "email", F.concat(longer, plain)).otherwise(F.concat(plain, longer))
-    return F.when(kind.isin("surname", "given-f", "given-m", "given-n"), name).when((kind == "ipv4") & (attempt < ATTEMPTS), octets).when((kind == "card") & (attempt < ATTEMPTS), card).otherwise(free)
+    if attempt < ATTEMPTS:
+        found = F.when(kind == "ipv4", octets).when(kind == "card", card).when(kind == "iban", F.concat(country, check, account)).otherwise(plain)
+    else:
+        longer = F.when(kind.isin("card", "phone", "ssn"), F.pmod(number(F.lit(50)), F.lit(10_000)).cast("string")).when(kind == "ipv6", F.concat(F.when(F.endswith(norm, F.lit(":")), "").otherwise(":"), F.substring(digest, 200, 4))).otherwise(F.substring(digest, 200, 6))
+        body = F.when(kind == "ipv4", octets).otherwise(plain)
+        found = F.when(kind == "email", F.concat(longer, body)).otherwise(F.concat(body, longer))
+    return rows.withColumn("surrogate", F.when(kind == "name", name).otherwise(found)).drop("digest", "plain")
 
 
 def dictionary(found: DataFrame, key: str) -> DataFrame:
-    """(kind, norm, surrogate) from distinct (kind, norm): no two norms of a kind share a surrogate, and none is a norm.
+    """(kind, norm, surrogate) from (kind, norm, style), one row for each kind and norm: no two norms of a kind share a surrogate, and none is a norm.
 
     Every norm gets its keyed surrogate; of those that meet, the smallest norm keeps it and the others try again, as
     do those that hit a norm of the corpus or a surrogate that is taken. Rounds go on until none is left.
     """
-    norms = stage(found, "pii-norms")
+    norms = stage(found.withColumn("seed", F.sha2(F.concat_ws("|", "kind", "norm"), 512)), "pii-norms")
     open_, done, attempt = norms, None, 0
     while True:
-        tried = open_.withColumn("surrogate", surrogate(F.col("kind"), F.col("norm"), F.lit(attempt), key))
+        tried = surrogates(open_, attempt, key)
         real = tried.join(norms.select("kind", F.col("norm").alias("surrogate")), ["kind", "surrogate"], "left_anti")
         first = real.groupBy("kind", "surrogate").agg(F.min("norm").alias("norm"))
         if done is not None:
@@ -198,58 +250,77 @@ def dictionary(found: DataFrame, key: str) -> DataFrame:
         done = won if done is None else done.unionByName(won)
         open_ = stage(open_.join(won, ["kind", "norm"], "left_anti"), "pii-open")
         if open_.isEmpty():
+            drop(norms, open_)
             return done
         attempt += 1
 
 
 def lay(match: Column, kind: Column, replacement: Column) -> Column:
-    """The surrogate in the shape of the match: its punctuation, and upper case where it has some."""
-    slot = F.when(kind.isin("email", "secret", "key", "ipv6", "ipv4"), F.lit("(?s).")).otherwise(F.lit("[0-9A-Za-z]"))
-    chars = F.split(match, "")
-    shift = F.greatest(F.length(replacement) - F.regexp_count(match, slot), F.lit(0))  # only after many attempts
+    """The surrogate in the shape of the match: its punctuation, and upper case where it has some; a phone's country code stays."""
+    whole = kind.isin("email", "secret", "key", "ipv6", "ipv4")
+    slot = F.when(whole, F.lit("(?s).")).otherwise(F.lit("[0-9A-Za-z]"))
+    chars, slots = F.split(match, ""), F.regexp_count(match, slot)
+    shift = F.greatest(F.length(replacement) - slots, F.lit(0))  # only after many attempts
+    ahead = F.greatest(slots - F.length(replacement), F.lit(0))  # only of phones
     start = F.when(kind == "email", shift).otherwise(F.lit(0))
 
     def one(c: Column, i: Column) -> Column:
-        s = F.substring(replacement, start + F.regexp_count(F.substring(match, F.lit(1), i), slot) + 1, F.lit(1))
-        return F.when(~F.rlike(c, slot), c).when(F.rlike(c, F.lit("[A-Z]")), F.upper(s)).otherwise(s)
+        place = F.when(whole, i).otherwise(F.regexp_count(F.substring(match, F.lit(1), i), slot)) - ahead
+        s = F.substring(replacement, start + place + 1, F.lit(1))
+        return F.when(~F.rlike(c, slot) | (place < 0), c).when(F.rlike(c, F.lit("[A-Z]")), F.upper(s)).otherwise(s)
 
     body = F.array_join(F.transform(chars, one), "")
     return F.when(kind == "email", F.concat(F.substring(replacement, F.lit(1), shift), body)).otherwise(F.concat(body, F.substring(replacement, F.length(replacement) - shift + 1, shift)))
 
 
+def style_of(styles: Column) -> Column:
+    """One style for a word from those of all its places: a given name if it ever is one, of both genders or none neutral."""
+    has = lambda s: F.array_contains(styles, s)
+    return F.when(has("m") & ~has("f"), "m").when(has("f") & ~has("m"), "f").when(has("n") | has("m") | has("f"), "n").when(has("surname"), "surname").otherwise("")
+
+
 def replace(docs: DataFrame, *, text: str = "text", key: str = "surrogates", count: str | None = None) -> DataFrame:
     """docs with every detected piece of personal data replaced in `text`; all other columns as they are.
 
     Replacements are keyed, of the same kind, script, gender and format; equal entities get equal surrogates in all
-    documents (case and punctuation don't count), different ones different surrogates. Only documents with personal
-    data travel: their distinct entities form a dictionary, which is joined back entity by entity.
+    documents (case and punctuation don't count), different ones different surrogates. Every text is searched once,
+    and written with what was found; only documents with personal data travel. Their distinct entities form a
+    dictionary, which is joined back entity by entity.
 
-    With `count`, a column of that name says how many matches were replaced. Null and empty texts stay; repeated rows
-    are all rewritten; an empty table gives an empty result.
+    With `count`, a column of that name says how many matches were replaced. Every row comes out, whatever was found
+    in it: null and empty texts stay as they are, repeated rows are all rewritten alike, a text may be as long as a row
+    can be, columns may have any names, an empty table gives an empty result.
     """
     names = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text).alias("text"))
-    rows = rows.withColumn("found", F.transform(matches(F.col("text")), lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind"))))
+    told = F.transform(matches(F.col("row").getField(text)), lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind")))
+    rows = docs.select(*whole_row(names)).withColumn("found", F.transform(told, lambda f: F.struct(f["match"].alias("match"), f["kind"].alias("kind"), units(f["match"], f["kind"]).alias("units"))))
+    searched = stage(rows.withColumn("at", F.monotonically_increasing_id()), "pii-found")
     private = F.size(F.filter("found", lambda f: f["kind"] != "none"))
-    clean = rows.filter(private == 0).select("row.*", *([F.lit(0).alias(count)] if count else []))
-    marked = rows.filter(private > 0).select("row", F.monotonically_increasing_id().alias("at"), F.transform("found", lambda f: F.struct(f["match"].alias("match"), f["kind"].alias("kind"), units(f["match"], f["kind"]).alias("units"))).alias("found"))
-    dirty = stage(marked, "pii-found")
-    used = dirty.select("at", F.explode(F.array_distinct(F.flatten(F.col("found.units")))).alias("unit")).select("at", "unit.kind", "unit.norm")
-    known = dictionary(used.select("kind", "norm").distinct(), key)
-    pairs = used.join(known, ["kind", "norm"]).groupBy("at").agg(F.map_from_entries(F.collect_list(F.struct(F.struct("kind", "norm").alias("k"), F.col("surrogate").alias("v")))).alias("map"))
-    joined = dirty.join(pairs, "at")
-    value = lambda u: F.element_at(F.col("map"), u)
-
-    def named(f: Column) -> Column:
-        words = F.split(f["match"], " ")
-        ahead = F.size(words) - F.size(f["units"])  # the title
-        cased = lambda w, s: F.when(F.rlike(w, F.lit(r"^\p{Lu}+$")) & (F.length(w) > 1), F.upper(s)).otherwise(F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, F.lit(2), F.length(s))))
-        return F.array_join(F.transform(words, lambda w, i: F.when(i < ahead, w).otherwise(cased(w, value(F.get(f["units"], i - ahead))))), " ")
-
-    fresh = F.transform("found", lambda f: F.when(f["kind"] == "none", f["match"]).when(f["kind"] == "name", named(f)).otherwise(lay(f["match"], f["kind"], value(F.get(f["units"], F.lit(0))))))
-    gaps = F.split(F.col(f"row.{text}"), ENTITY, -1)
+    clean = searched.filter(private == 0).select(*unpacked(names), *([F.lit(0).alias(count)] if count else []))
+    dirty = searched.filter(private > 0)
+    used = stage(dirty.select("at", F.explode(F.array_distinct(F.flatten(F.col("found.units")))).alias("unit")).select("at", "unit.kind", "unit.norm", "unit.style"), "pii-units")
+    known = dictionary(used.groupBy("kind", "norm").agg(style_of(F.collect_set("style")).alias("style")), key)
+    entry = F.struct(F.struct("kind", "norm").alias("k"), F.col("surrogate").alias("v"))
+    pairs = used.select("at", "kind", "norm").distinct().join(known, ["kind", "norm"]).groupBy("at").agg(F.map_from_entries(F.collect_list(entry)).alias("map"))
+    joined = dirty.join(pairs, "at", "left")  # left: whatever is found, no row goes
+
+    def value(kind: Column, norm: Column, otherwise: Column) -> Column:
+        return F.coalesce(F.element_at(F.col("map"), F.struct(kind.alias("kind"), norm.alias("norm"))), otherwise)
+
+    def named(match: Column) -> Column:
+        cased = lambda w, s: F.when(F.rlike(w, F.lit(r"^[\p{Lu}'’-]+$")) & (F.length(w) > 1), F.upper(s)).otherwise(F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, F.lit(2), F.length(s))))
+        word = lambda w: F.when(_no_unit(w), w).otherwise(cased(w, value(F.lit("name"), F.lower(w), w)))
+        initial = rf"^({_INITIAL})(?=\p{{L}})"
+        return F.array_join(F.transform(F.split(match, " "), lambda w: F.when(F.rlike(w, F.lit(initial)), F.concat(F.regexp_extract(w, initial, 1), word(F.regexp_replace(w, initial, "")))).otherwise(word(w))), " ")
+
+    def laid(f: Column) -> Column:
+        unit = F.get(f["units"], F.lit(0))
+        return lay(f["match"], f["kind"], value(unit["kind"], unit["norm"], unit["norm"]))
+
+    fresh = F.transform("found", lambda f: F.when(f["kind"] == "none", f["match"]).when(f["kind"] == "name", named(f["match"])).otherwise(laid(f)))
+    gaps = F.split(F.col("row").getField(text), ENTITY, -1)
     rewritten = F.array_join(F.zip_with(gaps, fresh, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
-    changed = joined.select("row", rewritten.alias("_text"), private.alias("_n")).select(*[F.col("_text").alias(c) if c == text else F.col("row")[c].alias(c) for c in names], *([F.col("_n").alias(count)] if count else []))
+    changed = joined.select("row", rewritten.alias("_text"), private.alias("_n")).select(*[F.col("_text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in names], *([F.col("_n").alias(count)] if count else []))
     return clean.unionByName(changed)
 
 

@@ -41,15 +41,17 @@ def test_replacement(spark):
 
 def test_distinct_even_when_few_are_free(spark):
     """26 * 26 addresses of one shape leave few surrogates free: all must differ, and none be an address of the corpus."""
-    found = spark.createDataFrame([("email", f"{a}@{b}.com") for a in "abcdefghij" for b in "abcdefghij"] + [("ssn", "123456789")], "kind string, norm string")
+    found = spark.createDataFrame([("email", f"{a}@{b}.com", "") for a in "abcdefghij" for b in "abcdefghij"] + [("ssn", "123456789", "")], "kind string, norm string, style string")
     got = pii.dictionary(found, "k").collect()
     pairs = {(r.kind, r.surrogate) for r in got}
     assert len(got) == len(pairs) == 101 and not pairs & {(r.kind, r.norm) for r in got}
 
 
 def test_matches_are_found(spark):
-    cases = {"a@b.co": "email", "10.0.0.1": "ipv4", "256.1.1.1": None, "1234": None, "+44 20 7946 0958": "phone", "123-45-6789": "ssn", "1.2.3.4.5": None, "5500 0000 0000 0004": "card", "4041894974608796": "none"}
+    cases = {"a@b.co": "email", "10.0.0.1": "ipv4", "256.1.1.1": None, "1234": None, "+44 20 7946 0958": "phone", "-a.b@c.de": "email", "123-45-6789": "ssn", "1.2.3.4.5": None, "5500 0000 0000 0004": "card", "4041894974608796": "none"}
     df = spark.createDataFrame([(c,) for c in cases], "t string").select("t", pii.matches(F.concat(F.lit("see "), "t", F.lit(" there"))).alias("m")).select("t", F.transform("m", pii.kind_of).alias("k"))
+    both = spark.createDataFrame([("+1 (826) 555-4081 190.137.223.204 -a.b@c.de",)], "t string").select(pii.matches(F.col("t"))).first()[0]
+    assert both == ["+1 (826) 555-4081", "190.137.223.204", "a.b@c.de"]
     assert {r.t: r.k for r in df.collect()} == {c: [k] if k else [] for c, k in cases.items()}
 
 
@@ -79,3 +81,37 @@ def test_usual_forms_are_found(spark):
     assert (a, b) == (c.upper(), d.upper()) and "SMITH" not in got[1]
     assert re.fullmatch(r"ring \+\d\d \d( \d\d){4}\.", got[2]) and "23 45 67 89" not in got[2]
     assert re.fullmatch(r"ping [0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f]\.", got[3]) and "2001:db8" not in got[3]
+
+
+def test_no_row_goes_and_names_stay_one(spark):
+    """Titles without a name, and one person under several titles, with an initial or a possessive s."""
+    texts = ["Herr Dr. Müller kam.", "Dear Miss Miss, hello", "We met Dr Prof today", "Mr Mr Mr", "John Smith, Dr John Smith, Mr John Smith and Mr. J. Smith met Smith's friend Mr Smith's son", "Dr Ravi Kumar", "Mr Ravi Kumar", "Mr. Dr. Prof. Ravi Kumar-Lee", "Prof. Dr Kumar", "John F. Smith"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").selectExpr("*", "1 as `a.b`", "2 as row", "3 as map")
+    out = pii.replace(docs)
+    assert out.columns == docs.columns
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert len(got) == len(texts) and [got[i] for i in (1, 2, 3)] == [texts[i] for i in (1, 2, 3)] and re.fullmatch(r"Herr Dr\. [A-Z][a-z]+ kam\.", got[0]) and "Müller" not in got[0]
+    given, surname = got[4].split(",")[0].split()
+    assert got[4].startswith(f"{given} {surname}, Dr {given} {surname}, Mr {given} {surname} and Mr. J. {surname} met Smith's friend Mr {surname}'s son")
+    ravi, kumar = got[5].split()[1:]
+    assert got[6] == f"Mr {ravi} {kumar}" and got[7].startswith(f"Mr. Dr. Prof. {ravi} ") and got[8] == f"Prof. Dr {kumar}" and ravi.endswith(tuple(pii.ENDINGS["latin"]["m"]))
+    assert got[9] == f"{given} F. {surname}"
+
+
+def test_numbers_secrets_and_checksums(spark):
+    """Numbers that are no phone, secrets of any script, IBANs by their checksum, phones with and without a country code."""
+    plain = ["12.345678 and 10.1234567", "1999-2003 2004", "1999 2003 2004", "+12.345678", "12.345.678 or 12 345 678", "AB12 CDEF GHIJ", "(1999) 2003-2004", "DE89 3704 0044 0532 0130 01", "1.2.3.4.5.6", "2024-01-15 12:30:45"]
+    told = ["password=пароль1", "secret: Ωμέγα99", "DE89 3704 0044 0532 0130 00", "+1 (543) 555-6850", "543 555-6850", "1-543-555-6850", "ring 020 7946 0958 or +44 20 7946 0958", "GB82WEST12345698765432", "x" * 200_000 + " jane.roe@example.org " + "y " * 100_000]
+    got = {r.doc_id: r for r in pii.replace(spark.createDataFrame(list(enumerate(plain + told)), "doc_id bigint, text string"), count="n").collect()}
+    assert [got[i].text for i in range(len(plain))] == plain and not any(got[i].n for i in range(len(plain)))
+    new = [got[len(plain) + i].text for i in range(len(told))]
+    assert re.fullmatch(r"password=[а-я]{6}[0-9]", new[0]) and new[0] != told[0] and not set("пароль") == set(new[0][9:15])
+    assert re.fullmatch(r"secret: [Α-Ω][α-ω]{4}[0-9]{2}", new[1]) and new[1] != told[1]
+    remainder = lambda x: int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97
+    for i in (2, 7):
+        assert new[i] != told[i] and new[i][:2] == told[i][:2] and [c == " " for c in new[i]] == [c == " " for c in told[i]] and remainder(new[i].replace(" ", "")) == 1
+    digits = [re.sub(r"\D", "", x)[-10:] for x in new[3:6]]
+    assert len(set(digits)) == 1 and digits[0] != "5435556850" and new[3].startswith("+1 (")
+    a, b = re.fullmatch(r"ring 0([\d ]+) or \+44 ([\d ]+)", new[6]).groups()
+    assert a == b != "20 7946 0958"
+    assert "jane.roe" not in new[8] and len(new[8]) == len(told[8])

@@ -7,7 +7,6 @@ pytest.importorskip("corpus_pipeline")
 
 def test_stages(spark, tmp_path):
     import corpus_pipeline
-    from loomgraph.llm import mixing, near, quality
 
     r = random.Random(4)
     words = ["thing", "other", "with", "and", "the", "that", "house", "water", "green", "over"]
@@ -36,4 +35,18 @@ def test_stages(spark, tmp_path):
     by = {x.doc_id: x for x in private}
     assert all(x.text == by[x.doc_id].text for x in mix) and len(ids) == len(mix) and all(x.n_tokens == len(x.ids) for x in ids)
     assert sorted((x.doc_id, x.n_tokens) for x in corpus_pipeline.run(spark, str(tmp_path)).collect()) == sorted((x.doc_id, x.n_tokens) for x in ids)
-    assert (quality, near, mixing)
+
+
+def test_empty_table_and_odd_columns(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "a b c d e f", "en", "s", 11)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    read = docs.selectExpr("*", "1 as `a.b`", "2 as row", "3 as text_")
+    for i, (_, function) in enumerate(corpus_pipeline.STAGES[:4]):
+        out = function(spark, read, str(tmp_path))
+        assert out.columns == docs.selectExpr("*", "1 as `a.b`", "2 as row", "3 as text_").columns
+        out.write.parquet(f"{tmp_path}/{i}.parquet")
+        read = spark.read.parquet(f"{tmp_path}/{i}.parquet")
