@@ -9,6 +9,45 @@ from loomgraph.streaming import windows
 from pyspark.sql import functions as F
 
 
+def average_linkage(vectors: np.ndarray, most: float) -> np.ndarray:
+    """Labels of the rows (the smallest index of the cluster): the nearest two clusters merge while the mean cosine
+    distance of their members is at most `most`; of equals the first pair."""
+    n = len(vectors)
+    distance = 1 - vectors @ vectors.T
+    np.fill_diagonal(distance, np.inf)
+    size, label, alive = np.ones(n), np.arange(n), np.ones(n, bool)
+    while alive.sum() > 1:
+        i, j = divmod(int(np.argmin(distance)), n)
+        if distance[i, j] > most:
+            break
+        i, j = min(i, j), max(i, j)
+        merged = (size[i] * distance[i] + size[j] * distance[j]) / (size[i] + size[j])
+        size[i] += size[j]
+        distance[i], distance[:, i] = merged, merged
+        distance[i, i] = np.inf
+        distance[j], distance[:, j] = np.inf, np.inf
+        alive[j] = False
+        label[label == j] = i
+    return label
+
+
+def greedy_echoes(pairs: pd.DataFrame, quota: int) -> pd.DataFrame:
+    """Events in order take up to `quota` new partners, the most similar first; a pair that is there counts for nobody."""
+    near: dict[int, list[tuple[float, int]]] = {}
+    for a, b, c in zip(pairs["a"], pairs["b"], pairs["cosine"], strict=True):
+        near.setdefault(a, []).append((-c, b))
+        near.setdefault(b, []).append((-c, a))
+    found: dict[tuple[int, int], float] = {}
+    for event in sorted(near):
+        new = 0
+        for c, other in sorted(near[event]):
+            key = (min(event, other), max(event, other))
+            if key not in found and new < quota:
+                found[key] = -c
+                new += 1
+    return pd.DataFrame([(a, b, c) for (a, b), c in found.items()], columns=["a", "b", "cosine"])
+
+
 def unit(n, d, seed):
     v = np.random.default_rng(seed).normal(size=(n, d))
     return v / np.linalg.norm(v, axis=1, keepdims=True)
@@ -17,14 +56,14 @@ def unit(n, d, seed):
 def test_clusters_equal_one_group(spark):
     v = unit(40, 4, 1)
     got = {r.id: r.cluster for r in cluster.clusters(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>"), 0.3).collect()}
-    assert got == dict(enumerate(cluster.average_linkage(v, 0.3).tolist()))
+    assert got == dict(enumerate(average_linkage(v, 0.3).tolist()))
 
 
 def test_echoes_equal_one_group(spark):
     v, order = unit(40, 4, 2), [i // 2 if i % 7 else None for i in range(40)]
     got = cluster.echoes(spark.createDataFrame([(i, x.tolist(), o) for i, (x, o) in enumerate(zip(v, order, strict=True))], "id long, v array<double>, ord long"), 0.5, 3, 2).collect()
     pairs = [(a, b, float(v[a] @ v[b])) for a, b in itertools.combinations(range(40), 2) if v[a] @ v[b] >= 0.5 and (order[a] is None or order[b] is None or abs(order[a] - order[b]) >= 3)]
-    want = cluster.greedy_echoes(pd.DataFrame(pairs, columns=["a", "b", "cosine"]), 2)
+    want = greedy_echoes(pd.DataFrame(pairs, columns=["a", "b", "cosine"]), 2)
     assert {(r.a, r.b) for r in got} == set(zip(want["a"], want["b"], strict=True)) and len(want)
 
 
