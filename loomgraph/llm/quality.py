@@ -18,7 +18,7 @@ ORDER, BITS, TAG = 4, 15, 60
 #: Fixed symbols: a word that repeats the one before, the start and the end of a text.
 AGAIN, START, END = "\x07", 2, 3
 #: Code points that are scored together, texts counted at once, trusted ids that are sent to every executor (8 bytes each).
-BLOCK, SLICE, SENT = 8_000_000, 64, 2_000_000
+BLOCK, SLICE, SENT = 16_000_000, 64, 2_000_000
 #: Languages whose thresholds are sent to every executor; with more, documents and thresholds are joined by language.
 LANGUAGES = 10_000
 #: Parts of the trusted documents; each is scored by a model of the others, so that no document vouches for itself.
