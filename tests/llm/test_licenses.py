@@ -11,6 +11,8 @@ TEXTS = [
     "This work is licensed under the GNU General Public License, version 3.",
     "SPDX-License-Identifier: BSD-3-Clause and also permission is hereby granted, free of charge, to any person obtaining a copy of this software",
     "underthe mit license under the\nmit--license Kelvin K k",
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Neither the name of the Foo Bar Project nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "http://creativecommons.org/licenses/by-nc-sa/4.0/ and https://www.gnu.org/licenses/gpl-3.0.html, see opensource.org/licenses/MIT", "x " * 100_000 + "under the MIT license" + " y" * 100_000,
     "", "   ", None, "just words in the wood, under a tree", "licensed under CC BY-NC-SA 4.0",
 ]
 
@@ -52,8 +54,16 @@ def test_base_places(spark):
     by = {r.doc_id: r for r in licenses.scan(docs).collect()}
     assert (by[2].n_base, by[2].first_word, by[2].last_word) == (2, 0, 4)
     assert by[3].n_base == 3 and by[0].base_labels == "cc-by-nc,mit" and by[1].base_labels == "apache-2"
-    assert by[4].labels == "gpl-3" and by[10].labels == "" and by[10].score == 0
-    assert by[11].labels == "cc-by-nc,cc-by-nc-sa" and by[11].base_labels == "cc-by-nc"
+    assert by[4].labels == "gpl-3" and by[13].labels == "" and by[13].score == 0 and by[9].first_word == 100_000 and by[9].n_words == 200_004
+    assert by[14].labels == "cc-by-nc,cc-by-nc-sa" and by[14].base_labels == "cc-by-nc" and by[7].labels == "bsd,bsd-3-clause" and by[8].labels == "cc-by-nc-sa,gpl-3,mit"
+
+
+def test_gates_hold_for_every_rule():
+    """Of every rule that is plain text: it passes the gate, and its anchor and one of its keywords stand in it."""
+    for label, _, _, (anchor, keywords), pattern, _ in licenses.rules():
+        if not set(pattern) & set("()[]{}?*+|\\"):
+            text = f" {pattern} "
+            assert anchor in text and any(k in text for k in keywords.split("|")) and any(g in text for g in licenses.GATE), (label, pattern)
 
 
 def test_hundreds_of_rules():
