@@ -100,15 +100,15 @@ SELECT page, line_no, substr(text || chr(10) || next, 1, 80) AS context FROM n W
 query("page_concat", lambda s, d: pagination.joined_pages(_read(s, d, "conversations").select(F.col("conv_id").alias("book"), F.col("turn").alias("page"), "text"), "\n--\n"), "SELECT conv_id AS book, string_agg(text, chr(10) || '--' || chr(10) ORDER BY turn, text) AS text FROM conversations GROUP BY conv_id")
 
 # labels --------------------------------------------------------------------------------------------------------------
-_PATH = "'data/x.y/part_ch_' || lpad(CAST(o_orderkey AS STRING), 4, '0') || CASE WHEN o_orderkey % 3 = 0 THEN '.json' ELSE '' END"
+_PATH = "'data/x.y/part_ch_' || lpad(CAST(o_orderkey AS STRING), 9, '0') || CASE WHEN o_orderkey % 3 = 0 THEN '.json' ELSE '' END"
 
 
 def _orders(s: SparkSession, d: str) -> DataFrame:
     return _read(s, d, "orders").selectExpr("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", f"CASE WHEN o_orderkey % 4 = 0 THEN 'data/other.json' ELSE {_PATH} END AS path", "'run ch_' || CAST(o_custkey AS STRING) || ' x' AS told")
 
 
-query("canonical_chunk", lambda s, d: _orders(s, d).select("o_orderkey", labels.canonical_chunk(F.col("path"), F.when(F.col("o_custkey") % 2 == 0, F.col("told"))).alias("chunk_id")), "SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN 'ch_' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(4, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') WHEN o_custkey % 2 = 0 THEN 'ch_' || CAST(o_custkey AS VARCHAR) END AS chunk_id FROM orders")
-query("shrunk_path", lambda s, d: _orders(s, d).select("o_orderkey", labels.shrunk_path(F.col("path")).alias("short"), labels.source_label(F.concat(F.lit("/root/repo\\"), "path"), F.lit("/root/repo")).alias("label")), "WITH p AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'data/other' ELSE 'data/x.y/part_ch_' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(4, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') END AS stem, CASE WHEN o_orderkey % 4 = 0 OR o_orderkey % 3 = 0 THEN '.json' ELSE '' END AS suffix FROM orders) SELECT o_orderkey, stem || '_shrunk' || suffix AS short, stem || suffix AS label FROM p")
+query("canonical_chunk", lambda s, d: _orders(s, d).select("o_orderkey", labels.canonical_chunk(F.col("path"), F.when(F.col("o_custkey") % 2 == 0, F.col("told"))).alias("chunk_id")), "SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN 'ch_' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') WHEN o_custkey % 2 = 0 THEN 'ch_' || CAST(o_custkey AS VARCHAR) END AS chunk_id FROM orders")
+query("shrunk_path", lambda s, d: _orders(s, d).select("o_orderkey", labels.shrunk_path(F.col("path")).alias("short"), labels.source_label(F.concat(F.lit("/root/repo\\"), "path"), F.lit("/root/repo")).alias("label")), "WITH p AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'data/other' ELSE 'data/x.y/part_ch_' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') END AS stem, CASE WHEN o_orderkey % 4 = 0 OR o_orderkey % 3 = 0 THEN '.json' ELSE '' END AS suffix FROM orders) SELECT o_orderkey, stem || '_shrunk' || suffix AS short, stem || suffix AS label FROM p")
 query("profile_text", lambda s, d: _read(s, d, "customer").select("c_custkey", labels.profile(F.col("c_name"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey")), F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey") + 70), F.when(F.col("c_custkey") % 5 > 0, "Rome"), F.when(F.col("c_custkey") % 7 == 0, F.array(F.lit("a"), F.lit("b"))), F.array().cast("array<string>"), F.col("c_mktsegment"), F.when(F.col("c_custkey") % 4 == 0, "")).alias("profile")), """
 SELECT c_custkey, concat_ws(chr(10), 'Nome canonico: ' || c_name, CASE WHEN c_custkey % 6 = 0 THEN 'Anni: ' || c_custkey || '–' || (c_custkey + 70) || ' d.C.' WHEN c_custkey % 2 = 0 THEN 'Anno di nascita: ' || c_custkey || ' d.C. (vivente)' WHEN c_custkey % 3 = 0 THEN 'Anno di morte: ' || (c_custkey + 70) || ' d.C.' END,
   CASE WHEN c_custkey % 5 > 0 THEN 'Luogo di nascita: Rome' END, CASE WHEN c_custkey % 7 = 0 THEN 'Nomi formali: a, b' END, 'Ruolo: ' || c_mktsegment) AS profile FROM customer""")
