@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import stage
+from .shared import column, drop, stage
 
 #: Two primes below 2**31 and a base for each.
 PRIMES, BASES = (2_147_483_647, 2_147_483_629), (911_382_323, 972_663_749)
 #: Code points of a span, and spans that a fingerprint keeps.
 SPAN, KEPT = 16, 64
-#: Documents between two cuts of the order by key, about; beyond MOST_CUTS cuts the stretches are longer, as they are streamed.
-SHARE, MOST_CUTS = 4_096, 1_000
+#: Code points of a stretch of documents, and stretches at most: beyond 1.6 TB they grow longer, as documents stream through them.
+STRETCH, MOST = 8_000_000, 200_000
 
 _powers: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -145,52 +147,67 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch()
 
 
+def _order(key: str = "key") -> list:
+    """The order of documents: descending key, null last; equal keys by a hash of their texts, equal texts in any order."""
+    return [F.col(key).isNull(), F.col(key).desc_nulls_last(), F.col("h"), F.col("salt")]
+
+
+def stretches(rows: DataFrame) -> list[tuple]:
+    """The first (key, h, salt) of each stretch of about STRETCH code points, in order, from rows (key, h, salt, size).
+
+    Only those four numbers of a document are sorted, by ranges; sizes are summed within the ranges, and the sums of
+    the ranges before are added. One row for each stretch comes to the driver.
+    """
+    written = stage(rows.repartitionByRange(*_order()).sortWithinPartitions(*_order()).withColumn("at", F.monotonically_increasing_id()), "fingerprint-order")
+    dealt = written.withColumn("part", F.shiftright("at", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy("part").agg(F.sum("size").alias("n")).select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    total = sums.agg(F.sum("n")).first()[0] or 0
+    long = max(STRETCH, -(-total // MOST))
+    within = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    placed = dealt.withColumn("own", F.sum("size").over(within)).join(F.broadcast(sums), "part").withColumn("stretch", F.floor((F.col("before") + F.col("own") - F.col("size")) / F.lit(long)))
+    firsts = placed.groupBy("stretch").agg(F.min_by(F.struct("key", "h", "salt"), "at").alias("x")).orderBy("stretch").collect()
+    drop(written)
+    return [(r["x"]["key"], r["x"]["h"], r["x"]["salt"]) for r in firsts]
+
+
 def fingerprint(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints every whole text and an edited text, in which the next document's beginning replaces the last third.
 
-    Next is by descending key; the first follows the last. Keys are cut into stretches at approximate quantiles; each
-    stretch also gets the first document of the next one as a guest, so that no text travels twice but those.
+    Next is by descending key; the first follows the last. The order is cut into stretches of about equal length,
+    anywhere, so also within the documents of one key and within equal rows; each stretch is one task, through which
+    documents stream, and also gets the first document of the next one as a guest, so that no text travels twice but
+    those.
 
     Returns key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and kept_chars (how
     many code points text and edited text have in common at the start). A null text is empty; an empty text has an
-    empty fingerprint; null keys come last; equal keys stand in the order of their texts, and those of one key share a
-    stretch; an only document follows itself; an empty table gives an empty result.
+    empty fingerprint; null keys come last; equal keys stand in the order of the xxHash64 values of their texts; an only
+    document follows itself; other columns don't matter; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    counted = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    cuts: list[int] = []
-    if wanted := min(counted // SHARE, MOST_CUTS):
-        at = [i / (wanted + 1) for i in range(1, wanted + 1)]
-        cuts = sorted(set(rows.agg(F.percentile_approx("key", at, 10 * (wanted + 1))).first()[0] or []))
-    # stretch 0 has the largest keys; null keys come after all others, in a stretch of their own
-    found = F.lit(len(cuts)) - F.when(F.col("key").isNull(), -1).otherwise(_place(cuts))
-    placed = rows.withColumn("stretch", found.cast("int"))
-    first = placed.groupBy("stretch").agg(F.max("key").alias("key")).orderBy("stretch").collect()  # a row per stretch
-    if not first:
-        return spark.createDataFrame([], f"{key} long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, kept_chars long")
-    host = {r["stretch"]: first[i - 1]["stretch"] for i, r in enumerate(first)}
-    heads = spark.createDataFrame([(r["stretch"], r["key"], host[r["stretch"]]) for r in first], "h_stretch int, h_key long, host int")
-    guests = (
-        placed.join(F.broadcast(heads), (F.col("stretch") == F.col("h_stretch")) & F.col("key").eqNullSafe(F.col("h_key")))  # fewer than a row per SHARE documents
-        .groupBy("host", "key").agg(F.min("text").alias("text")).select(F.col("host").alias("stretch"), "key", "text", F.lit(True).alias("guest"))
-    )
-    everything = placed.select("stretch", "key", "text", F.lit(False).alias("guest")).unionByName(stage(guests, "fingerprint-guests"))
-    ordered = everything.repartition(len(first), "stretch").sortWithinPartitions("stretch", "guest", F.col("key").desc_nulls_last(), "text")
+    rows = docs.select(column(key).cast("long").alias("key"), F.coalesce(column(text), F.lit("")).alias("text"))
+    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 20)))
+    firsts = stretches(rows.select("key", "h", "salt", (F.length("text") + 64).cast("long").alias("size")))
+    if not firsts:
+        return spark.createDataFrame([], f"`{key}` long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, kept_chars long")
+    cuts = spark.sparkContext.broadcast([_rank(*f) for f in firsts[1:]])  # at most MOST
+
+    def place(keys: pd.Series, known: pd.Series, hashes: pd.Series, salts: pd.Series) -> pd.Series:
+        return pd.Series([bisect.bisect_right(cuts.value, _rank(k if there else None, h, s)) for k, there, h, s in zip(keys.tolist(), known.tolist(), hashes.tolist(), salts.tolist(), strict=True)], dtype="int32")
+
+    placed = rows.withColumn("stretch", F.pandas_udf(place, "int")(F.coalesce("key", F.lit(0)), F.col("key").isNotNull(), "h", "salt"))
+    heads = spark.createDataFrame([(k, h, s, (i - 1) % len(firsts)) for i, (k, h, s) in enumerate(firsts)], "h_key long, h_h long, h_salt long, host int")
+    here = F.col("key").eqNullSafe(F.col("h_key")) & (F.col("h") == F.col("h_h")) & (F.col("salt") == F.col("h_salt"))
+    guests = rows.join(F.broadcast(heads), here).groupBy("host").agg(F.min(F.struct("key", "h", "text")).alias("x")).select(F.col("host").alias("stretch"), "x.key", "x.text", "x.h", F.lit(True).alias("guest"))
+    everything = placed.select("stretch", "key", "text", "h", F.lit(False).alias("guest")).unionByName(stage(guests, "fingerprint-guests"))
+    ordered = everything.repartitionById(len(firsts), F.col("stretch")).sortWithinPartitions("stretch", "guest", F.col("key").desc_nulls_last(), "h", "text")
     out = ordered.select("stretch", "key", "text", "guest").mapInArrow(_walk, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, kept_chars long")
     return out.withColumnRenamed("doc_id", key)
 
 
-def _place(cuts: list[int]):
-    """How many of the cuts the key is above: a nested choice of about log2(len(cuts)) comparisons."""
-
-    def between(low: int, high: int):
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col("key") <= cuts[middle], between(low, middle)).otherwise(between(middle + 1, high))
-
-    return between(0, len(cuts))
+def _rank(key: int | None, h: int, salt: int) -> tuple[bool, int, int, int]:
+    """The place of a document in the order, for comparison."""
+    return (key is None, 0 if key is None else -key, h, salt)
 
 
 def op8_fingerprints(spark, sf_dir: str) -> DataFrame:

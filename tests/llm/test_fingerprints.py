@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import xxhash
 from loomgraph.llm import fingerprints as fp
 
 
@@ -32,14 +33,22 @@ def brute_sketch(t):
     return sorted(found)[: fp.KEPT]
 
 
+def signed(t):
+    v = xxhash.xxh64_intdigest(t.encode(), 42)
+    return v - (1 << 64) if v >> 63 else v
+
+
 def test_query_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(fp, "SHARE", 5)
+    monkeypatch.setattr(fp, "STRETCH", 500)
     r = random.Random(2)
     rows = [(i * 7 % 101, "".join(r.choice("abcdé🙂 ") for _ in range(r.choice([0, 1, 2, 3, 10, 50, 300])))) for i in range(40)]
-    rows += [(500, None), (501, ""), (502, "ab" * 2000), (503, "ab" * 2000), (None, "null key"), (503, "zz tie")]
+    rows += [(500, None), (501, ""), (502, "ab" * 2000), (503, "ab" * 2000), (None, "null key"), (503, "zz tie")] + [(600, "one key and text")] * 12 + [(601, f"one key {i}") for i in range(9)] + [(None, "null key")] * 10
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as stretch", "2 as key", "3 as guest").repartition(3)
     got = fp.fingerprint(docs).collect()
-    order = sorted(((k, t or "") for k, t in rows), key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
+    hashed = docs.selectExpr("doc_id AS key", "xxhash64(coalesce(text, '')) AS h", "monotonically_increasing_id() AS salt", "CAST(length(coalesce(text, '')) + 64 AS BIGINT) AS size")
+    cuts = fp.stretches(hashed)
+    assert len(cuts) > 12 and sum(k == 600 for k, _, _ in cuts) > 1  # also within equal rows
+    order = sorted(((k, t or "") for k, t in rows), key=lambda x: (x[0] is None, -(x[0] or 0), signed(x[1])))
     want = []
     for i, (k, t) in enumerate(order):
         nxt = order[(i + 1) % len(order)][1]
