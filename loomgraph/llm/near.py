@@ -318,7 +318,8 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: Seq
     groups = components(buckets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_alike, "a long, b long"))
     drop(*staged)
     # exact: members of a group, in blocks
-    sized = groups.join(groups.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "root")
+    # sums by group are written before they are joined: Spark may then split the rows of a large group
+    sized = groups.join(stage(groups.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "near-sizes"), "root")
     blocks = F.ceil(F.col("members") / GROUP).cast("int")
     placed = sized.select("root", F.col("node").alias("rep"), blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
     placed = placed.join(copies.select("rep", "copies"), "rep").join(read.select(F.col("at").alias("rep"), whole_text), "rep")
@@ -328,7 +329,7 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: Seq
     links = found.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     classes = components(found.filter("b IS NOT NULL").select("a", "b"))
     summed = copies.join(classes.withColumnRenamed("node", "rep"), "rep", "left").join(links, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    whole = summed.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
+    whole = stage(summed.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size")), "near-classes")
     stands = summed.join(whole, "root").select("sign", "root", "class_id", "class_size", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     known = read.select("at", "key", "sign", *(["row"] if carry else [])).withColumnRenamed("sign", "own")
     out = known.join(stands, F.coalesce("own", F.concat(F.lit("at "), F.col("at").cast("string"))) == F.col("sign"), "left")

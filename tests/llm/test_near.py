@@ -75,6 +75,23 @@ def test_paths_meet():
     assert met >= 199 and unlike < 20
 
 
+def test_split_buckets_keep_pairs():
+    """Pairs at the least similarity whose common buckets are all split, twice: nearly all still share a small bucket."""
+    r = np.random.default_rng(9)
+    places = np.arange(near.SKETCH, dtype=np.uint64) << np.uint64(32)
+    seeds = lambda bucket: near.mix(np.uint64(bucket) + np.arange(1, near.BOOST + 1, dtype=np.uint64))
+    kept = 0
+    for _ in range(150):
+        n = int(r.integers(45, 400))
+        s = near.mix(r.integers(0, 2**63, n + round(n / 9)).astype(np.uint64))
+        x, y = np.sort(s[:n]), np.sort(s[round(n / 9) :])
+        p, q = (near.extend(near.SEEDS, t, near.DEPTH) for t in (x, y))
+        tx, ty = (near.mix(near.sketch(t).astype(np.uint64) | places) for t in (x, y))
+        split = lambda bucket: np.intersect1d(near.extend(seeds(bucket), tx, near.DEEPER), near.extend(seeds(bucket), ty, near.DEEPER))  # noqa: B023, E731
+        kept += any(len(split(c)) for b in np.intersect1d(p, q) for c in split(b))
+    assert kept >= 149 and near.lost_when_split() < 2e-4
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (200, 200), (300, 301), (301, 302), (302, 300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
