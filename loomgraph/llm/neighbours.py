@@ -17,7 +17,9 @@ CANDIDATES, QUERIES, RUN = 2_048, 1_024, 8
 #: So many products of two int8 values are whole numbers in float32.
 EXACT_DIMS = 1_024
 
-BLOCK = "dim int, n int, rows binary, ids binary, vectors binary"
+BLOCK = "dim int, rows binary, ids binary, vectors binary, codes binary, bounds binary"
+
+BLOCK_COLUMNS = [c.split()[0] for c in BLOCK.split(", ")]
 
 
 def usable(vector: Column) -> Column:
@@ -38,10 +40,10 @@ def _pack(most: int):
 
         def block(dim: int) -> pa.RecordBatch:
             rows, ids, vectors = (np.concatenate(x) for x in zip(*held.pop(dim), strict=True))
-            return pa.RecordBatch.from_pydict({
-                "dim": pa.array([dim], pa.int32()), "n": pa.array([len(ids)], pa.int32()), "rows": pa.array([rows.tobytes()], pa.binary()),
-                "ids": pa.array([ids.tobytes()], pa.binary()), "vectors": pa.array([vectors.astype(np.float64).tobytes()], pa.binary()),
-            })
+            vectors = vectors.astype(np.float64)
+            small = Quantised.of(vectors)
+            parts = {"rows": rows, "ids": ids, "vectors": vectors, "codes": small.codes, "bounds": np.stack([small.scale, small.norm, small.off])}
+            return pa.RecordBatch.from_pydict({"dim": pa.array([dim], pa.int32())} | {n: pa.array([x.tobytes()], pa.binary()) for n, x in parts.items()})
 
         for b in batches:
             dims = pa.compute.list_value_length(b["vector"]).to_numpy(zero_copy_only=False)
@@ -62,13 +64,20 @@ def _pack(most: int):
 class Quantised:
     """Rows as int8 values times a scale each, with the norms that bound the error of their products."""
 
-    def __init__(self, vectors: np.ndarray):
-        self.scale = np.abs(vectors).max(axis=1) / 127
-        self.scale[self.scale == 0] = np.finfo(np.float64).tiny  # only of vectors below all normal numbers
-        self.codes = np.clip(np.rint(vectors / self.scale[:, None]), -127, 127)
-        near = self.codes * self.scale[:, None]
-        self.norm, self.off = np.linalg.norm(near, axis=1), np.linalg.norm(vectors - near, axis=1)
-        self.codes = self.codes.astype(np.int8)
+    def __init__(self, codes: np.ndarray, scale: np.ndarray, norm: np.ndarray, off: np.ndarray):
+        self.codes, self.scale, self.norm, self.off = codes, scale, norm, off
+
+    @classmethod
+    def of(cls, vectors: np.ndarray) -> Quantised:
+        scale = np.abs(vectors).max(axis=1) / 127
+        scale[scale == 0] = np.finfo(np.float64).tiny  # only of vectors below all normal numbers
+        codes = np.clip(np.rint(vectors / scale[:, None]), -127, 127)
+        near = codes * scale[:, None]
+        return cls(codes.astype(np.int8), scale, np.linalg.norm(near, axis=1), np.linalg.norm(vectors - near, axis=1))
+
+    @classmethod
+    def read(cls, dim: int, codes: bytes, bounds: bytes) -> Quantised:
+        return cls(np.frombuffer(codes, np.int8).reshape(-1, dim), *np.frombuffer(bounds).reshape(3, -1))
 
     def products(self, other: Quantised) -> tuple[np.ndarray, np.ndarray]:
         """Approximate inner products, and by how much each may be off."""
@@ -105,10 +114,10 @@ def _tiles(k: int):
                     if at is not None:
                         yield result()
                     at, queries = (x["q_block"], x["salt"]), np.frombuffer(x["q_vectors"]).reshape(-1, x["dim"])
-                    small, own, ids = Quantised(queries), np.frombuffer(x["q_rows"], np.int64), np.frombuffer(x["q_ids"], np.int64)
+                    small, own, ids = Quantised.read(x["dim"], x["q_codes"], x["q_bounds"]), np.frombuffer(x["q_rows"], np.int64), np.frombuffer(x["q_ids"], np.int64)
                     heaps = [[] for _ in ids]
                 vectors, rows, names = np.frombuffer(x["vectors"]).reshape(-1, x["dim"]), np.frombuffer(x["rows"], np.int64), np.frombuffer(x["ids"], np.int64)
-                near, off = small.products(Quantised(vectors))
+                near, off = small.products(Quantised.read(x["dim"], x["codes"], x["bounds"]))
                 self_ = own[:, None] == rows[None, :]
                 near[self_] = -np.inf
                 least = np.array([h[0][0] if len(h) == k else -np.inf for h in heaps])
@@ -133,10 +142,10 @@ def _tiles(k: int):
 def search(vectors: DataFrame, is_query: Column, *, key: str = "vec_id", vector: str = "embedding", k: int = 20) -> DataFrame:
     """The k candidates with the largest inner product for each query row; exact.
 
-    Rows are packed into blocks; each block of queries meets all blocks of candidates of its dimension, in runs of
-    RUN blocks per task. In a tile, products of int8 codes give each inner product within a proven error; pairs that
-    can still be among the k best are computed again in double precision and go to one heap per query. A last ranking
-    merges the runs' heaps.
+    Rows are packed into blocks with their int8 codes and error bounds; each block of queries meets all blocks of
+    candidates of its dimension, in runs of about RUN blocks. In a tile, products of int8 codes give each inner product
+    within a proven error; pairs that can still be among the k best are computed again in double precision and go to
+    one heap per query. A last ranking merges the runs' heaps.
 
     Returns query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id. Unusable vectors and rows of null
     key take no part; a query's own row is no candidate, other rows of equal id are; with fewer than k candidates all
@@ -149,12 +158,11 @@ def search(vectors: DataFrame, is_query: Column, *, key: str = "vec_id", vector:
     candidates = stage(rows.select("row", "id", "vector").mapInArrow(_pack(CANDIDATES), BLOCK).withColumn("block", F.monotonically_increasing_id()), "neighbours-candidates")
     queries = stage(rows.filter("is_query").select("row", "id", "vector").mapInArrow(_pack(QUERIES), BLOCK).withColumn("q_block", F.monotonically_increasing_id()), "neighbours-queries")
     spread = max(1, -(-candidates.count() // RUN))
-    named = candidates.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(spread)))
-    asked = queries.select("dim", "q_block", F.col("rows").alias("q_rows"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))).alias("salt"))
-    # each pair of (block of queries, run of candidates) is one key, so that many tasks share one block of queries
-    pairs = queries.select("dim", "q_block").join(named, "dim").select("q_block", "salt", "block", "dim", "rows", "ids", "vectors")
-    tiles = pairs.join(asked.drop("dim"), ["q_block", "salt"]).repartition("q_block", "salt").sortWithinPartitions("q_block", "salt", "block")
-    found = tiles.select("q_block", "salt", "dim", "rows", "ids", "vectors", "q_rows", "q_ids", "q_vectors").mapInArrow(_tiles(k), "query_row long, query_id long, vec_id long, score double")
+    named = candidates.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(spread))).drop("block")
+    asked = queries.select("dim", "q_block", *[F.col(c).alias(f"q_{c}") for c in ("rows", "ids", "vectors", "codes", "bounds")], F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))).alias("salt"))
+    # a block of candidates is shuffled once, to the task of its run, where the join puts it beside every block of queries
+    tiles = asked.join(named, ["salt", "dim"])
+    found = tiles.select("q_block", "salt", *BLOCK_COLUMNS, *[f"q_{c}" for c in BLOCK_COLUMNS if c != "dim"]).mapInArrow(_tiles(k), "query_row long, query_id long, vec_id long, score double")
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -37,5 +37,5 @@ def test_search_equals_brute_force(spark, monkeypatch):
 def test_error_bound_holds():
     r = np.random.default_rng(4)
     a, b = r.normal(size=(50, 1500)) * 10.0 ** r.integers(-3, 3, (50, 1)), r.normal(size=(40, 1500))
-    near, off = neighbours.Quantised(a).products(neighbours.Quantised(b))
+    near, off = neighbours.Quantised.of(a).products(neighbours.Quantised.of(b))
     assert (np.abs(near - a @ b.T) <= off).all()
