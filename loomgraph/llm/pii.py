@@ -92,24 +92,29 @@ _TITLED_CAPITALS = rf"(?:(?:{_TITLE_CAPITALS})\.? ){{1,4}}(?:{_INITIAL} ?){{0,2}
 
 #: Kinds in the order in which they are tried, with the pattern that finds them.
 KINDS = {
-    "email": r"(?:(?<![A-Za-z0-9._%+-])|(?<=(?<![A-Za-z0-9._%+-])[._%+-]{1,8}))[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}",
+    "email": r"(?<![A-Za-z0-9])(?=[A-Za-z0-9])(?:(?<![._%+-])|(?<=(?<![A-Za-z0-9._%+-])[._%+-]{1,8}))[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,255}\b|\bsk-[A-Za-z0-9_-]{20,200}",
-    "secret": r"(?<=(?:\b|_|(?<=[a-z])(?=[A-Z]))(?i:password|passwd|pwd|secret|token|api_key|apikey|api-key|access_key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?)[^\s\"',;<>]{6,}",
+    "secret": r"(?<=[=:\"' \t])(?<=[=:][ \t]{0,3}[\"']?)(?<=(?:\b|_|(?<=[a-z])(?=[A-Z]))(?i:password|passwd|pwd|secret|token|api_key|apikey|api-key|access_key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?)[^\s\"',;<>]{6,}",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ipv6": rf"(?<![\w:])(?=[A-Fa-f:]{{0,34}}[0-9])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,7}}:(?:{_HEX}(?::{_HEX}){{0,5}})?|::{_HEX}(?::{_HEX}){{0,6}})(?![\w:]|\.[0-9])",
     "ipv4": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.[0-9])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "card": r"(?<![\w.+-])(?:4[0-9]{3}|5[1-5][0-9]{2}|2[2-7][0-9]{2}|6011|65[0-9]{2}|64[4-9][0-9]|35[2-8][0-9])(?:[ -]?[0-9]{4}){3}(?!\w)|(?<![\w.+-])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?!\w)",
     # with a country code, but no decimal number; an area in brackets; three, three and four digits; a leading 0; Spanish and French groups
-    "phone": rf"(?<![\w+])\+(?![0-9]+\.[0-9]+(?![0-9.]))(?:[0-9]{{8,14}}(?!\w)|[0-9]{{1,3}}[ .-]?(?:\([0-9]{{2,4}}\) ?|[0-9]{{2,4}}[ .-])[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}(?!\w)|(?=(?:[ ./()-]{{0,3}}[0-9]){{8,15}}(?![0-9]))[0-9]{{1,3}}(?:[ ./-]{{0,2}}(?:\([0-9]{{1,4}}\)|[0-9]{{1,9}})){{1,7}}(?!\w))"
+    "phone": r"(?=[+(0-9])(?:"
+    rf"(?<![\w+])\+(?![0-9]+\.[0-9]+(?![0-9.]))(?:[0-9]{{8,14}}(?!\w)|[0-9]{{1,3}}[ .-]?(?:\([0-9]{{2,4}}\) ?|[0-9]{{2,4}}[ .-])[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}(?!\w)|(?=(?:[ ./()-]{{0,3}}[0-9]){{8,15}}(?![0-9]))[0-9]{{1,3}}(?:[ ./-]{{0,2}}(?:\([0-9]{{1,4}}\)|[0-9]{{1,9}})){{1,7}}(?!\w))"
     rf"|(?<![\w+])(?!\({_YEAR}\) ?{_YEAR})\([0-9]{{2,4}}\) ?[0-9]{{3,4}}[ .-]?[0-9]{{3,4}}(?!\w)"
     r"|(?<![\w+.-])(?:1[ .-])?[2-9][0-9]{2}[ .-][0-9]{3}[ .-][0-9]{4}(?!\w|[.-][0-9])"
     r"|(?<![\w+.-])0[0-9]{1,4}(?<gap>[ -])[0-9]{3,4}\k<gap>?[0-9]{3,4}(?!\w|[.-][0-9])"
-    r"|(?<![\w+.-])(?:0[1-9](?:[ .-][0-9]{2}){4}|[679][0-9]{2}(?:[ .-][0-9]{2}){3}|[679][0-9]{2}(?:[ -][0-9]{3}){2}|9[0-9][ .-][0-9]{3}(?:[ .-][0-9]{2}){2})(?!\w|[ .-][0-9])",
+    r"|(?<![\w+.-])(?:0[1-9](?:[ .-][0-9]{2}){4}|[679][0-9]{2}(?:[ .-][0-9]{2}){3}|[679][0-9]{2}(?:[ -][0-9]{3}){2}|9[0-9][ .-][0-9]{3}(?:[ .-][0-9]{2}){2})(?!\w|[ .-][0-9]))",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}})(?:{_TITLED}|(?:{_GIVEN}) (?:{_INITIAL} )?{_WORD}|{_TITLED_CAPITALS}|(?:{_GIVEN_CAPITALS}) (?:{_INITIAL} )?{_CAPITALS})",
 }
 ENTITY = "|".join(f"(?:{p})" for p in KINDS.values())
+#: The same for texts without an @, in which no address can be found.
+NO_AT = "|".join(f"(?:{p})" for k, p in KINDS.items() if k != "email")
 
+#: What stands for a match while a text is taken apart: a code point that is no character.
+MARK = "\uffff"
 #: After so many attempts a surrogate may be longer than what it replaces.
 ATTEMPTS = 12
 
@@ -117,7 +122,8 @@ ATTEMPTS = 12
 def matches(text: Column) -> Column:
     """The personal data in a text, in order. Texts without a digit, an @ and any word of a name or secret are not searched."""
     gate = F.rlike(text, F.lit(rf"[0-9@]|(?i:password|passwd|pwd|secret|token|api|access_key)|(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}})(?:{_TITLE}|{_GIVEN}|{_GIVEN_CAPITALS})\.? "))
-    return F.when(text.isNotNull() & gate, F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    found = lambda pattern: F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.when(text.isNotNull() & gate, F.when(F.contains(text, F.lit("@")), found(ENTITY)).otherwise(found(NO_AT))).otherwise(F.array().cast("array<string>"))
 
 
 def kind_of(match: Column) -> Column:
@@ -318,7 +324,9 @@ def replace(docs: DataFrame, *, text: str = "text", key: str = "surrogates", cou
         return lay(f["match"], f["kind"], value(unit["kind"], unit["norm"], unit["norm"]))
 
     fresh = F.transform("found", lambda f: F.when(f["kind"] == "none", f["match"]).when(f["kind"] == "name", named(f["match"])).otherwise(laid(f)))
-    gaps = F.split(F.col("row").getField(text), ENTITY, -1)
+    whole = F.col("row").getField(text)
+    # split() would compile the long pattern again for every row; a text that holds the mark itself takes that way
+    gaps = F.when(F.contains(whole, F.lit(MARK)), F.split(whole, ENTITY, -1)).otherwise(F.split(F.when(F.contains(whole, F.lit("@")), F.regexp_replace(whole, ENTITY, MARK)).otherwise(F.regexp_replace(whole, NO_AT, MARK)), MARK, -1))
     rewritten = F.array_join(F.zip_with(gaps, fresh, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
     changed = joined.select("row", rewritten.alias("_text"), private.alias("_n")).select(*[F.col("_text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in names], *([F.col("_n").alias(count)] if count else []))
     return clean.unionByName(changed)

@@ -85,7 +85,7 @@ def test_usual_forms_are_found(spark):
 
 def test_no_row_goes_and_names_stay_one(spark):
     """Titles without a name, and one person under several titles, with an initial or a possessive s."""
-    texts = ["Herr Dr. Müller kam.", "Dear Miss Miss, hello", "We met Dr Prof today", "Mr Mr Mr", "John Smith, Dr John Smith, Mr John Smith and Mr. J. Smith met Smith's friend Mr Smith's son", "Dr Ravi Kumar", "Mr Ravi Kumar", "Mr. Dr. Prof. Ravi Kumar-Lee", "Prof. Dr Kumar", "John F. Smith"]
+    texts = ["Herr Dr. Müller kam.", "Dear Miss Miss, hello", "We met Dr Prof today", "Mr Mr Mr", "John Smith, Dr John Smith, Mr John Smith and Mr. J. Smith met Smith's friend Mr Smith's son", "Dr Ravi Kumar", "Mr Ravi Kumar", "Mr. Dr. Prof. Ravi Kumar-Lee", "Prof. Dr Kumar", "John F. Smith", "\uffffa@b.org \uffff c@d.org", "e@f.org"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").selectExpr("*", "1 as `a.b`", "2 as row", "3 as map")
     out = pii.replace(docs)
     assert out.columns == docs.columns
@@ -96,6 +96,7 @@ def test_no_row_goes_and_names_stay_one(spark):
     ravi, kumar = got[5].split()[1:]
     assert got[6] == f"Mr {ravi} {kumar}" and got[7].startswith(f"Mr. Dr. Prof. {ravi} ") and got[8] == f"Prof. Dr {kumar}" and ravi.endswith(tuple(pii.ENDINGS["latin"]["m"]))
     assert got[9] == f"{given} F. {surname}"
+    assert re.fullmatch("\uffff[a-z]@[a-z].org \uffff [a-z]@[a-z].org", got[10]) and "a@b" not in got[10] and re.fullmatch("[a-z]@[a-z].org", got[11])
 
 
 def test_numbers_secrets_and_checksums(spark):
