@@ -108,18 +108,20 @@ query("one_hop", resolved(lambda n, e: graph.one_hop(n.filter("type = 'Phase'"),
 query("node_trim", resolved(lambda n, e: graph.trimmed(n.filter("type = 'Phase'"), graph.one_hop(n.filter("type = 'Phase'"), e).select(F.col("target").alias("id")), n, 40)),
       RESOLVED + ", s AS (SELECT id FROM res WHERE type = 'Phase'), h AS (SELECT target AS id FROM edg WHERE source IN (SELECT id FROM s) UNION SELECT source FROM edg WHERE target IN (SELECT id FROM s)), a AS (SELECT id, min(ring) AS ring FROM (SELECT id, 0 AS ring FROM s UNION ALL SELECT id, 1 FROM h) GROUP BY id), k AS (SELECT id, min(type) AS type, sum(n_provenances) AS n FROM res GROUP BY id) SELECT id, type, ring FROM a JOIN k USING (id) ORDER BY ring, n >= 20, CASE type WHEN 'Event' THEN 0 WHEN 'Person' THEN 1 WHEN 'Place' THEN 2 WHEN 'Phase' THEN 3 WHEN 'Era' THEN 4 WHEN 'Theme' THEN 5 WHEN 'Reflection' THEN 6 WHEN 'Work' THEN 7 ELSE 9 END, id LIMIT 40")
 query("caps_intermediates", lambda n, e: graph.caps(e.filter("type IN ('FOLLOWS', 'CAUSED')").select(F.col("source_id").alias("source"), F.col("target_id").alias("target"))), "WITH f AS (SELECT source_id AS s, target_id AS t FROM edge_occ WHERE type IN ('FOLLOWS', 'CAUSED')), u AS (SELECT s AS id, 1 AS a, 0 AS b FROM f UNION ALL SELECT t, 0, 1 FROM f) SELECT id, CASE WHEN max(a) = 0 THEN 'cap' WHEN max(b) = 1 THEN 'intermediate' ELSE 'leaf' END AS part, CAST(sum(b) AS BIGINT) AS n_under FROM u GROUP BY id")
-query("acyclic_check", lambda n, e: graph.peel(e.filter("type = 'OCCURS_IN'").select(F.col("source_id").alias("source"), F.col("target_id").alias("target")).distinct()).agg(F.count(F.lit(1)).alias("n_left")), "SELECT CAST(0 AS BIGINT) AS n_left FROM edge_occ LIMIT 1")
 
 
-def _ring(n: DataFrame, e: DataFrame) -> DataFrame:
-    """Places that follow each other in rings of the orders: break the cycles."""
+def _rings(e: DataFrame) -> DataFrame:
+    """Phases and eras that lead to each other: the edges back to one phase make rings."""
     moves = e.filter("type = 'OCCURS_IN'").groupBy("source_id", "target_id").agg(F.round(F.max("confidence"), 6).alias("confidence"), F.min("pos").alias("pos"))
     back = moves.select(F.col("target_id").alias("source"), F.col("source_id").alias("target"), F.round(F.col("confidence") - 0.1, 6).alias("confidence"), (F.col("pos") + 1).alias("pos"))
     both = moves.select(F.col("source_id").alias("source"), F.col("target_id").alias("target"), "confidence", "pos").unionByName(back.filter("target = 'ph_1'"))
-    return graph.break_cycles(both)[1].select("source", "target", "confidence")
+    return both
 
 
-query("cycle_break", _ring, None)
+_RINGS = """e AS (SELECT source_id AS s, target_id AS t FROM edge_occ WHERE type = 'OCCURS_IN' GROUP BY ALL UNION SELECT target_id, source_id FROM edge_occ WHERE type = 'OCCURS_IN' AND source_id = 'ph_1' GROUP BY ALL),
+r AS (SELECT s AS a, t AS b FROM e UNION SELECT r.a, e.t FROM r JOIN e ON e.s = r.b), c AS (SELECT a FROM r WHERE a = b), h AS (SELECT b AS x FROM r WHERE a IN (SELECT a FROM c))"""
+query("acyclic_check", lambda n, e: graph.peel(_rings(e).select("source", "target")).agg(F.count(F.lit(1)).alias("n_left")), f"WITH RECURSIVE {_RINGS} SELECT count(*) AS n_left FROM e WHERE s IN (SELECT x FROM h)")
+query("cycle_break", lambda n, e: graph.break_cycles(_rings(e))[1].select("source", "target", "confidence"), None)
 query("reciprocal", lambda n, e: graph.reciprocal(e.filter("type = 'OCCURS_IN'").select(F.col("source_id").alias("source"), F.col("target_id").alias("target"), "type").unionByName(e.filter("type = 'OCCURS_IN' AND source_id < 'ph_3'").select(F.col("target_id").alias("source"), F.col("source_id").alias("target"), "type")), "OCCURS_IN"), "WITH o AS (SELECT DISTINCT source_id, target_id FROM edge_occ WHERE type = 'OCCURS_IN' AND source_id < 'ph_3') SELECT least(source_id, target_id) AS source, greatest(source_id, target_id) AS target FROM o")
 query("type_counts", lambda n, e: metrics.type_counts(n), "WITH t AS (SELECT unnest(['Person', 'Event', 'Place', 'Phase', 'Theme', 'Reflection', 'Work', 'Era']) AS type), c AS (SELECT type, count(DISTINCT id) AS n FROM node_occ GROUP BY type) SELECT type, coalesce(n, 0) AS n, true AS in_schema FROM t LEFT JOIN c USING (type)")
 query("confidence_stats", lambda n, e: metrics.confidence_stats(n), "SELECT type, count(*) AS n, round(avg(confidence), 6) AS mean, min(confidence) AS least, max(confidence) AS most, round(quantile_cont(confidence, 0.1), 6) AS p10, round(quantile_cont(confidence, 0.25), 6) AS p25, round(quantile_cont(confidence, 0.5), 6) AS median, round(quantile_cont(confidence, 0.75), 6) AS p75, round(quantile_cont(confidence, 0.9), 6) AS p90, count(*) FILTER (confidence < 0.5::DOUBLE) AS below_50, count(*) FILTER (confidence < 0.7::DOUBLE) AS below_70, count(*) FILTER (confidence < 0.9::DOUBLE) AS below_90 FROM node_occ GROUP BY type")

@@ -23,7 +23,12 @@ def query(name: str, table: str, function: Callable[[DataFrame], DataFrame], sql
 query("norm_header_footer", "documents", lambda d: d.select("doc_id", F.md5(t.collapse(F.col("text"))).alias("norm")), r"SELECT doc_id, md5(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS norm FROM documents")
 _lig = lambda: F.concat(F.col("text"), F.lit(" ofﬁce ﬂy aﬄict​"))
 query("char_normalise", "documents", lambda d: d.select("doc_id", F.md5(t.normalise_characters(_lig())).alias("clean"), t.ligatures(_lig()).alias("n")), "SELECT doc_id, md5(text || ' office fly afflict') AS clean, 3 AS n FROM documents")
-query("dehyphenate", "documents", lambda d: d.select("doc_id", F.length(t.dehyphenate(F.replace(F.col("text"), F.lit(".\n"), F.lit("-\n")))).alias("n"), t.broken_words(F.replace(F.col("text"), F.lit(".\n"), F.lit("-\n"))).alias("n_joined")), None)
+query("dehyphenate", "documents", lambda d: d.select("doc_id", F.length(t.dehyphenate(F.replace(F.col("text"), F.lit(".\n"), F.lit("-\n")))).alias("n"), t.broken_words(F.replace(F.col("text"), F.lit(".\n"), F.lit("-\n"))).alias("n_joined")), r"""
+WITH l AS (SELECT doc_id, unnest(range(len(x))) AS i, unnest(x) AS line FROM (SELECT doc_id, string_split(replace(text, '.' || chr(10), '-' || chr(10)), chr(10)) AS x FROM documents WHERE text IS NOT NULL)),
+n AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM l),
+k AS (SELECT *, next IS NOT NULL AND regexp_matches(line, '[\p{L}\p{N}]-[ \t]*$') AND regexp_matches(next, '^[ \t]*[\p{L}\p{N}_]') AS hit FROM n)
+SELECT doc_id, CAST(sum(length(line)) + count(*) - 1 - coalesce(sum(length(regexp_extract(line, '-[ \t]*$')) + 1 + length(regexp_extract(next, '^[ \t]*'))) FILTER (hit), 0) AS INTEGER) AS n, CAST(count(*) FILTER (hit) AS INTEGER) AS n_joined FROM k GROUP BY doc_id
+UNION ALL SELECT doc_id, NULL, NULL FROM documents WHERE text IS NULL""")
 _RULES = [("blanks", "[ \t]+", " "), ("signs", "[*#%&$]+", ""), ("shout", "!!+", "!"), ("numbers", "[0-9]{3,}", "<n>")]
 query("rule_fold", "documents", lambda d: segment.rule_fold(d, _RULES).select("doc_id", *[f"n_{r[0]}" for r in _RULES], F.md5("clean").alias("clean")),
       "WITH a AS (SELECT doc_id, text AS t0 FROM documents), " + ", ".join(f"{'bcde'[i]} AS (SELECT *, CAST(len(regexp_extract_all(t{i}, '{p}')) AS INTEGER) AS n_{n}, regexp_replace(t{i}, '{p}', '{r}', 'g') AS t{i + 1} FROM {'abcd'[i]})" for i, (n, p, r) in enumerate(_RULES)) + " SELECT doc_id, n_blanks, n_signs, n_shout, n_numbers, md5(t4) AS clean FROM e")
@@ -32,7 +37,7 @@ query("inspect_lonely_digits", "documents", lambda d: d.select("doc_id", t.lonel
 _ALLOWED = "a-zA-Z0-9 \\n.,;:!?()'\"-"
 query("inspect_rare_chars", "documents", lambda d: d.select(F.explode(F.split(F.regexp_replace("text", f"[{_ALLOWED}]", ""), "")).alias("char")).filter("char <> ''").groupBy("char").agg(F.count(F.lit(1)).alias("n")), f"SELECT char, count(*) AS n FROM (SELECT unnest(string_split(regexp_replace(text, '[{_ALLOWED.replace(chr(39), chr(39) * 2)}]', '', 'g'), '')) AS char FROM documents) WHERE char <> '' GROUP BY char")
 query("inspect_repeat_punct", "documents", lambda d: d.select("doc_id", t.repeated_signs(F.col("text")).alias("n")), r"SELECT doc_id, CAST(len(regexp_extract_all(text, '\.{3,}|,{3,}|;{3,}|:{3,}|!{3,}|\?{3,}|…{3,}')) AS INTEGER) AS n FROM documents")
-query("inspect_isolated_caps", "documents", lambda d: d.select("doc_id", t.isolated_capitals(F.col("text")).alias("n")), None)
+query("inspect_isolated_caps", "documents", lambda d: d.select("doc_id", t.isolated_capitals(F.col("text")).alias("n")), r"SELECT doc_id, CAST(len(regexp_extract_all(text, '[a-zà-ÿ][A-ZÀ-Þ][\s.,;:!?]')) AS INTEGER) AS n FROM documents")
 query("name_normalise", "customer", lambda d: d.select("c_custkey", t.name_norm(F.concat(F.lit("  "), "c_name", F.lit("  of "), "c_mktsegment")).alias("norm")), r"SELECT c_custkey, lower(trim(regexp_replace('  ' || c_name || '  of ' || c_mktsegment, '\s+', ' ', 'g'))) AS norm FROM customer")
 query("slugify", "part", lambda d: d.select("p_partkey", t.slug(F.concat(F.lit("È "), "p_name", F.lit(" / "), "p_type")).alias("slug")), "SELECT p_partkey, trim(regexp_replace(lower('E ' || p_name || ' / ' || p_type), '[^a-z0-9]+', '_', 'g'), '_') AS slug FROM part")
 query("truncate", "documents", lambda d: d.select("doc_id", t.truncate(F.col("text"), 100).alias("short")), r"WITH a AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS f FROM documents) SELECT doc_id, CASE WHEN length(f) > 100 THEN rtrim(substr(f, 1, 99)) || '…' ELSE f END AS short FROM a")
