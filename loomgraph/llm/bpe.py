@@ -10,15 +10,18 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import tidy
+
 #: Code points of a chunk without its overlap, and of the overlap with the next chunk.
 CHUNK, OVERLAP = 32_768, 1_024
 #: A match this close to the end of a chunk could change if more text followed.
 MARGIN = 4
 #: Pieces whose ids a worker remembers; it forgets all when full. Texts that are worked on at once.
-CACHE_PIECES, SLICE = 100_000, 256
+CACHE_PIECES, SLICE = 50_000, 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -57,6 +60,18 @@ def lengths_of(pieces: list[str]) -> list[int]:
     return [len(p) for p in pieces]
 
 
+#: The codec of a worker, which goes on to other tasks.
+_codecs: dict[str, Codec] = {}
+
+
+def codec_of(name: str, shared: Broadcast) -> Codec:
+    """The codec from broadcast ranks and pattern, made once in a worker; a function of the module, as it keeps it there."""
+    if name not in _codecs:
+        _codecs.clear()
+        _codecs[name] = Codec(*shared.value)
+    return _codecs[name]
+
+
 def stitch(chunks: list[tuple[int, str, list[int]]], pieces: Callable[[str], list[str]]) -> list[str]:
     """The pieces of a text from (start, text, lengths of its pieces) of its overlapping chunks, in order.
 
@@ -115,12 +130,10 @@ def encode(docs: DataFrame, *, ranks_path: str, pattern: str, key: str = "doc_id
     last = F.greatest(F.lit(0), F.ceil((F.length("text") - overlap) / F.lit(chunk)) - 1).cast("int")
     result = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + [("ids", pa.list_(pa.int32()))] * keep_ids + [("decoded", pa.binary())] * keep_bytes
     types = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids + ", decoded binary" * keep_bytes
-    state: dict = {}
+    name = f"{ranks_path} {pattern}"
 
     def codec() -> Codec:
-        if "codec" not in state:
-            state["codec"] = Codec(*shared.value)
-        return state["codec"]
+        return codec_of(name, shared)
 
     def told(keys: pa.Array, found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
         columns = {"n_tokens": [len(i) // 4 for i, _ in found], "ids_sha256": [hashlib.sha256(i).hexdigest() for i, _ in found], "decoded_sha256": [hashlib.sha256(d).hexdigest() for _, d in found]}
@@ -154,12 +167,12 @@ def encode(docs: DataFrame, *, ranks_path: str, pattern: str, key: str = "doc_id
                 yield told(b["key"].slice(at, 1), [_digests(c, pieces)])
 
     kind = docs.schema[key].dataType.simpleString()
-    short = rows.filter(last == 0).mapInArrow(whole, f"key {kind}, {types}")
+    short = rows.filter(last == 0).mapInArrow(tidy(whole), f"key {kind}, {types}")
     long_ = rows.filter(last > 0).withColumn("row", F.monotonically_increasing_id())
     long_ = long_.select("row", "key", F.explode(F.sequence(F.lit(0), last)).alias("no"), "text").select("row", "key", "no", F.substring("text", F.col("no") * chunk + 1, F.lit(chunk + overlap)).alias("piece"))
-    seen = long_.repartition("row", "no").mapInArrow(cut, f"row bigint, key {kind}, no int, piece string, lengths array<int>")
+    seen = long_.repartition("row", "no").mapInArrow(tidy(cut), f"row bigint, key {kind}, no int, piece string, lengths array<int>")
     packed = seen.groupBy("row").agg(F.first("key").alias("key"), F.array_sort(F.collect_list(F.struct("no", "piece", "lengths"))).alias("chunks"))
-    out = short.unionByName(packed.select("key", "chunks").mapInArrow(joined, f"key {kind}, {types}"))
+    out = short.unionByName(packed.select("key", "chunks").mapInArrow(tidy(joined), f"key {kind}, {types}"))
     return out.select(F.col("key").alias(key), *[n for n, _ in result])
 
 

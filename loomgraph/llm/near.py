@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructType
 
 from ..operators.graph import components
-from .shared import column, drop, stage, unpacked, whole_row
+from .shared import column, drop, stage, tidy, unpacked, whole_row
 
 #: Words of a shingle, and the similarity from which two documents are linked, as a fraction.
 WORDS, SIMILAR = 5, (4, 5)
@@ -90,8 +90,8 @@ def extend(paths: np.ndarray, tokens: np.ndarray, levels: int) -> np.ndarray:
     bound = np.uint64(min(2**64 - 1, int(chance * 2**64)))
     for _ in range(levels):
         grown = []
-        for at in range(0, len(tokens), 1 << 15):
-            part = tokens[at : at + (1 << 15)]
+        for at in range(0, len(tokens), 1 << 13):
+            part = tokens[at : at + (1 << 13)]
             for p in range(0, len(paths), 64):
                 own = paths[p : p + 64]
                 i, j = np.nonzero((part[None, :] ^ own[:, None]) * C1 <= bound)
@@ -107,8 +107,8 @@ SALTS = mix(np.arange(1_001, 1_001 + SKETCH, dtype=np.uint64) * C1)
 def sketch(s: np.ndarray) -> np.ndarray:
     """MinHash values: two sets agree on each with a chance of their similarity."""
     least = np.full(SKETCH, 2**64 - 1, np.uint64)
-    for at in range(0, len(s), 1 << 14):
-        least = np.minimum(least, ((s[None, at : at + (1 << 14)] ^ SALTS[:, None]) * C1).min(axis=1))
+    for at in range(0, len(s), 1 << 13):
+        least = np.minimum(least, ((s[None, at : at + (1 << 13)] ^ SALTS[:, None]) * C1).min(axis=1))
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
@@ -282,7 +282,7 @@ def _buckets(sets: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     for _ in range(ROUNDS):
         if large.isEmpty():
             return out.drop("n"), staged
-        split = stage(large.select("bucket", "rep", "sketch").mapInArrow(_deeper, "bucket long, rep long, sketch binary").withColumn("n", size).filter("n > 1"), "near-split")
+        split = stage(large.select("bucket", "rep", "sketch").mapInArrow(tidy(_deeper), "bucket long, rep long, sketch binary").withColumn("n", size).filter("n > 1"), "near-split")
         staged.append(split)
         out, large = out.unionByName(split.filter(F.col("n") <= BUCKET)), split.filter(F.col("n") > BUCKET)
     blocks = F.ceil(F.col("n") / BUCKET).cast("int")
@@ -309,13 +309,13 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: Seq
     inside = text if text in carry else None  # a text is written once
     rows = docs.select(F.monotonically_increasing_id().alias("at"), column(key).alias("key"), *([] if inside else [column(text).alias("text")]), *whole_row(carry))
     schema = StructType(list(rows.schema.fields)).add("sign", StringType()).add("size", IntegerType()).add("paths", ArrayType(LongType())).add("sketch", BinaryType())
-    read = stage(rows.mapInArrow(lambda batches: _read(batches, inside), schema), "near-read")
+    read = stage(rows.mapInArrow(tidy(lambda batches: _read(batches, inside)), schema), "near-read")
     whole_text = (F.col("row").getField(inside) if inside else F.col("text")).alias("text")
     copies = read.filter("sign IS NOT NULL").groupBy("sign").agg(F.min("at").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("key").alias("least"))
     copies = stage(copies, "near-copies")
     sets = read.select(F.col("at").alias("rep"), "paths", "sketch").join(copies.select("rep"), "rep")
     buckets, staged = _buckets(sets)
-    groups = components(buckets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_alike, "a long, b long"))
+    groups = components(buckets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_alike), "a long, b long"))
     drop(*staged)
     # exact: members of a group, in blocks
     # sums by group are written before they are joined: Spark may then split the rows of a large group
@@ -325,7 +325,7 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: Seq
     placed = placed.join(copies.select("rep", "copies"), "rep").join(read.select(F.col("at").alias("rep"), whole_text), "rep")
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
     dealt = paired.repartition("root", "one", "two").sortWithinPartitions("root", "one", "two", "rep").select("root", "one", "two", "block", "rep", "copies", "text")
-    found = stage(dealt.mapInArrow(_verify, "a long, b long, links long"), "near-links")
+    found = stage(dealt.mapInArrow(tidy(_verify), "a long, b long, links long"), "near-links")
     links = found.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     classes = components(found.filter("b IS NOT NULL").select("a", "b"))
     summed = copies.join(classes.withColumnRenamed("node", "rep"), "rep", "left").join(links, "rep", "left").withColumn("root", F.coalesce("root", "rep"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from .shared import column, drop, stage, unpacked, whole_row
+from .shared import column, drop, give_back, stage, tidy, unpacked, whole_row
 
 #: Letters of an n-gram, and bits of a letter in its code. The n-gram's length stands above the letters.
 ORDER, BITS, TAG = 4, 15, 60
@@ -89,7 +89,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def count(trusted: DataFrame) -> DataFrame:
     """(gram, n): the longest n-grams of the column `text`."""
-    return trusted.select("text").mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return trusted.select("text").mapInArrow(tidy(_count), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def train(counts: DataFrame) -> tuple[DataFrame, float]:
@@ -176,6 +176,7 @@ def _scorer(unseen: float, kept: list[str], inside: str | None) -> Callable[[pa.
         for b in docs.to_batches():
             for at in range(0, b.num_rows, 1_024):
                 found += surprises(_texts(b.slice(at, 1_024), inside).to_pylist(), grams, share, rest, unseen)
+        give_back()
         return docs.select(kept).append_column("surprise", pa.array(found, pa.float64()))
 
     return run
@@ -193,7 +194,7 @@ def _scored(rows: DataFrame, model: DataFrame, unseen: float, inside: str | None
     blocks = max(1, -(-size // BLOCK))
     spread = F.xxhash64(F.monotonically_increasing_id(), "key")
     dealt = rows.withColumn("block", F.pmod(spread, F.lit(blocks))).repartition(blocks, "block")
-    asked = dealt.mapInArrow(lambda batches: _asked(batches, inside), "block long, gram long")
+    asked = dealt.mapInArrow(tidy(lambda batches: _asked(batches, inside)), "block long, gram long")
     answers = asked.join(model, "gram").select("block", "gram", "share", "rest")
     kept = [c for c in rows.columns if c != "text"]
     result = StructType([f for f in rows.schema.fields if f.name != "text"]).add("surprise", DoubleType())

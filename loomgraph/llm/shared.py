@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.staging import drop, stage
 
-__all__ = ["WORD", "column", "drop", "stage", "unpacked", "whole_row", "word_count"]
+__all__ = ["WORD", "column", "drop", "give_back", "stage", "tidy", "unpacked", "whole_row", "word_count"]
 
 #: White space as the contracts count it: blank, tab, line feed to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,3 +35,23 @@ def whole_row(names: Sequence[str]) -> list[Column]:
 def unpacked(names: Sequence[str]) -> list[Column]:
     """The columns that whole_row() packed."""
     return [F.col("row").getField(n).alias(n) for n in names]
+
+
+def tidy(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """function over batches, after which a worker, which goes on to other tasks, gives back the memory that it freed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
