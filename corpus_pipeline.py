@@ -9,9 +9,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.functions.staging import owned, release, stage
+from loomgraph.functions.staging import owned, release
 from loomgraph.llm import bpe, mixing, near, pii, quality
-from loomgraph.llm.shared import column
+from loomgraph.llm.shared import column, stage
 
 
 def _stage(name: str, before: str | None):

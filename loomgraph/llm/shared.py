@@ -6,10 +6,11 @@ import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.staging import drop, stage
+from ..functions.staging import drop
+from ..functions.staging import stage as _stage
 
 __all__ = ["WORD", "column", "drop", "give_back", "stage", "tidy", "unpacked", "whole_row", "word_count"]
 
@@ -17,6 +18,11 @@ __all__ = ["WORD", "column", "drop", "give_back", "stage", "tidy", "unpacked", "
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """A staged table whose joins Spark chooses by its size, as the operators here were measured."""
+    return _stage(df, name, merge=False)
+
+
 def word_count(text: Column) -> Column:
     """Number of runs of characters other than white space; 0 for null."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
