@@ -4,8 +4,9 @@ import random
 
 import numpy as np
 from loomgraph.functions import staging
-from loomgraph.operators import resolve, retrieve, similar
-from loomgraph.plans import catalog
+from loomgraph.operators import health, resolve, retrieve, similar
+from loomgraph.plans import catalog, health_queries
+from loomgraph.sources import adapter
 from loomgraph.sources.adapter import nodes
 
 SF = "/root/testdata/sf0.001"
@@ -53,3 +54,42 @@ def test_names_stand_for_occurrences(spark):
     n = nodes(spark, SF)
     for f in (resolve.merge_decisions, resolve.split_map, resolve.type_collisions):
         assert sorted(map(str, f(n).collect())) == sorted(map(str, f(resolve.names(n)).collect()))
+
+
+def test_line_items_meet_parts_once(spark):
+    for made, sql in ((adapter.nodes, adapter.NODES), (adapter.edges, adapter.EDGES)):
+        once, want = made(spark, SF), adapter.occurrences(spark, SF, sql)
+        assert plan(once).count("part.parquet") == 1 and once.dtypes == want.dtypes
+        assert once.exceptAll(want).isEmpty() and want.exceptAll(once).isEmpty()
+
+
+def test_occurrences_are_not_written(spark, monkeypatch):
+    written = []
+    for module in (resolve, health, health_queries):
+        monkeypatch.setattr(module, "stage", lambda df, name: written.append(name) or staging.stage(df, name))
+    catalog.QUERIES["resolved_queue"](spark, SF)
+    assert "typed" in written and not {"occurrences", "edges"} & {*written}
+    catalog.QUERIES["resolved_checks"](spark, SF)
+    assert "edges" in written and "occurrences" not in written
+
+
+def test_typed_edges_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "MOST", 7)
+    r = random.Random(5)
+    some = lambda *of: r.choice([None, *of])
+    at = [(some("c1", "c2", "c3"), some(1, 2, 3), some("a", "b", "hub"), some("Event", "Work")) for _ in range(60)]
+    edges = [(some("c1", "c2", "c4"), some("a", "b", "x"), some("a", "hub"), "T", i) for i in range(80)]
+    low = lambda x: (x is not None, x or 0)
+    def kind(chunk, id_):
+        there = sorted(((low(p), (t is not None, t or ""), t) for c, p, i, t in at if c == chunk and i == id_), key=lambda x: x[:2])
+        return there[0][2] if there and chunk is not None and id_ is not None else None
+    got = resolve.typed_edges(spark.createDataFrame(at, "chunk_id string, pos long, id string, type string"), spark.createDataFrame(edges, "chunk_id string, source_id string, target_id string, type string, n int"), 60)
+    assert "Join" not in plan(got)
+    assert sorted(got.collect(), key=lambda x: x.n) == [(*e, kind(e[0], e[1]), kind(e[0], e[2])) for e in edges]
+
+
+def test_ends_of_edges_are_counted(spark):
+    nodes_ = spark.createDataFrame([("a", "Event"), ("b", "Era"), ("b", "Theme"), (None, "Event")], "id string, type string")
+    edges_ = spark.createDataFrame([("a", "b"), ("a", "x"), (None, "x"), ("y", "y")], "source string, target string")
+    assert health._dangling(nodes_, edges_).first()["n_dangling"] == 5
+    assert health._dangling(nodes_, edges_.limit(0)).first()["n_dangling"] == 0
