@@ -1,6 +1,7 @@
 """What large tables need: no broadcast of tables that grow, bounded tasks, and the same results in small blocks."""
 
 import random
+from functools import reduce
 
 import numpy as np
 from loomgraph.functions import staging
@@ -93,3 +94,28 @@ def test_ends_of_edges_are_counted(spark):
     edges_ = spark.createDataFrame([("a", "b"), ("a", "x"), (None, "x"), ("y", "y")], "source string, target string")
     assert health._dangling(nodes_, edges_).first()["n_dangling"] == 5
     assert health._dangling(nodes_, edges_.limit(0)).first()["n_dangling"] == 0
+
+
+def test_a_task_gives_the_best_of_all_its_vectors(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    v = np.round(r.normal(size=(90, 5)), 1)
+    v[40:60], v[60], v[61] = v[3], v[3] * 1e35, v[5] * 1e-30  # ties, what single precision can't hold
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    df = spark.createDataFrame([*rows, (90, None), (91, [float("nan")] * 5), (3, (-v[3]).tolist())], "id long, v array<double>").repartition(3)
+    given = [*rows, (3, (-v[3]).tolist())]
+    score = lambda x, y: reduce(lambda s, ab: s + ab[0] * ab[1], zip(x, y, strict=True), 0.0)
+    monkeypatch.setattr(similar, "BLOCK", 4)
+    for run in (2, 100):
+        monkeypatch.setattr(similar, "RUN", run)
+        found = similar.nearest(spark.createDataFrame(rows, "id long, v array<double>"), df, 3, 0.5, others_only=True)
+        near = {i: [(score(x, w), j) for j, w in given if j != i and score(x, w) >= 0.5] for i, x in rows}
+        want = {(i, j, s) for i, of in near.items() for s, j in sorted(of, key=lambda y: (-y[0], y[1]))[:3]}
+        assert {(x.q_id, x.id, x.score) for x in found.collect()} == want
+        pairs = {}
+        for i, x in given:
+            for j, y in given:
+                if i < j and score(x, y) >= 0.5:
+                    pairs[i, j] = max(score(x, y), pairs.get((i, j), 0.5))
+        assert {(x.id_a, x.id_b): x.cosine for x in similar.cosine_pairs(df, None, 0.5).collect()} == pairs
+        if run == 100:  # of one task no more than the best leave
+            assert similar._found(df, df, 3, 0.5, True, False).count() <= 3 * len(given)
