@@ -5,7 +5,7 @@ from functools import reduce
 
 import numpy as np
 from loomgraph.functions import staging
-from loomgraph.operators import health, resolve, retrieve, similar
+from loomgraph.operators import cluster, health, resolve, retrieve, similar
 from loomgraph.plans import catalog, health_queries
 from loomgraph.sources import adapter
 from loomgraph.sources.adapter import nodes
@@ -119,3 +119,21 @@ def test_a_task_gives_the_best_of_all_its_vectors(spark, monkeypatch):
         assert {(x.id_a, x.id_b): x.cosine for x in similar.cosine_pairs(df, None, 0.5).collect()} == pairs
         if run == 100:  # of one task no more than the best leave
             assert similar._found(df, df, 3, 0.5, True, False).count() <= 3 * len(given)
+
+
+def test_echoes_look_no_further_than_others_took(spark, monkeypatch):
+    v = np.random.default_rng(9).normal(size=(40, 3)) + 1.5  # near each other, so that many take the same
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    events = spark.createDataFrame([(i, x.tolist(), i) for i, x in enumerate(v)], "id long, v array<double>, ord long")
+    score = lambda i, j: reduce(lambda s, ab: s + ab[0] * ab[1], zip(v[i], v[j], strict=True), 0.0)
+    took = set()
+    for i in range(40):
+        partners = sorted((-score(i, j), j) for j in range(40) if abs(i - j) >= 3 and score(i, j) >= 0.5 and (j, i) not in took)
+        took |= {(i, j) for _, j in partners[:2]}
+    read, real = [], cluster.stage
+    monkeypatch.setattr(cluster, "stage", lambda df, name: read.append((name, real(df, name))) or read[-1][1])
+    for first in (2, 32):
+        monkeypatch.setattr(cluster, "FIRST", first)
+        got = cluster.echoes(events, 0.5, 3, 2).select("a", "b").collect()
+        assert {tuple(x) for x in got} == {(min(p), max(p)) for p in took}
+    assert [df.groupBy("event").count().agg({"count": "max"}).first()[0] for name, df in read if name == "echo-first"] == [2, 32]
