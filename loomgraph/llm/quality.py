@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from .shared import column, drop, give_back, stage, tidy, unpacked, whole_row
+from .shared import column, drop, free_shuffles, give_back, stage, tidy, unpacked, whole_row
 
 #: Letters of an n-gram, and bits of a letter in its code. The n-gram's length stands above the letters.
 ORDER, BITS, TAG = 4, 15, 60
@@ -256,6 +256,7 @@ def score(docs: DataFrame, trusted_ids: DataFrame, *, key: str = "doc_id", text:
     if of_all is None:  # one trusted text or none: nothing is held out
         of_all = _scored(known_rows.select("key", "lang", "text"), model, unseen).agg(limit()).first()[0]
     drop(known_rows, fresh, *folds)
+    free_shuffles(docs.sparkSession)  # held-out texts were shuffled for a few numbers, so that stage() lets them lie
     limited = marked.join(few, F.col("lang") == F.col("l_lang"), "left").withColumn("limit", F.coalesce("of_lang", F.lit(of_all).cast("double")))
     usable = F.col("real") & F.col("limit").isNotNull()
     return limited.select(

@@ -9,10 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.staging import drop
+from ..functions.staging import drop, free_shuffles
 from ..functions.staging import stage as _stage
 
-__all__ = ["WORD", "column", "drop", "give_back", "stage", "tidy", "unpacked", "whole_row", "word_count"]
+__all__ = ["WORD", "column", "drop", "free_shuffles", "give_back", "stage", "tidy", "unpacked", "whole_row", "word_count"]
 
 #: White space as the contracts count it: blank, tab, line feed to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
