@@ -9,6 +9,7 @@ from loomgraph.operators import cluster, health, resolve, retrieve, similar
 from loomgraph.plans import catalog, health_queries
 from loomgraph.sources import adapter
 from loomgraph.sources.adapter import nodes
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 
@@ -137,3 +138,18 @@ def test_echoes_look_no_further_than_others_took(spark, monkeypatch):
         got = cluster.echoes(events, 0.5, 3, 2).select("a", "b").collect()
         assert {tuple(x) for x in got} == {(min(p), max(p)) for p in took}
     assert [df.groupBy("event").count().agg({"count": "max"}).first()[0] for name, df in read if name == "echo-first"] == [2, 32]
+
+
+def test_what_cells_give_is_put_in_order_by_tasks_of_bounded_size(spark, monkeypatch):
+    v = np.random.default_rng(6).normal(size=(90, 4))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>").repartition(2)
+    monkeypatch.setattr(similar, "BLOCK", 5)
+    monkeypatch.setattr(similar, "RUN", 2)
+    monkeypatch.setattr(similar, "ORDERED", 200, raising=False)
+    dealt = similar._found(df, df, 3, None, True, False).withColumn("task", F.spark_partition_id())
+    assert dealt.count() == 90 * 9 * 3
+    assert dealt.groupBy("task").count().agg(F.max("count")).first()[0] <= 5 * 200
+    assert dealt.groupBy("q_id").agg(F.count_distinct("task").alias("n")).agg(F.max("n")).first()[0] == 1
+    found = {(x.q_id, x.id) for x in similar.nearest(df, df, 3, others_only=True).collect()}
+    near = v @ v.T - 1e9 * np.eye(90)
+    assert found == {(i, j) for i in range(90) for j in np.argsort(-near[i])[:3].tolist()}
