@@ -263,7 +263,7 @@ SELECT a, b, verdict, confidence, n_verdict, CAST(place AS INTEGER) AS place FRO
 
 
 def _hierarchy_record(s: SparkSession, d: str) -> DataFrame:
-    return hierarchy.record(hierarchy.united(_raw_hierarchy(s, d)), _read(s, d, "embeddings").filter("vec_id % 3 > 0").select(F.col("vec_id").alias("id")))
+    return hierarchy.record(hierarchy.united(_raw_hierarchy(_judgments(_read(s, d, "embeddings")))), _read(s, d, "embeddings").filter("vec_id % 3 > 0").select(F.col("vec_id").alias("id")))
 
 
 _HIER = _KNOWN["hierarchy_edges"].rsplit(" SELECT ", 1)[0]

@@ -6,7 +6,7 @@ from functools import reduce
 import numpy as np
 from loomgraph.functions import staging
 from loomgraph.operators import cluster, health, resolve, retrieve, similar
-from loomgraph.plans import catalog, health_queries
+from loomgraph.plans import catalog, health_queries, retrieval_queries
 from loomgraph.sources import adapter
 from loomgraph.sources.adapter import nodes
 from pyspark.sql import functions as F
@@ -153,3 +153,12 @@ def test_what_cells_give_is_put_in_order_by_tasks_of_bounded_size(spark, monkeyp
     found = {(x.q_id, x.id) for x in similar.nearest(df, df, 3, others_only=True).collect()}
     near = v @ v.T - 1e9 * np.eye(90)
     assert found == {(i, j) for i in range(90) for j in np.argsort(-near[i])[:3].tolist()}
+
+
+def test_pairs_of_all_vectors_are_judged_once(spark, monkeypatch):
+    for name in ("edge_materialise", "unjudged_pairs"):
+        calls, judge = [], retrieval_queries._judgments
+        with monkeypatch.context() as m:
+            m.setattr(retrieval_queries, "_judgments", lambda e, calls=calls, judge=judge: calls.append(1) or judge(e))
+            catalog.QUERIES[name](spark, SF)
+        assert len(calls) == 1
