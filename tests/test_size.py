@@ -162,3 +162,15 @@ def test_pairs_of_all_vectors_are_judged_once(spark, monkeypatch):
             m.setattr(retrieval_queries, "_judgments", lambda e, calls=calls, judge=judge: calls.append(1) or judge(e))
             catalog.QUERIES[name](spark, SF)
         assert len(calls) == 1
+
+
+def test_blocks_are_sent_to_the_grid_by_tasks_of_bounded_size(spark, monkeypatch):
+    df = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(40)], "id long, v array<double>").repartition(2)
+    dealt = lambda: similar._found(df, df, 3, None, True, False)._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression")
+    monkeypatch.setattr(similar, "BLOCK", 5)
+    monkeypatch.setattr(similar, "RUN", 2)
+    whole = dealt()
+    monkeypatch.setattr(similar, "SENT", 8, raising=False)
+    assert dealt() == whole + 2
+    found = similar.nearest(df, df, 1, others_only=True).collect()
+    assert {(x.q_id, x.id) for x in found} == {(i, 39 if i < 39 else 38) for i in range(1, 40)} | {(0, 1)}  # all are as near to 0
